@@ -254,11 +254,8 @@ def runs(instants: DataFrame, keys: list[str], slice_steps: int = 2880, starts:
     )
 
 
-def alert_runs(
-    matches: DataFrame, labels: list[str] = LABELS, step: int = metrics.EVALUATION_STEP
-) -> DataFrame:
-    """Runs of each alert with ``fires_at``, the instant its hold time is over, and ``state``."""
-    found = runs(matches, [*ALERT, *labels]).drop("continues")
+def with_state(found: DataFrame, step: int = metrics.EVALUATION_STEP) -> DataFrame:
+    """Adds ``fires_at``, the instant the hold time of a run is over, and ``state``."""
     fires = F.col("start_at") + F.ceil(F.col("hold") / step)
     firing = F.col("end_at") >= fires
     return found.withColumn("fires_at", F.when(firing, fires)).withColumn(
@@ -266,6 +263,13 @@ def alert_runs(
     )
 
 
+def alert_runs(
+    matches: DataFrame, labels: list[str] = LABELS, step: int = metrics.EVALUATION_STEP
+) -> DataFrame:
+    """The runs of each alert over all its instants, with their hold state."""
+    return with_state(runs(matches, [*ALERT, *labels]).drop("continues"), step)
+
+
 def firing_instants(alerts: DataFrame) -> DataFrame:
     return alerts.filter("state = 'firing'").withColumn("at", F.explode(F.sequence("fires_at", "end_at")))
 

@@ -6,9 +6,16 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import alerts, catalog, metrics, requests, topics
-
-ALL = {**requests.QUERIES, **catalog.QUERIES, **topics.QUERIES, **metrics.QUERIES, **alerts.QUERIES}
+from . import alerts, catalog, metrics, requests, streams, topics
+
+ALL = {
+    **requests.QUERIES,
+    **catalog.QUERIES,
+    **topics.QUERIES,
+    **metrics.QUERIES,
+    **alerts.QUERIES,
+    **streams.QUERIES,
+}
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:

@@ -81,6 +81,8 @@ MESSAGE = T.StructType(
     ]
 )
 
+MESSAGE_TEXT = T.StructType([T.StructField("value", T.StringType())])
+
 METRIC_SAMPLE = T.StructType(
     [
         T.StructField("ts", T.TimestampType()),

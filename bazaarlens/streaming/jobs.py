@@ -19,7 +19,7 @@ from .. import schemas
 from ..operators import catalog, popularity, recommend, requests
 from ..sinks.files import json_as_line, write_batch, write_popular
 from ..sinks.topics import as_messages
-from ..sources.files import read_allow_list, read_popular, read_requests
+from ..sources.files import read_popular, read_requests
 
 TRIGGER = "1 second"
 
@@ -33,17 +33,18 @@ def start(
     return writer.trigger(**trigger).start()
 
 
-def filter_products(stream: DataFrame, allow_list: str, out: str, checkpoint: str, once: bool = False):
+def filter_products(
+    stream: DataFrame, load_list: Callable[[SparkSession], DataFrame], out: str, checkpoint: str, once: bool = False
+) -> StreamingQuery:
     """Products whose id is allowed, as ``{k=v, ..}`` lines below ``out``.
 
-    ``stream`` has ``value``, a product as JSON. The list file is read again for each batch.
+    ``stream`` has ``value``, a product as JSON. ``load_list`` reads the list, for each batch anew.
     Records the filter fails open on are written as they came.
     """
 
     def handle(batch: DataFrame, batch_id: int) -> None:
-        spark: SparkSession = batch.sparkSession
         records = batch.select(F.col("value").cast("string").alias("value"))
-        passed = catalog.filtered(records, read_allow_list(spark, allow_list))
+        passed = catalog.filtered(records, load_list(batch.sparkSession))
         lines = passed.filter("value is not null").select(json_as_line(F.col("value")).alias("value"))
         write_batch(lines, out, batch_id, "text")
 
