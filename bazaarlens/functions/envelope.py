@@ -9,6 +9,7 @@ from . import jsontext
 
 BASE64 = r"^(?:[A-Za-z0-9+/]{4})*(?:[A-Za-z0-9+/]{2}==|[A-Za-z0-9+/]{3}=)?$"
 PLAIN_STRING = r'^"[^"\\\x00-\x1f]*"$'
+JSON_STRING = r'^"(?:[^"\\\x00-\x1f]|\\["\\/bfnrt]|\\u[0-9a-fA-F]{4})*"$'
 
 
 def encode(json_text: Column) -> Column:
@@ -17,20 +18,18 @@ def encode(json_text: Column) -> Column:
     return F.concat(F.lit('"'), packed, F.lit('"'))
 
 
-def unwrap(payload: Column) -> Column:
-    """The JSON inside the envelope, or the payload itself if it is not an envelope.
-
-    A JSON string without escapes is read off between its quotes; only other texts that start
-    with a quote are parsed.
-    """
-    body = F.btrim(payload, F.lit(jsontext.JSON_SPACE))
-    whole = jsontext.parse_whole(body)
-    text = F.when(body.rlike(PLAIN_STRING), F.substring(body, F.lit(2), F.length(body) - 2)).when(
-        F.startswith(body, F.lit('"')) & jsontext.is_text(whole), whole.cast("string")
+def string_content(body: Column) -> Column:
+    """What a JSON string says, null for any other text; one without escapes needs no parser."""
+    return F.when(body.rlike(PLAIN_STRING), F.substring(body, F.lit(2), F.length(body) - 2)).when(
+        body.rlike(JSON_STRING), F.try_parse_json(body).cast("string")
     )
-    packed = F.regexp_replace(F.btrim(text, F.lit('"')), "[\r\n]", "")
-    unpacked = F.make_valid_utf8(F.unbase64(F.when(packed.rlike(BASE64), packed)).cast("string"))
-    return F.coalesce(unpacked, payload)
+
+
+def unpack(content: Column) -> Column:
+    """The text inside strictly padded base64, null if it is not base64. Quotes around it and line
+    breaks in it are ignored."""
+    packed = F.regexp_replace(F.btrim(content, F.lit('"')), "[\r\n]", "")
+    return F.make_valid_utf8(F.unbase64(F.when(packed.rlike(BASE64), packed)).cast("string"))
 
 
 def field_any_case(doc: Column, name: str) -> Column:

@@ -50,40 +50,29 @@ def is_whole_number(node: Column) -> Column:
     return F.coalesce(is_number(node) & (value == F.floor(value)), F.lit(False))
 
 
-def text_of(node: Column, source: Column, key: str) -> Column:
+def text_of(node: Column, node_kind: Column, source: Column, key: str) -> Column:
     """A member as plain text: digits, true/false, ``null`` for JSON null, empty for containers.
 
     ``source`` is the JSON text, needed because a variant forgets the ``.0`` of ``10001.0``.
     """
     raw = F.get_json_object(source, f"$.{key}")
-    node_kind = kind(node)
     return (
-        F.when(node.isNull(), F.lit(None).cast("string"))
+        F.when(node_kind.isin("STRING", "BIGINT", "BOOLEAN", "DOUBLE"), node.cast("string"))
         .when(node_kind == "VOID", F.lit("null"))
         .when(node_kind.rlike("^(ARRAY|OBJECT)"), F.lit(""))
-        .when(
-            F.startswith(node_kind, F.lit("DECIMAL")) & F.contains(raw, F.lit(".")),
-            raw.cast("double").cast("string"),
-        )
-        .otherwise(node.cast("string"))
+        .when(F.contains(raw, F.lit(".")), raw.cast("double").cast("string"))
+        .otherwise(raw)
     )
 
 
-def parse_whole(text: Column) -> Column:
-    """The text as a variant, or null if anything but one JSON value is in it.
+def has_no_tail(body: Column) -> Column:
+    """Whether a trimmed JSON text is one value only; the variant reader ignores what follows it.
 
-    The variant reader ignores what follows the first value. Only an object whose first closing
-    brace ends the text is known to have no tail; any other text must also parse inside brackets
-    (with no second element) and inside braces, which no tail survives.
+    An object whose first closing brace ends the text has no tail. Any other text must also be
+    readable as the only element of a list and as a member, which no tail survives.
     """
-    body = F.btrim(text, F.lit(JSON_SPACE))
-    doc = F.try_parse_json(body)
+    flat = F.startswith(body, F.lit("{")) & (F.locate("}", body) == F.length(body))
     listed = F.try_parse_json(F.concat(F.lit("["), body, F.lit("]")))
     boxed = F.try_parse_json(F.concat(F.lit('{"v":'), body, F.lit("}")))
-    alone = (
-        F.try_variant_get(listed, "$[0]", "variant").isNotNull()
-        & F.try_variant_get(listed, "$[1]", "variant").isNull()
-        & F.try_variant_get(boxed, "$.v", "variant").isNotNull()
-    )
-    flat = F.startswith(body, F.lit("{")) & (F.locate("}", body) == F.length(body))
-    return F.when(flat | alone, doc)
+    single = F.size(F.try_variant_get(listed, "$", "array<variant>")) == 1
+    return F.when(flat, F.lit(True)).otherwise(F.coalesce(single & boxed.isNotNull(), F.lit(False)))

@@ -2,9 +2,7 @@
 
 from __future__ import annotations
 
-import re
-
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .jsontext import first_case
@@ -59,38 +57,34 @@ RENAME_RULES = [
 # The bean domains that are exported at all.
 EXPORTED_DOMAINS = ["kafka.controller", "kafka.server", "kafka.network", "kafka.log"]
 
+LABEL_SEPARATOR = "\x1f"
 
-def _filled(bean: Column, pattern: str, template: str) -> Column:
-    parts = [
-        F.regexp_extract(bean, pattern, int(part[1:])) if re.fullmatch(r"\$\d", part) else F.lit(part)
-        for part in re.split(r"(\$\d)", template)
-        if part
-    ]
-    return F.concat(*parts)
-
-
-def _legal_name(name: Column) -> Column:
-    legal = F.regexp_replace(name, "[^a-zA-Z0-9:_]", "_")
-    return F.lower(F.regexp_replace(legal, "_+", "_"))
 
-
-def rename(bean: Column, domains: list[str] | None = None) -> Column:
-    """Struct(rule, name, type, labels) of the first rule that matches, null if none does.
+def rename(beans: DataFrame, bean: str = "bean", domains: list[str] | None = None) -> DataFrame:
+    """Beans that a rule exports, with ``rule``, ``name``, ``type`` and ``labels`` of the first match.
 
     ``domains`` limits the export; an empty list exports every domain.
     """
     domains = EXPORTED_DOMAINS if domains is None else domains
-    branches = []
-    for number, (pattern, template, metric_type, labels) in enumerate(RENAME_RULES, start=1):
-        pairs = [x for key, value in labels.items() for x in (F.lit(key), _filled(bean, pattern, value))]
-        metric = F.struct(
-            F.lit(number).alias("rule"),
-            _legal_name(_filled(bean, pattern, template)).alias("name"),
-            F.lit(metric_type).alias("type"),
-            F.create_map(*pairs).cast("map<string,string>").alias("labels"),
-        )
-        branches.append((bean.rlike(pattern), metric))
-    chosen = first_case(branches)
-    if domains:
-        return F.when(F.substring_index(bean, "<", 1).isin(domains), chosen)
-    return chosen
+    rows = beans.filter(F.substring_index(bean, "<", 1).isin(domains)) if domains else beans
+    number = first_case([(F.col(bean).rlike(rule[0]), F.lit(i)) for i, rule in enumerate(RENAME_RULES)])
+    rows = rows.withColumn("rule", number).filter("rule is not null")
+
+    def by_rule(texts: list[str]) -> Column:
+        """The text of the row's rule, filled from the groups of its pattern if it has any."""
+        constants = F.get(F.array(*map(F.lit, texts)), F.col("rule"))
+        filled = [
+            (F.col("rule") == i, F.regexp_replace(bean, f"^.*?{RENAME_RULES[i][0]}.*$", text))
+            for i, text in enumerate(texts)
+            if "$" in text
+        ]
+        return F.coalesce(first_case(filled), constants)
+
+    labels = [LABEL_SEPARATOR.join(f"{k}={v}" for k, v in rule[3].items()) for rule in RENAME_RULES]
+    legal = F.regexp_replace(by_rule([rule[1] for rule in RENAME_RULES]), "[^a-zA-Z0-9:_]|_+", "_")
+    return (
+        rows.withColumn("name", F.lower(F.regexp_replace(legal, "_+", "_")))
+        .withColumn("type", F.get(F.array(*[F.lit(rule[2]) for rule in RENAME_RULES]), F.col("rule")))
+        .withColumn("labels", F.str_to_map(by_rule(labels), F.lit(LABEL_SEPARATOR), F.lit("=")))
+        .withColumn("rule", F.col("rule") + 1)
+    )

@@ -167,9 +167,9 @@ def _tag(rule: Rule) -> Column:
 
 def _matched(evaluated: DataFrame, rules: list[tuple[Rule, Column]], labels: list[str]) -> DataFrame:
     """One row per rule that holds, all rules in one pass over the evaluated series."""
-    tags = F.array_compact(F.array(*[F.when(test & breaches(rule, F.col("value")), _tag(rule)) for rule, test in rules]))
-    return evaluated.withColumn("tag", F.explode(tags)).select(
-        *[F.col(f"tag.{name}").alias(name) for name in ALERT], *labels, "at", "value"
+    tags = [F.when(test & breaches(rule, F.col("value")), _tag(rule)) for rule, test in rules]
+    return evaluated.withColumn("tag", F.explode(F.array_compact(F.array(*tags)))).select(
+        *[F.col(f"tag.{name}").alias(name) for name in ALERT], *labels, "from_at", "to_at", "value"
     )
 
 
@@ -180,55 +180,61 @@ def evaluate(
     step: int = metrics.EVALUATION_STEP,
     lookback: int = metrics.LOOKBACK,
 ) -> DataFrame:
-    """Instants at which a rule's condition is true: the alert columns, labels, at, value.
+    """Spans of instants at which a rule's condition is true: alert columns, labels, from_at,
+    to_at, value.
 
-    ``samples`` has metric, the label columns, ts_us and value.
+    ``samples`` has metric, the label columns, ts_us and value. A threshold on a sample holds as
+    long as the sample counts, so its instants are never written out one by one.
     """
     series = ["metric", *labels]
-    instant = [r for r in rules if not r.window]
+    single = [F.col("at").alias("from_at"), F.col("at").alias("to_at")]
+    plain = [r for r in rules if not r.per and not r.window]
     parts = []
-    if instant:
-        wanted = {r.metric for r in instant} | {r.per for r in instant if r.per}
-        on_grid = metrics.sample_on_grid(samples.filter(F.col("metric").isin(*sorted(wanted))), series, step, lookback)
-        plain = [(r, (F.col("metric") == r.metric) & selects(r)) for r in instant if not r.per]
-        if plain:
-            parts.append(_matched(on_grid, plain, labels))
-        for rule in (r for r in instant if r.per):
-            ratios = metrics.ratio(on_grid.filter(selects(rule)), rule.metric, rule.per, [*labels, "at"])
-            parts.append(_matched(ratios, [(rule, F.lit(True))], labels))
+    if plain:
+        wanted = samples.filter(F.col("metric").isin(*sorted({r.metric for r in plain})))
+        spans = metrics.sample_spans(wanted, series, step, lookback)
+        parts.append(_matched(spans, [(r, (F.col("metric") == r.metric) & selects(r)) for r in plain], labels))
+    for rule in (r for r in rules if r.per):
+        both = samples.filter(F.col("metric").isin(rule.metric, rule.per) & selects(rule))
+        on_grid = metrics.sample_on_grid(both, series, step, lookback)
+        ratios = metrics.ratio(on_grid, rule.metric, rule.per, [*labels, "at"])
+        parts.append(_matched(ratios.select("*", *single), [(rule, F.lit(True))], labels))
     for rule in (r for r in rules if r.window):
         chosen = samples.filter((F.col("metric") == rule.metric) & selects(rule))
         rates = metrics.rate_on_grid(chosen, series, rule.window, step)
-        parts.append(_matched(rates, [(rule, F.lit(True))], labels))
+        parts.append(_matched(rates.select("*", *single), [(rule, F.lit(True))], labels))
     matches = parts[0]
     for part in parts[1:]:
         matches = matches.unionByName(part)
     return matches
 
 
-def runs(instants: DataFrame, keys: list[str], slice_steps: int = 2880, starts: str | None = None) -> DataFrame:
-    """Stretches of consecutive instants: rows (keys, start_at, end_at, value, continues).
+def runs(
+    spans: DataFrame, keys: list[str], slice_steps: int = 24 * metrics.SLICE_STEPS, starts: str | None = None
+) -> DataFrame:
+    """Stretches of instants without a gap: rows (keys, start_at, end_at, value, continues).
 
-    ``instants`` has the keys, a unique ``at`` per key and value; value becomes the last one. A true
+    ``spans`` has the keys, from_at, to_at and value; spans of a key do not overlap and none
+    crosses a multiple of ``slice_steps``. The value of a run is that of its last span. A true
     ``starts`` column begins a new run even without a gap, marked ``continues``.
 
     Runs are found per time slice first. Only runs that touch a slice border can go on in the
     next slice, so at most two rows per slice meet in the second step, however busy the key is.
     """
     forced = F.coalesce(F.col(starts), F.lit(False)) if starts else F.lit(False)
-    rows = instants.withColumn("slice", F.expr(f"at div {slice_steps}")).withColumn("forced", forced)
-    by_at = Window.partitionBy(*keys, "slice").orderBy("at")
-    adjacent = F.coalesce(F.lag("at").over(by_at) == F.col("at") - 1, F.lit(False))
+    rows = spans.withColumn("slice", F.expr(f"from_at div {slice_steps}")).withColumn("forced", forced)
+    in_order = Window.partitionBy(*keys, "slice").orderBy("from_at")
+    adjacent = F.coalesce(F.lag("to_at").over(in_order) == F.col("from_at") - 1, F.lit(False))
     rows = rows.withColumn("adjacent", adjacent).withColumn("new", (F.col("forced") | ~F.col("adjacent")).cast("int"))
     pieces = (
-        rows.withColumn("piece", F.sum("new").over(by_at.rowsBetween(Window.unboundedPreceding, 0)))
+        rows.withColumn("piece", F.sum("new").over(in_order.rowsBetween(Window.unboundedPreceding, 0)))
         .groupBy(*keys, "slice", "piece")
         .agg(
-            F.min("at").alias("start_at"),
-            F.max("at").alias("end_at"),
-            F.max_by("value", "at").alias("value"),
-            F.min_by("forced", "at").alias("forced"),
-            F.min_by("adjacent", "at").alias("continues"),
+            F.min("from_at").alias("start_at"),
+            F.max("to_at").alias("end_at"),
+            F.max_by("value", "from_at").alias("value"),
+            F.min_by("forced", "from_at").alias("forced"),
+            F.min_by("adjacent", "from_at").alias("continues"),
         )
     )
     first = F.col("slice") * slice_steps
@@ -266,7 +272,7 @@ def with_state(found: DataFrame, step: int = metrics.EVALUATION_STEP) -> DataFra
 def alert_runs(
     matches: DataFrame, labels: list[str] = LABELS, step: int = metrics.EVALUATION_STEP
 ) -> DataFrame:
-    """The runs of each alert over all its instants, with their hold state."""
+    """The runs of each alert in the spans of ``evaluate``, with their hold state."""
     return with_state(runs(matches, [*ALERT, *labels]).drop("continues"), step)
 
 
@@ -315,7 +321,7 @@ def schedule(
         routed.withColumn("at", F.explode(F.sequence("fires_at", "end_at")))
         .groupBy(*keys, "at")
         .agg(F.max(F.col("at") == F.col("fires_at")).alias("joined"))
-        .withColumn("value", F.lit(0))
+        .select(*keys, F.col("at").alias("from_at"), F.col("at").alias("to_at"), F.lit(0).alias("value"), "joined")
     )
     spans = runs(instants, keys, starts="joined")
     wait = F.when(F.col("continues"), F.lit(GROUP_INTERVAL)).otherwise(F.col("group_wait"))

@@ -41,18 +41,20 @@ def with_product_id(records: DataFrame, value: str = "value", converted: bool =
         branches += [(kind == "VOID", F.lit(PASS_NULL)), (~handled, F.lit(PASS_UNSUPPORTED))]
         text = F.when(kind == "STRING", outer.cast("string")).otherwise(text)
     rows = records.withColumn("_text", text).withColumn("_doc", F.try_parse_json("_text"))
-    node = jsontext.member(F.col("_doc"), "product_id")
-    rows = rows.withColumn("product_id", jsontext.text_of(node, F.col("_text"), "product_id"))
+    rows = rows.withColumn("_id", jsontext.member(F.col("_doc"), "product_id"))
+    rows = rows.withColumn("_kind", jsontext.kind(F.col("_id")))
+    product_id = jsontext.text_of(F.col("_id"), F.col("_kind"), F.col("_text"), "product_id")
+    rows = rows.withColumn("product_id", F.when(F.col("_id").isNotNull(), product_id))
     blank = F.btrim("_text", F.lit(jsontext.JSON_SPACE)) == ""
     fixed = jsontext.first_case(
         [
             *branches,
             (blank, F.lit(DROP_NO_ID)),
             (F.col("_doc").isNull(), F.lit(PASS_UNPARSED)),
-            (F.col("product_id").isNull(), F.lit(DROP_NO_ID)),
+            (F.col("_id").isNull(), F.lit(DROP_NO_ID)),
         ]
     )
-    return rows.withColumn("_fixed", fixed).drop("_text", "_doc")
+    return rows.withColumn("_fixed", fixed).drop("_text", "_doc", "_id", "_kind")
 
 
 def route_records(

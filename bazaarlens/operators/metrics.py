@@ -15,20 +15,23 @@ SERIES = ["metric", "job", "cluster", "instance"]
 # Rule evaluation interval and look-back of an instant, in seconds.
 EVALUATION_STEP = 30
 LOOKBACK = 300
+# Instants per time slice: an hour of evaluations.
+SLICE_STEPS = 120
 
 
-def sample_on_grid(
+def sample_spans(
     samples: DataFrame,
     series: list[str] = SERIES,
     step: int = EVALUATION_STEP,
     lookback: int = LOOKBACK,
-    slice_steps: int = 120,
+    slice_steps: int = SLICE_STEPS,
 ) -> DataFrame:
-    """The value of each series at every grid instant that some sample reaches.
+    """The grid instants at which each sample is its series' value: from_at to to_at.
 
     At instant t a series has the value of its newest sample in [t - lookback, t]. ``samples`` has
-    the series columns, ts_us and value; the result has the series columns, ``slice``, ``at`` (the
-    instant as a multiple of the step) and value. Of two samples at one time the larger counts.
+    the series columns, ts_us and value; the result has the series columns, value, from_at and
+    to_at (instants as multiples of the step). Spans of a series do not overlap and end at slice
+    borders. Of two samples at one time the larger counts.
     """
     step_us, lookback_us = step * SECOND, lookback * SECOND
     cell = F.expr(f"(ts_us + {step_us - 1}) div {step_us}")
@@ -47,16 +50,29 @@ def sample_on_grid(
     spread = newest.withColumn("slice", F.explode(slices))
     group = Window.partitionBy(*series, "slice").orderBy("cell")
     first, last = F.col("slice") * slice_steps, F.col("slice") * slice_steps + (slice_steps - 1)
-    bounds = spread.withColumn("following", F.lead("cell").over(group)).select(
+    spans = spread.withColumn("following", F.lead("cell").over(group)).select(
         *series,
-        "slice",
         "value",
         F.greatest("cell", first).alias("from_at"),
         F.least("reach", F.col("following") - 1, last).alias("to_at"),
     )
-    return bounds.filter(F.col("from_at") <= F.col("to_at")).select(
-        *series, "slice", F.explode(F.sequence("from_at", "to_at")).alias("at"), "value"
-    )
+    return spans.filter(F.col("from_at") <= F.col("to_at"))
+
+
+def at_instants(spans: DataFrame) -> DataFrame:
+    """One row per instant of each span, as ``at``."""
+    return spans.withColumn("at", F.explode(F.sequence("from_at", "to_at"))).drop("from_at", "to_at")
+
+
+def sample_on_grid(
+    samples: DataFrame,
+    series: list[str] = SERIES,
+    step: int = EVALUATION_STEP,
+    lookback: int = LOOKBACK,
+    slice_steps: int = SLICE_STEPS,
+) -> DataFrame:
+    """The value of each series at every grid instant: rows (series, value, at)."""
+    return at_instants(sample_spans(samples, series, step, lookback, slice_steps))
 
 
 def _with_drop(samples: DataFrame, series: list[str], window_us: int, slice_us: int) -> DataFrame:

@@ -9,6 +9,9 @@ from ..functions import envelope, jsontext
 from ..functions.text import archive_name, rfc3339
 
 
+FIELDS = ["product_name", "timestamp"]
+
+
 def request_json(name: Column, ts: Column) -> Column:
     fields = F.struct(name.alias("product_name"), rfc3339(ts).alias("timestamp"))
     return F.to_json(fields, {"ignoreNullFields": "false"})
@@ -24,24 +27,25 @@ def decode_requests(messages: DataFrame, value: str = "value") -> DataFrame:
 
     A field must be text, null or absent; null and absent read as empty text.
     """
-    payload = F.col(value).cast("string")
-    inner = F.btrim(envelope.unwrap(payload), F.lit(jsontext.JSON_SPACE))
+    space = F.lit(jsontext.JSON_SPACE)
+    rows = messages.withColumn("_body", F.btrim(F.col(value).cast("string"), space))
+    unpacked = F.btrim(envelope.unpack(envelope.string_content(F.col("_body"))), space)
+    rows = rows.withColumn("_inner", F.coalesce(unpacked, "_body"))
     # A bare null is no request, but a null inside an envelope is an empty one.
-    empty = (inner == "null") & (F.btrim(payload, F.lit(jsontext.JSON_SPACE)) != "null")
-    rows = messages.withColumn("_inner", inner).withColumn("_empty", F.coalesce(empty, F.lit(False)))
-    rows = rows.withColumn("_doc", jsontext.parse_whole(F.col("_inner")))
-    fields = {key: envelope.field_any_case(F.col("_doc"), key) for key in ("product_name", "timestamp")}
-    is_object = F.coalesce(jsontext.is_object(F.col("_doc")), F.lit(False))
-    for key, node in fields.items():
-        rows = rows.withColumn(f"_{key}", F.when(is_object, node))
-    typed = [
-        F.coalesce(jsontext.kind(F.col(f"_{key}")).isin("STRING", "VOID"), F.lit(True)) for key in fields
-    ]
-    rows = rows.withColumn("decoded", F.col("_empty") | (is_object & typed[0] & typed[1]))
-    for key in fields:
+    empty = (F.col("_inner") == "null") & (F.col("_body") != "null")
+    whole = F.startswith("_inner", F.lit("{")) & jsontext.has_no_tail(F.col("_inner"))
+    rows = rows.withColumn("_doc", F.when(whole, F.try_parse_json("_inner")))
+    typed = F.lit(True)
+    for key in FIELDS:
+        rows = rows.withColumn(f"_{key}", envelope.field_any_case(F.col("_doc"), key))
+        node = F.col(f"_{key}")
+        typed = typed & (node.isNull() | jsontext.kind(node).isin("STRING", "VOID"))
+    decoded = F.coalesce(empty, F.lit(False)) | (F.col("_doc").isNotNull() & typed)
+    rows = rows.withColumn("decoded", decoded)
+    for key in FIELDS:
         text = F.coalesce(F.col(f"_{key}").cast("string"), F.lit(""))
         rows = rows.withColumn(key, F.when(F.col("decoded"), text))
-    return rows.drop("_inner", "_empty", "_doc", *[f"_{key}" for key in fields])
+    return rows.drop("_body", "_inner", "_doc", *[f"_{key}" for key in FIELDS])
 
 
 def split_decoded(messages: DataFrame, value: str = "value") -> tuple[DataFrame, DataFrame]:

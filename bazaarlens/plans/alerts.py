@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from ..operators import alerts
 from ..operators.alerts import ALERT_RULES, Rule
+from ..operators.metrics import at_instants
 from . import metrics, views
 from .views import with_cte
 
@@ -25,12 +26,12 @@ REPEAT = 600
 
 
 def alert_threshold(spark: SparkSession, sf_dir: str) -> DataFrame:
-    found = alerts.evaluate(views.samples(spark, sf_dir), THRESHOLDS)
+    found = at_instants(alerts.evaluate(views.samples(spark, sf_dir), THRESHOLDS))
     return found.select("alertname", *LABELS, "at", "value")
 
 
 def alert_down(spark: SparkSession, sf_dir: str) -> DataFrame:
-    found = alerts.evaluate(views.samples(spark, sf_dir), DOWN)
+    found = at_instants(alerts.evaluate(views.samples(spark, sf_dir), DOWN))
     return found.select("alertname", *LABELS, "at", "value")
 
 

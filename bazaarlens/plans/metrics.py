@@ -43,12 +43,12 @@ def _beans(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _renamed(spark: SparkSession, sf_dir: str, domains: list[str] | None) -> DataFrame:
-    rows = _beans(spark, sf_dir).withColumn("m", metric_names.rename(F.col("bean"), domains))
-    labels = F.array_sort(F.map_entries("m.labels"))
-    return rows.filter("m is not null").select(
+    rows = metric_names.rename(_beans(spark, sf_dir), domains=domains)
+    labels = F.array_sort(F.map_entries("labels"))
+    return rows.select(
         "event_id",
-        F.col("m.name").alias("name"),
-        F.col("m.type").alias("type"),
+        "name",
+        "type",
         F.array_join(F.transform(labels, lambda e: F.concat(e["key"], F.lit("="), e["value"])), ",").alias("labels"),
     )
 
@@ -62,7 +62,7 @@ def metric_rename_all_domains(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def metric_asof(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return metrics.sample_on_grid(views.samples(spark, sf_dir), SERIES).drop("slice")
+    return metrics.sample_on_grid(views.samples(spark, sf_dir), SERIES)
 
 
 def rate_5m(spark: SparkSession, sf_dir: str) -> DataFrame:

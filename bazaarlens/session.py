@@ -17,6 +17,8 @@ SETTINGS = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     # The last duplicate of a JSON key wins, as in the catalog filter's JSON reader.
     "spark.sql.variant.allowDuplicateKeys": "true",
+    # The JVM never compiles a method beyond 8000 bytes; Spark then better generates smaller ones.
+    "spark.sql.codegen.hugeMethodLimit": "8000",
     "spark.ui.enabled": "false",
     "spark.ui.showConsoleProgress": "false",
 }

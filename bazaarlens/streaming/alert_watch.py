@@ -79,9 +79,10 @@ def watch(
         newest = batch.agg(F.max("ts_us")).first()[0]
         until = horizon if newest is None else max(horizon, newest // (step * metrics.SECOND))
 
-        instants = alerts.evaluate(known, rules, labels, step, lookback)
-        instants = instants.filter((F.col("at") > horizon) & (F.col("at") <= until))
-        found = alerts.runs(instants, keys).drop("continues")
+        spans = alerts.evaluate(known, rules, labels, step, lookback)
+        spans = spans.withColumn("from_at", F.greatest("from_at", F.lit(horizon + 1)))
+        spans = spans.withColumn("to_at", F.least("to_at", F.lit(until))).filter("from_at <= to_at")
+        found = alerts.runs(spans, keys).drop("continues")
         if batch_id > 0:
             still_open = spark.read.schema(found.schema).parquet(_slot(state, batch_id - 1, "open"))
             # A run that starts right after the last horizon goes on where the open one stopped.
