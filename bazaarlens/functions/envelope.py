@@ -7,9 +7,11 @@ from pyspark.sql import functions as F
 
 from . import jsontext
 
-BASE64 = r"^(?:[A-Za-z0-9+/]{4})*(?:[A-Za-z0-9+/]{2}==|[A-Za-z0-9+/]{3}=)?$"
-PLAIN_STRING = r'^"[^"\\\x00-\x1f]*"$'
-JSON_STRING = r'^"(?:[^"\\\x00-\x1f]|\\["\\/bfnrt]|\\u[0-9a-fA-F]{4})*"$'
+# Repeated groups are possessive: these patterns never step back, and matching a long text must not
+# nest one call per repetition.
+BASE64 = r"^(?:[A-Za-z0-9+/]{4})*+(?:[A-Za-z0-9+/]{2}==|[A-Za-z0-9+/]{3}=)?$"
+PLAIN_STRING = r'^"[^"\\\x00-\x1f]*+"$'
+JSON_STRING = r'^"(?:[^"\\\x00-\x1f]++|\\["\\/bfnrt]|\\u[0-9a-fA-F]{4})*+"$'
 
 
 def encode(json_text: Column) -> Column:

@@ -81,10 +81,11 @@ def rename(beans: DataFrame, bean: str = "bean", domains: list[str] | None = Non
         return F.coalesce(first_case(filled), constants)
 
     labels = [LABEL_SEPARATOR.join(f"{k}={v}" for k, v in rule[3].items()) for rule in RENAME_RULES]
+    label_map = F.str_to_map(by_rule(labels), F.lit(LABEL_SEPARATOR), F.lit("="))
     legal = F.regexp_replace(by_rule([rule[1] for rule in RENAME_RULES]), "[^a-zA-Z0-9:_]|_+", "_")
     return (
         rows.withColumn("name", F.lower(F.regexp_replace(legal, "_+", "_")))
         .withColumn("type", F.get(F.array(*[F.lit(rule[2]) for rule in RENAME_RULES]), F.col("rule")))
-        .withColumn("labels", F.str_to_map(by_rule(labels), F.lit(LABEL_SEPARATOR), F.lit("=")))
+        .withColumn("labels", F.map_filter(label_map, lambda key, _: key != ""))
         .withColumn("rule", F.col("rule") + 1)
     )

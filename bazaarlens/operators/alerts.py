@@ -152,7 +152,7 @@ def selects(rule: Rule) -> Column:
     for label, text in rule.labels.items():
         test = test & (F.coalesce(F.col(label), F.lit("")) == text)
     for label, pattern in rule.patterns.items():
-        test = test & F.coalesce(F.col(label), F.lit("")).rlike(f"^(?:{pattern})$")
+        test = test & F.coalesce(F.col(label), F.lit("")).rlike(rf"\A(?:{pattern})\z")
     return test
 
 

@@ -158,21 +158,27 @@ def rate_on_grid(
     rows = rows.filter(F.col("slice") == F.expr(f"ts_us div {window_us * 12}"))
     instants = F.expr(f"sequence((ts_us + {step_us - 1}) div {step_us}, (ts_us + {window_us}) div {step_us})")
     reached = F.expr(f"(ts_us + {step_us - 1}) div {step_us} <= (ts_us + {window_us}) div {step_us}")
-    first, last = F.min(F.struct("ts_us", "value", "drop")), F.max(F.struct("ts_us", "value"))
+    # Sample times are unique by now, so first and last values are hash aggregates of plain numbers.
     spans = (
         rows.filter(reached)
         .withColumn("at", F.explode(instants))
         .groupBy(*series, "at")
-        .agg(first.alias("first"), last.alias("last"), F.sum("drop").alias("drops"), F.count("*").alias("n"))
+        .agg(
+            F.count("*").alias("n"),
+            F.min("ts_us").alias("first_us"),
+            F.max("ts_us").alias("last_us"),
+            F.min_by("value", "ts_us").alias("first_value"),
+            F.max_by("value", "ts_us").alias("last_value"),
+            (F.sum("drop") - F.min_by("drop", "ts_us")).alias("lost"),
+        )
         .filter("n > 1")
     )
-    increase = F.col("last.value") - F.col("first.value") + F.col("drops") - F.col("first.drop")
     end = F.col("at") * step_us
     total = extrapolated_increase(
-        F.col("first.ts_us"),
-        F.col("last.ts_us"),
-        increase,
-        F.col("first.value"),
+        F.col("first_us"),
+        F.col("last_us"),
+        F.col("last_value") - F.col("first_value") + F.col("lost"),
+        F.col("first_value"),
         F.col("n"),
         end - window_us,
         end,

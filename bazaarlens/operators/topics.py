@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..session import lookup_join
+
 
 def offset_summary(messages: DataFrame) -> DataFrame:
     """Per topic and partition: first and last offset, the offset to commit, message count."""
@@ -22,10 +24,10 @@ def next_message(messages: DataFrame, topic: str, committed: DataFrame | None =
     unread = messages.filter(F.col("topic") == topic)
     if committed is not None:
         done = committed.filter(F.col("topic") == topic).select("partition", "next_offset")
-        unread = unread.join(done, "partition", "left").filter(
-            F.col("next_offset").isNull() | (F.col("offset") >= F.col("next_offset"))
-        )
-        unread = unread.drop("next_offset")
+        # A topic has few partitions, each with a large part of the messages: no key to shuffle by.
+        unread = lookup_join(unread, done, ["partition"], "left")
+        seen = F.coalesce(F.col("offset") < F.col("next_offset"), F.lit(False))
+        unread = unread.filter(~seen).drop("next_offset")
     return unread.orderBy("partition", "offset").limit(1)
 
 

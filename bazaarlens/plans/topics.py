@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators import topics
+from ..session import written
 from ..sources.files import list_files
 from . import requests, views
 from .views import with_cte
@@ -23,14 +24,16 @@ def next_recommendation(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.expr("event_id div 3").alias("offset"),
         F.to_json(F.struct("product_id", "product_name"), {"ignoreNullFields": "false"}).alias("value"),
     )
-    events = views.table(spark, sf_dir, "events").select((F.col("event_id") % 3).cast("int").alias("partition"), F.expr("event_id div 3").alias("offset"))
-    last = events.filter("partition < 2").groupBy("partition").agg(F.max("offset").alias("last"))
+    places = views.table(spark, sf_dir, "events").select(
+        (F.col("event_id") % 3).cast("int").alias("partition"), F.expr("event_id div 3").alias("offset")
+    )
+    last = places.filter("partition < 2").groupBy("partition").agg(F.max("offset").alias("last"))
     committed = last.select(
         F.lit("recommendations").alias("topic"),
         "partition",
         F.expr("case partition when 0 then last + 1 else last div 2 end").alias("next_offset"),
     )
-    return topics.next_message(found, "recommendations", committed)
+    return topics.next_message(found, "recommendations", written(committed, "committed"))
 
 
 def replica_reconcile(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -30,11 +30,15 @@ def read_requests(spark: SparkSession, base: str) -> DataFrame:
 def read_catalog(spark: SparkSession, path: str, lines: bool = False) -> DataFrame:
     """Products from files that each hold a JSON array; one bad product fails the load.
 
+    A missing id or name reads as empty text.
+
     An array file is read by one task. Large catalogs should come as JSON lines (``lines``),
     which split, or as many array files.
     """
     reader = spark.read.schema(schemas.PRODUCT).option("mode", "FAILFAST")
-    return reader.option("multiLine", not lines).json(path)
+    rows = reader.option("multiLine", not lines).json(path)
+    required = {name: F.coalesce(name, F.lit("")) for name in ("product_id", "name")}
+    return rows.withColumns(required)
 
 
 def read_lines(spark: SparkSession, path: str) -> DataFrame:

@@ -13,7 +13,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
-from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
 
 from .. import schemas
 from ..operators import catalog, popularity, recommend, requests
@@ -21,16 +21,22 @@ from ..sinks.files import json_as_line, write_batch, write_popular
 from ..sinks.topics import as_messages
 from ..sources.files import read_popular, read_requests
 
+# How long a consumer batch gathers, and how often popularity is refreshed.
 TRIGGER = "1 second"
+REFRESH = "6 hours"
+
+
+def run(writer: DataStreamWriter, checkpoint: str, once: bool, every: str = TRIGGER) -> StreamingQuery:
+    """Start a writer; ``once`` works off what is there and ends."""
+    trigger = {"availableNow": True} if once else {"processingTime": every}
+    return writer.option("checkpointLocation", checkpoint).trigger(**trigger).start()
 
 
 def start(
-    stream: DataFrame, handle: Callable[[DataFrame, int], None], checkpoint: str, once: bool, mode: str = "append"
+    stream: DataFrame, handle: Callable[[DataFrame, int], None], checkpoint: str, once: bool
 ) -> StreamingQuery:
-    """Run ``handle`` per micro-batch; ``once`` works off what is there and ends."""
-    writer = stream.writeStream.foreachBatch(handle).outputMode(mode).option("checkpointLocation", checkpoint)
-    trigger = {"availableNow": True} if once else {"processingTime": TRIGGER}
-    return writer.trigger(**trigger).start()
+    """Run ``handle`` per micro-batch."""
+    return run(stream.writeStream.foreachBatch(handle), checkpoint, once)
 
 
 def filter_products(
@@ -59,7 +65,7 @@ def recommend_requests(
     checkpoint: str,
     once: bool = False,
     at: str | None = None,
-):
+) -> StreamingQuery:
     """One recommendation message per request message; what is no request goes to ``quarantine``.
 
     The stored popular list is read again for each batch. ``at`` names a text column to stamp the
@@ -81,13 +87,16 @@ def recommend_requests(
     return start(stream, handle, checkpoint, once)
 
 
-def refresh_popular(stream: DataFrame, base: str, checkpoint: str, n: int = popularity.TOP_N, once: bool = False):
+def refresh_popular(
+    stream: DataFrame, base: str, checkpoint: str, n: int = popularity.TOP_N, once: bool = False
+) -> StreamingQuery:
     """Keep the stored popular list up to date from a stream of requests (column product_name)."""
 
     def handle(counts: DataFrame, batch_id: int) -> None:
         write_popular(popularity.ranked(counts, n), base)
 
-    return start(popularity.term_counts(stream), handle, checkpoint, once, "complete")
+    counts = popularity.term_counts(stream)
+    return run(counts.writeStream.foreachBatch(handle).outputMode("complete"), checkpoint, once, REFRESH)
 
 
 def archive_requests(stream: DataFrame, out: str, checkpoint: str, once: bool = False) -> StreamingQuery:
@@ -95,16 +104,14 @@ def archive_requests(stream: DataFrame, out: str, checkpoint: str, once: bool =
     good = requests.decode_requests(stream).filter("decoded")
     rows = good.select("product_name", "timestamp", F.substring("timestamp", 1, 10).alias("dt"))
     writer = rows.writeStream.format("json").partitionBy("dt").option("path", out)
-    trigger = {"availableNow": True} if once else {"processingTime": TRIGGER}
-    return writer.option("checkpointLocation", checkpoint).trigger(**trigger).start()
+    return run(writer, checkpoint, once)
 
 
 def replicate(stream: DataFrame, out: str, checkpoint: str, once: bool = False) -> StreamingQuery:
     """Copy messages of all topics, names unchanged, to a folder per topic."""
     columns = [f.name for f in schemas.MESSAGE.fields if f.name in stream.columns]
     writer = stream.select(*columns).writeStream.format("parquet").partitionBy("topic").option("path", out)
-    trigger = {"availableNow": True} if once else {"processingTime": TRIGGER}
-    return writer.option("checkpointLocation", checkpoint).trigger(**trigger).start()
+    return run(writer, checkpoint, once)
 
 
 def emit_requests(searches: DataFrame) -> DataFrame:
