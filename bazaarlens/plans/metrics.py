@@ -11,7 +11,6 @@ from . import views
 from .views import with_cte
 
 SERIES = ["metric", "job", "cluster", "instance", "area"]
-BYTES_IN = "kafka_server_BrokerTopicMetrics_BytesInPerSec_total"
 
 
 def _beans(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -66,34 +65,34 @@ def metric_asof(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def rate_5m(spark: SparkSession, sf_dir: str) -> DataFrame:
-    counters = views.samples(spark, sf_dir).filter(F.col("metric") == BYTES_IN)
+    counters = views.samples(spark, sf_dir, views.BYTES_IN)
     return metrics.counter_rate(counters, SERIES)
 
 
 def rate_5m_plain(spark: SparkSession, sf_dir: str) -> DataFrame:
-    counters = views.samples(spark, sf_dir).filter(F.col("metric") == BYTES_IN)
+    counters = views.samples(spark, sf_dir, views.BYTES_IN)
     return metrics.counter_rate(counters, SERIES, extrapolate=False)
 
 
 def rate_on_grid(spark: SparkSession, sf_dir: str) -> DataFrame:
-    counters = views.samples(spark, sf_dir).filter(F.col("metric") == BYTES_IN)
+    counters = views.samples(spark, sf_dir, views.BYTES_IN)
     return metrics.rate_on_grid(counters, SERIES)
 
 
 def alert_ratio(spark: SparkSession, sf_dir: str) -> DataFrame:
-    heap = views.samples(spark, sf_dir).filter("area = 'heap'")
+    heap = views.samples(spark, sf_dir, views.HEAP, views.HEAP_MAX).filter("area = 'heap'")
     keys = ["ts_us", "cluster", "instance", "area"]
-    return metrics.ratio(heap, "jvm_memory_heap_bytes", "jvm_memory_heap_bytes_max", keys)
+    return metrics.ratio(heap, views.HEAP, views.HEAP_MAX, keys)
 
 
 def heap_percent(spark: SparkSession, sf_dir: str) -> DataFrame:
-    heap = views.samples(spark, sf_dir).filter("area = 'heap'")
+    heap = views.samples(spark, sf_dir, views.HEAP, views.HEAP_MAX).filter("area = 'heap'")
     keys = ["ts_us", "cluster", "instance", "area"]
-    return metrics.ratio(heap, "jvm_memory_heap_bytes", "jvm_memory_heap_bytes_max", keys, scale=100.0)
+    return metrics.ratio(heap, views.HEAP, views.HEAP_MAX, keys, scale=100.0)
 
 
 def status_latest(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return metrics.status_latest(views.samples(spark, sf_dir))
+    return metrics.status_latest(views.samples(spark, sf_dir, "up"))
 
 
 def metric_sample_counts(spark: SparkSession, sf_dir: str) -> DataFrame:

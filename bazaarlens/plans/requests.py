@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from ..functions.text import rfc3339
 from ..operators import popularity, recommend, requests
+from ..sinks.topics import as_messages
 from . import views
 from .views import with_cte
 
@@ -72,6 +73,13 @@ from chosen c left join alternatives a using (event_id)
     )
 
 
+def recommendation_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Recommendations as topic messages."""
+    searches = views.searches(spark, sf_dir).withColumn("timestamp", rfc3339(F.col("ts")))
+    popular = popularity.popular_products(searches)
+    return as_messages(recommend.recommend(searches, popular, term="term", inline=True), "recommendations")
+
+
 def request_envelope(spark: SparkSession, sf_dir: str) -> DataFrame:
     return requests.request_envelope(views.searches(spark, sf_dir)).select("event_id", "value")
 
@@ -145,6 +153,16 @@ from searches where product_name is not null group by product_name
         recommend_alternatives,
         f"select event_id, alternatives from ({_recommend_sql('rank <= 10')}) r",
     ),
+    "recommendation_messages": (
+        recommendation_messages,
+        f"""
+select 'recommendations' as topic,
+       '{{"product_id":"' || product_id || '","product_name":"' || product_name || '","reason":"' || reason
+       || '","confidence":0.9,"alternatives":["' || replace(alternatives, '|', '","') || '"],"timestamp":"'
+       || "timestamp" || '"}}' as value
+from ({_recommend_sql("rank <= 10")}) r
+""",
+    ),
     "recommend_long_list": (recommend_long_list, _recommend_sql("rank <= 10000")),
     "request_envelope": (
         request_envelope,

@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..functions.jsontext import first_case
+
 BASE_US = 1_704_067_200_000_000  # 2024-01-01 00:00:00 UTC
 
 
@@ -135,46 +137,62 @@ messages as (
 """
 
 
-def _sample(metric: str, value: Column, area: str = "") -> Column:
-    return F.struct(F.lit(metric).alias("metric"), F.lit(area).alias("area"), value.cast("double").alias("value"))
+IDLE = "kafka_request_handler_AvgIdlePercent"
+REPLICAS = "kafka_server_ReplicaManager_UnderReplicatedPartitions"
+HEAP, HEAP_MAX = "jvm_memory_heap_bytes", "jvm_memory_heap_bytes_max"
+BYTES_IN = "kafka_server_BrokerTopicMetrics_BytesInPerSec_total"
+# Which events carry which metrics.
+SOURCES = {"up": "error", REPLICAS: "view", HEAP: "click", HEAP_MAX: "click", IDLE: "purchase", BYTES_IN: "signup"}
 
 
-def samples_of(events: DataFrame) -> DataFrame:
-    """Broker metrics: events as scrapes, 1.5 s apart, of 32 brokers in two clusters."""
+def _sample_values() -> dict[str, tuple[Column, str]]:
+    """Metric to value and area."""
+    raw, user = F.col("value"), F.col("user_id")
     phase = F.expr("event_id div 800 + user_id")
-    eid, raw = F.col("event_id"), F.col("value")
-    heap = [
-        _sample("jvm_memory_heap_bytes", F.round(raw * 10) % 1000, "heap"),
-        _sample("jvm_memory_heap_bytes_max", F.lit(900) + F.col("user_id") % 7 * 20, "heap"),
-    ]
-    kinds = {
-        "error": [_sample("up", F.when(phase % 3 == 0, F.lit(0)).otherwise(F.lit(1)))],
-        "view": [_sample("kafka_server_ReplicaManager_UnderReplicatedPartitions", phase % 4)],
-        "click": heap,
-        "purchase": [_sample("kafka_request_handler_AvgIdlePercent", F.round(raw * 10) % 30 + phase % 3 * 4)],
-        "signup": [
-            _sample(
-                "kafka_server_BrokerTopicMetrics_BytesInPerSec_total",
-                (eid % 5000) * (F.col("user_id") % 4) * 200,
-            )
-        ],
+    return {
+        "up": (F.when(phase % 3 == 0, F.lit(0)).otherwise(F.lit(1)), ""),
+        REPLICAS: (phase % 4, ""),
+        HEAP: (F.round(raw * 10) % 1000, "heap"),
+        HEAP_MAX: (F.lit(900) + user % 7 * 20, "heap"),
+        IDLE: (F.round(raw * 10) % 30 + phase % 3 * 4, ""),
+        BYTES_IN: ((F.col("event_id") % 5000) * (user % 4) * 200, ""),
     }
-    found = F.coalesce(*[F.when(F.col("event_type") == kind, F.array(*s)) for kind, s in kinds.items()])
+
+
+def samples_of(events: DataFrame, *metrics: str) -> DataFrame:
+    """Broker metrics: events as scrapes, 1.5 s apart, of 32 brokers in two clusters.
+
+    With ``metrics`` only those, and only the events that carry them are read.
+    """
+    values = {name: v for name, v in _sample_values().items() if not metrics or name in metrics}
+    kinds = sorted({SOURCES[name] for name in values})
+    found = []
+    for kind in kinds:
+        carried = [
+            F.struct(F.lit(name).alias("metric"), F.lit(area).alias("area"), value.cast("double").alias("value"))
+            for name, (value, area) in values.items()
+            if SOURCES[name] == kind
+        ]
+        found.append((F.col("event_type") == kind, F.array(*carried)))
     side = (F.col("user_id") % 2 + 1).cast("string")
-    return events.select(
-        eid,
-        (F.lit(BASE_US) + eid * 1_500_000).alias("ts_us"),
-        F.when(F.col("user_id") % 32 == 31, F.lit("prometheus"))
-        .otherwise(F.concat(F.lit("kafka-cluster-"), side))
-        .alias("job"),
-        F.concat(F.lit("cluster-"), side).alias("cluster"),
-        F.concat(F.lit("broker-"), (F.col("user_id") % 32).cast("string")).alias("instance"),
-        F.explode(found).alias("sample"),
-    ).select("event_id", "ts_us", "job", "cluster", "instance", "sample.*")
-
-
-def samples(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return samples_of(table(spark, sf_dir, "events"))
+    return (
+        events.filter(F.col("event_type").isin(kinds))
+        .select(
+            "event_id",
+            (F.lit(BASE_US) + F.col("event_id") * 1_500_000).alias("ts_us"),
+            F.when(F.col("user_id") % 32 == 31, F.lit("prometheus"))
+            .otherwise(F.concat(F.lit("kafka-cluster-"), side))
+            .alias("job"),
+            F.concat(F.lit("cluster-"), side).alias("cluster"),
+            F.concat(F.lit("broker-"), (F.col("user_id") % 32).cast("string")).alias("instance"),
+            F.explode(first_case(found)).alias("sample"),
+        )
+        .select("event_id", "ts_us", "job", "cluster", "instance", "sample.*")
+    )
+
+
+def samples(spark: SparkSession, sf_dir: str, *metrics: str) -> DataFrame:
+    return samples_of(table(spark, sf_dir, "events"), *metrics)
 
 
 SAMPLES = f"""

@@ -43,4 +43,6 @@ def test_scans_are_narrow_and_filtered(spark):
     text = scans("term_counts")
     assert "ReadSchema: struct<event_id:bigint,event_type:string>" in text
     assert "ReadSchema: struct<p_partkey:bigint,p_name:string>" in text
-    assert "ReadSchema: struct<event_id:bigint,user_id:bigint,event_type:string>" in scans("status_latest")
+    text = scans("status_latest")
+    assert "ReadSchema: struct<event_id:bigint,user_id:bigint,event_type:string>" in text
+    assert "EqualTo(event_type,error)" in text
