@@ -13,6 +13,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.jsontext import first_case
+from ..functions.text import fixed
 from . import metrics
 
 LABELS = ["job", "cluster", "instance", "area"]
@@ -351,9 +352,10 @@ def percentage(value: Column) -> Column:
     percent = value * 100
     size = F.abs(percent)
     places = [(1000, 0), (100, 1), (10, 2), (1, 3), (0.1, 4), (0.01, 5), (0.001, 6)]
-    text = first_case([(size >= low, F.format_string(f"%.{n}f", percent)) for low, n in places])
+    text = first_case([(size >= low, fixed(percent, n)) for low, n in places])
     text = F.when(F.contains(text, F.lit(".")), F.regexp_replace(text, r"\.?0+$", "")).otherwise(text)
-    return F.concat(F.when(size < float("inf"), F.coalesce(text, plain_number(percent))).otherwise(plain_number(percent)), F.lit("%"))
+    text = F.when(size < float("inf"), text)
+    return F.concat(F.coalesce(text, plain_number(percent)), F.lit("%"))
 
 
 def fill(template: str, value: str = "value") -> Column:

@@ -1,9 +1,12 @@
+import random
+
 import pytest
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from bazaarlens import schemas
+from bazaarlens.functions import text
 from bazaarlens.functions.filtered_line import parse_line
 from bazaarlens.operators import containment, search
 from bazaarlens.sinks import files as file_sinks
@@ -104,6 +107,21 @@ def test_display(sample):
     assert shown["price"] == "9999.99 RUB"
 
 
+def test_prices_round_like_printf(spark):
+    rng = random.Random(11)
+    values = [0.125, 0.375, 1.005, 1.015, 2.675, 0.005, 0.015, 10.0, 0.0, 99999999.995, 1e9, 1e15, 0.994999999, 8.345]
+    values += [rng.randrange(10**7) / 1000 for _ in range(3000)] + [rng.random() * 100 for _ in range(500)]
+    values += [rng.randrange(10**5) / 8 for _ in range(500)]
+    frame = spark.createDataFrame([(v,) for v in values], "v double")
+    for places in (0, 2, 4):
+        got = frame.select("v", text.fixed(F.col("v"), places).alias("t")).collect()
+        assert [r["t"] for r in got] == [f"{v:.{places}f}" for v in values]
+    row = spark.createDataFrame([(float("nan"), -2.5)], "a double, b double").select(
+        text.fixed(F.col("a"), 2), text.fixed(F.col("b"), 0), text.price_label(F.col("b"), F.lit("RUB"))
+    )
+    assert tuple(row.first()) == ("NaN", "-2", "-2.50 RUB")
+
+
 NAMES = ["Red ring", "small RING", "ringing bell", "", None, "a.b%c", "Red ring"]
 TERMS = ["ring", "RING", "", "red", "b%", "zzz", "bell", None]
 
