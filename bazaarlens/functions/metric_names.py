@@ -67,25 +67,34 @@ def rename(beans: DataFrame, bean: str = "bean", domains: list[str] | None = Non
     """
     domains = EXPORTED_DOMAINS if domains is None else domains
     rows = beans.filter(F.substring_index(bean, "<", 1).isin(domains)) if domains else beans
-    number = first_case([(F.col(bean).rlike(rule[0]), F.lit(i)) for i, rule in enumerate(RENAME_RULES)])
-    rows = rows.withColumn("rule", number).filter("rule is not null")
+
+    def matches(pattern: str) -> Column:
+        # All patterns end in the literal attribute; most beans fail on it without any regex.
+        tail = pattern[pattern.rindex("><>") :]
+        return F.contains(F.col(bean), F.lit(tail)) & F.col(bean).rlike(pattern)
+
+    number = first_case([(matches(rule[0]), F.lit(i)) for i, rule in enumerate(RENAME_RULES)])
+    # No rule, no row. A filter would be moved below the column and test all patterns twice.
+    rows = rows.withColumn("rule", F.explode(F.array_compact(F.array(number))))
 
     def by_rule(texts: list[str]) -> Column:
-        """The text of the row's rule, filled from the groups of its pattern if it has any."""
-        constants = F.get(F.array(*map(F.lit, texts)), F.col("rule"))
-        filled = [
-            (F.col("rule") == i, F.regexp_replace(bean, f"^.*?{RENAME_RULES[i][0]}.*$", text))
-            for i, text in enumerate(texts)
-            if "$" in text
+        return F.get(F.array(*map(F.lit, texts)), F.col("rule"))
+
+    def filled(templates: list[str]) -> Column:
+        """The template of the row's rule with the groups of its pattern put in."""
+        with_groups = [
+            (F.col("rule") == i, F.regexp_replace(bean, f"^.*?{RENAME_RULES[i][0]}.*$", template))
+            for i, template in enumerate(templates)
+            if "$" in template
         ]
-        return F.coalesce(first_case(filled), constants)
+        return F.coalesce(first_case(with_groups), by_rule(templates))
 
     labels = [LABEL_SEPARATOR.join(f"{k}={v}" for k, v in rule[3].items()) for rule in RENAME_RULES]
-    label_map = F.str_to_map(by_rule(labels), F.lit(LABEL_SEPARATOR), F.lit("="))
-    legal = F.regexp_replace(by_rule([rule[1] for rule in RENAME_RULES]), "[^a-zA-Z0-9:_]|_+", "_")
+    label_map = F.str_to_map(filled(labels), F.lit(LABEL_SEPARATOR), F.lit("="))
+    legal = F.regexp_replace(filled([rule[1] for rule in RENAME_RULES]), "[^a-zA-Z0-9:_]|_+", "_")
     return (
         rows.withColumn("name", F.lower(F.regexp_replace(legal, "_+", "_")))
-        .withColumn("type", F.get(F.array(*[F.lit(rule[2]) for rule in RENAME_RULES]), F.col("rule")))
+        .withColumn("type", by_rule([rule[2] for rule in RENAME_RULES]))
         .withColumn("labels", F.map_filter(label_map, lambda key, _: key != ""))
         .withColumn("rule", F.col("rule") + 1)
     )

@@ -23,27 +23,33 @@ def contains_fold(text: Column, needle: Column) -> Column:
     return F.contains(F.lower(text), F.lower(needle))
 
 
-def fixed(value: Column, places: int) -> Column:
-    """``%.<places>f`` with the number's exact binary value rounded, ties to even.
+def nearest(value: Column, power: Column) -> Column:
+    """The whole number next to the exact binary value times a power of ten, ties to even.
 
-    Java's formatter rounds the shortest decimal form up instead: it prints 0.125 as 0.13 and 1.005
-    as 1.01. Here the number is split in two halves whose products with the power of ten are exact,
-    which tells on which side of a tie it lies.
+    The value is split in two halves whose products with the power are exact, which tells on
+    which side of a tie it lies. Good for products below 1e15 and powers below 1e7.
     """
-    power = float(10**places)
     high = value.cast("float").cast("double")
     near = F.rint(value * power)
-    # Distance of the exact product from the ties above and below ``near``; the sign is exact.
+    # Distance from the ties above and below ``near``; the signs are exact.
     above = (high * power - near - 0.5) + (value - high) * power
     below = (high * power - near + 0.5) + (value - high) * power
     odd = F.abs(near % 2) == 1
-    step = (
+    return near + (
         F.when((above > 0) | ((above == 0) & odd), F.lit(1.0))
         .when((below < 0) | ((below == 0) & odd), F.lit(-1.0))
         .otherwise(F.lit(0.0))
     )
-    exact = (near + step).cast("decimal(20,0)") * F.lit(Decimal(1).scaleb(-places))
-    text = exact.cast(f"decimal(28,{places})").cast("string")
+
+
+def fixed(value: Column, places: int) -> Column:
+    """``%.<places>f`` of the number's exact binary value.
+
+    Java's formatter rounds the shortest decimal form up instead: it prints 0.125 as 0.13 and 1.005
+    as 1.01.
+    """
+    digits = nearest(value, F.lit(float(10**places))).cast("decimal(20,0)")
+    text = (digits * F.lit(Decimal(1).scaleb(-places))).cast(f"decimal(28,{places})").cast("string")
     return F.when(F.abs(value) < 1e8, text).otherwise(F.format_string(f"%.{places}f", value))
 
 

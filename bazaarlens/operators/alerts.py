@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.jsontext import first_case
-from ..functions.text import fixed
+from ..functions.text import nearest
 from . import metrics
 
 LABELS = ["job", "cluster", "instance", "area"]
@@ -351,15 +351,22 @@ def percentage(value: Column) -> Column:
     """A share as a percentage with four significant digits."""
     percent = value * 100
     size = F.abs(percent)
-    places = [(1000, 0), (100, 1), (10, 2), (1, 3), (0.1, 4), (0.01, 5), (0.001, 6)]
-    text = first_case([(size >= low, fixed(percent, n)) for low, n in places])
-    text = F.when(F.contains(text, F.lit(".")), F.regexp_replace(text, r"\.?0+$", "")).otherwise(text)
-    text = F.when(size < float("inf"), text)
-    return F.concat(F.coalesce(text, plain_number(percent)), F.lit("%"))
+    steps = [(1000, 1.0), (100, 10.0), (10, 100.0), (1, 1e3), (0.1, 1e4), (0.01, 1e5), (0.001, 1e6)]
+    power = first_case([(size >= low, F.lit(by)) for low, by in steps])
+    digits = nearest(percent, power).cast("decimal(20,0)")
+    text = (digits * (F.lit(1.0) / power).cast("decimal(7,6)")).cast("string")
+    known = (size >= 0.001) & (size < 1e8)
+    return F.concat(F.when(known, F.regexp_replace(text, r"\.?0+$", "")).otherwise(plain_number(percent)), F.lit("%"))
 
 
-def fill(template: str, value: str = "value") -> Column:
-    """A text with {{ $labels.x }}, {{ $value }} and {{ $value | humanizePercentage }} filled in."""
+PLAIN, SHARE = "_plain", "_share"
+
+
+def fill(template: str) -> Column:
+    """A text with {{ $labels.x }}, {{ $value }} and {{ $value | humanizePercentage }} filled in.
+
+    The two forms of the value are columns, see ``annotate``.
+    """
     parts = []
     for piece in re.split(r"(\{\{.*?\}\})", template):
         inner = piece[2:-2].strip() if piece.startswith("{{") else None
@@ -368,9 +375,9 @@ def fill(template: str, value: str = "value") -> Column:
         elif inner.startswith("$labels."):
             parts.append(F.coalesce(F.col(inner.removeprefix("$labels.")), F.lit("")))
         elif inner == "$value":
-            parts.append(plain_number(F.col(value)))
+            parts.append(F.col(PLAIN))
         elif inner.replace(" ", "") == "$value|humanizePercentage":
-            parts.append(percentage(F.col(value)))
+            parts.append(F.col(SHARE))
         else:
             raise ValueError(f"unknown placeholder {piece}")
     return F.concat(*parts)
@@ -378,7 +385,14 @@ def fill(template: str, value: str = "value") -> Column:
 
 def annotate(alerts: DataFrame, rules: list[Rule]) -> DataFrame:
     """Adds ``summary`` and ``description`` from the templates of each alert's rule."""
-    same = lambda r: (F.col("alertname") == r.alertname) & (F.col("severity") == r.severity)
-    return alerts.withColumn("summary", first_case([(same(r), fill(r.summary)) for r in rules])).withColumn(
-        "description", first_case([(same(r), fill(r.description)) for r in rules])
+    mine = [((F.col("alertname") == r.alertname) & (F.col("severity") == r.severity), r) for r in rules]
+    return (
+        alerts.withColumns({PLAIN: plain_number(F.col("value")), SHARE: percentage(F.col("value"))})
+        .withColumns(
+            {
+                "summary": first_case([(test, fill(r.summary)) for test, r in mine]),
+                "description": first_case([(test, fill(r.description)) for test, r in mine]),
+            }
+        )
+        .drop(PLAIN, SHARE)
     )
