@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.text import contains_fold, rfc3339
+from ..functions.text import rfc3339
 from . import containment
 
 # Fixed values of a recommendation.
@@ -24,9 +24,10 @@ def _names(popular: DataFrame) -> DataFrame:
 
 
 def _as_array(names: DataFrame) -> Column:
-    """The names in rank order as one array value of the plan; callers bound the rows."""
-    rows = F.array_sort(F.collect_list(F.struct("rank", "product_name")))
-    return names.agg(F.transform(rows, lambda row: row["product_name"])).scalar()
+    """(rank, product_name, folded) in rank order as one array value of the plan; callers bound
+    the rows."""
+    row = F.struct("rank", "product_name", F.lower("product_name").alias("folded"))
+    return names.agg(F.array_sort(F.collect_list(row))).scalar()
 
 
 def alternatives(term: Column, leaders: Column) -> Column:
@@ -71,14 +72,13 @@ def recommend(
         inline = containment.inline(names)
     rows = requests.withColumn("_term", F.coalesce(F.col(term), F.lit("")))
     if inline:
-        rows = rows.withColumn("_listed", _as_array(names))
-        hits = F.filter("_listed", lambda name: contains_fold(F.col("_term"), name))
-        rows = rows.withColumn("matched", F.get(hits, F.lit(0)))
-        leaders = F.slice("_listed", 1, LEADERS)
+        rows = rows.withColumn("_listed", _as_array(names)).withColumn("_folded", F.lower("_term"))
+        hits = F.filter("_listed", lambda row: F.contains(F.col("_folded"), row["folded"]))
+        rows = rows.withColumn("matched", F.get(hits, F.lit(0))["product_name"])
     else:
         rows = _first_contained(rows, names)
-        rows = rows.withColumn("_leaders", _as_array(names.orderBy("rank").limit(LEADERS)))
-        leaders = F.col("_leaders")
+        rows = rows.withColumn("_listed", _as_array(names.orderBy("rank").limit(LEADERS)))
+    leaders = F.slice("_listed", 1, LEADERS)["product_name"]
     top = F.get(leaders, F.lit(0))
     product = F.coalesce(
         F.concat("matched", F.lit(POPULAR_SUFFIX)),

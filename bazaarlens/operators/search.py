@@ -35,9 +35,10 @@ def search_many(products: DataFrame, terms: DataFrame, inline: bool | None = Non
     if inline is None:
         inline = containment.inline(terms)
     if inline:
-        rows = products.withColumn("_listed", terms.agg(F.collect_list("term")).scalar())
-        hits = F.filter("_listed", lambda term: contains_fold(F.col("name"), term))
-        return rows.withColumn("term", F.explode(hits)).drop("_listed")
+        rows = products.withColumn("_listed", _folded(terms).agg(F.collect_list(F.struct("*"))).scalar())
+        rows = rows.withColumn("_name", F.lower("name"))
+        hits = F.filter("_listed", lambda row: F.contains(F.col("_name"), row["folded_needle"]))
+        return rows.withColumn("term", F.explode(hits["term"])).drop("_listed", "_name")
     names = products.filter("name is not null").select(F.lower("name").alias("folded_text")).distinct()
     needles = _folded(terms)
     pairs = containment.containing_pairs(names, needles.select("folded_needle").distinct())
