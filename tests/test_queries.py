@@ -4,6 +4,7 @@ import pytest
 from check_oracle import compare, connect
 
 import __spark_entry__ as entry_points
+from bazaarlens.plans import views
 
 SF = "/root/testdata/sf0.001"
 
@@ -18,6 +19,12 @@ def test_query(spark, duck, name):
     assert compare(spark, duck, SF, name) == ""
 
 
+@pytest.mark.parametrize("name", sorted(views.SCHEMAS))
+def test_stated_schemas_are_those_of_the_tables(spark, name):
+    stated = views.table(spark, SF, name).schema
+    assert stated == spark.read.parquet(f"{SF}/{name}.parquet").schema
+
+
 def test_entry(spark):
     assert entry_points.entry(spark).count() > 0
 
