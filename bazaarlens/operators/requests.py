@@ -10,6 +10,8 @@ from ..functions.text import archive_name, rfc3339
 
 
 FIELDS = ["product_name", "timestamp"]
+# A request just as producers write it, without escapes: its fields are read without a parser.
+AS_WRITTEN = r'^\{"product_name":"([^"\\\x00-\x1f]*+)","timestamp":"([^"\\\x00-\x1f]*+)"\}$'
 
 
 def request_json(name: Column, ts: Column) -> Column:
@@ -22,8 +24,8 @@ def request_envelope(requests: DataFrame, name: str = "product_name", ts: str =
     return requests.withColumn("value", envelope.encode(request_json(F.col(name), F.col(ts))))
 
 
-def decode_requests(messages: DataFrame, value: str = "value") -> DataFrame:
-    """Adds product_name, timestamp and ``decoded``; undecodable messages stay, marked false.
+def _with_request(messages: DataFrame, value: str) -> DataFrame:
+    """Adds ``_request``, the fields of a decodable message, else null.
 
     A field must be text, null or absent; null and absent read as empty text.
     """
@@ -33,26 +35,48 @@ def decode_requests(messages: DataFrame, value: str = "value") -> DataFrame:
     rows = rows.withColumn("_inner", F.coalesce(unpacked, "_body"))
     # A bare null is no request, but a null inside an envelope is an empty one.
     empty = (F.col("_inner") == "null") & (F.col("_body") != "null")
+    rows = rows.withColumn("_plain", F.coalesce(F.rlike("_inner", F.lit(AS_WRITTEN)), F.lit(False)))
     whole = F.startswith("_inner", F.lit("{")) & jsontext.has_no_tail(F.col("_inner"))
-    rows = rows.withColumn("_doc", F.when(whole, F.try_parse_json("_inner")))
+    rows = rows.withColumn("_doc", F.when(~F.col("_plain") & whole, F.try_parse_json("_inner")))
+    rows = rows.withColumns({f"_{key}": envelope.field_any_case(F.col("_doc"), key) for key in FIELDS})
     typed = F.lit(True)
     for key in FIELDS:
-        rows = rows.withColumn(f"_{key}", envelope.field_any_case(F.col("_doc"), key))
         node = F.col(f"_{key}")
         typed = typed & (node.isNull() | jsontext.kind(node).isin("STRING", "VOID"))
-    decoded = F.coalesce(empty, F.lit(False)) | (F.col("_doc").isNotNull() & typed)
-    rows = rows.withColumn("decoded", decoded)
-    for key in FIELDS:
-        text = F.coalesce(F.col(f"_{key}").cast("string"), F.lit(""))
-        rows = rows.withColumn(key, F.when(F.col("decoded"), text))
-    return rows.drop("_body", "_inner", "_doc", *[f"_{key}" for key in FIELDS])
+
+    def fields(text_of) -> Column:
+        return F.struct(*[text_of(i, key).alias(key) for i, key in enumerate(FIELDS, start=1)])
+
+    request = jsontext.first_case(
+        [
+            (F.col("_plain"), fields(lambda i, key: F.regexp_extract("_inner", AS_WRITTEN, i))),
+            (empty, fields(lambda i, key: F.lit(""))),
+            (
+                F.col("_doc").isNotNull() & typed,
+                fields(lambda i, key: F.coalesce(F.col(f"_{key}").cast("string"), F.lit(""))),
+            ),
+        ]
+    )
+    return rows.withColumn("_request", request).drop("_body", "_inner", "_plain", "_doc", *[f"_{k}" for k in FIELDS])
+
+
+def decode_requests(messages: DataFrame, value: str = "value") -> DataFrame:
+    """Adds product_name, timestamp and ``decoded``; undecodable messages stay, marked false."""
+    columns = {key: F.col(f"_request.{key}") for key in FIELDS}
+    rows = _with_request(messages, value).withColumns({"decoded": F.col("_request").isNotNull(), **columns})
+    return rows.drop("_request")
 
 
 def split_decoded(messages: DataFrame, value: str = "value") -> tuple[DataFrame, DataFrame]:
-    """Decoded requests, and the quarantined messages that are no requests."""
-    rows = decode_requests(messages, value)
-    good = rows.filter("decoded").drop("decoded")
-    return good, rows.filter("not decoded").drop("decoded", "product_name", "timestamp")
+    """Decoded requests, and the quarantined messages that are no requests.
+
+    Rows are chosen by exploding: a filter would be moved below the decoding and repeat all of it.
+    """
+    rows = _with_request(messages, value)
+    good = rows.withColumn("_request", F.explode(F.array_compact(F.array("_request"))))
+    good = good.withColumns({key: F.col(f"_request.{key}") for key in FIELDS}).drop("_request")
+    bad = rows.withColumn("_request", F.explode(F.when(F.col("_request").isNull(), F.array(F.lit(1)))))
+    return good, bad.drop("_request")
 
 
 def last_write(records: DataFrame, record_id: str, ts: str, order: list[str], payload: list[str]) -> DataFrame:

@@ -101,7 +101,7 @@ def refresh_popular(
 
 def archive_requests(stream: DataFrame, out: str, checkpoint: str, once: bool = False) -> StreamingQuery:
     """Request messages decoded and stored as JSON lines, one folder per day of ``timestamp``."""
-    good = requests.decode_requests(stream).filter("decoded")
+    good, _ = requests.split_decoded(stream)
     rows = good.select("product_name", "timestamp", F.substring("timestamp", 1, 10).alias("dt"))
     writer = rows.writeStream.format("json").partitionBy("dt").option("path", out)
     return run(writer, checkpoint, once)
