@@ -5,10 +5,18 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontaminate, line_windows, quality, simhash
+from . import bpe, decontaminate, line_windows, quality, simhash, wavelet
 from .common import table
 
 
+def token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return wavelet.token_file_report(table(spark, sf_dir, "documents"))
+
+
+def bpe_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return bpe.encode(table(spark, sf_dir, "documents"), outputs=False)
+
+
 def line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return line_windows.line_report(table(spark, sf_dir, "documents"))
 
@@ -100,6 +108,8 @@ def quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op1_token_files": (token_files, None),
+    "op2_bpe_round_trip": (bpe_round_trip, None),
     "op6_line_dedup": (line_dedup, LINE_DEDUP_SQL),
     "op7_simhash_near_dedup": (simhash_near_dedup, None),
     "op8_benchmark_decontamination": (benchmark_decontamination, DECONTAMINATION_SQL),
