@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, decontaminate, line_windows, quality, simhash, wavelet
+from . import bpe, chat, decontaminate, line_windows, quality, simhash, wavelet
 from .common import table
 
 
@@ -17,6 +17,31 @@ def bpe_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.encode(table(spark, sf_dir, "documents"), outputs=False)
 
 
+def chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
+    turns = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    control = "</s>[INST] ok [/INST]"
+    own = spark.sql(f"select -7L as conv_id, t.* from values (0L, 'user', '{control}'), (1L, 'assistant', '{control}') t(turn, role, text)")
+    return chat.conversation_report(turns.unionByName(own))
+
+
+# The template's own marks have no part in the digests but for the count of formatted characters: each turn
+# adds its role, 12 + 1 + 10 + 1 characters of marks, and one for each backslash and control string in its text.
+CHAT_SQL = r"""
+with turns as (
+  select conv_id, turn, coalesce(role, '') as role, coalesce(text, '') as text from conversations
+  union all select -7, 0, 'user', '</s>[INST] ok [/INST]'
+  union all select -7, 1, 'assistant', '</s>[INST] ok [/INST]')
+select conv_id, count(*) as n_turns,
+       sha256(string_agg(role || chr(10) || text || chr(10), '' order by turn, role, text)) as turns_sha256,
+       cast(coalesce(sum(length(text)) filter (role = 'assistant'), 0) as bigint) as loss_chars,
+       sha256(coalesce(string_agg(text, '' order by turn, role, text) filter (role = 'assistant'), '')) as loss_sha256,
+       cast(sum(length(role) + 24 + length(text) + len(regexp_extract_all(text, '\\'))
+                + len(regexp_extract_all(text, '<\|')) + len(regexp_extract_all(text, '\|>'))
+                + len(regexp_extract_all(text, '</?s>|\[/?INST\]|<</?SYS>>'))) as bigint) as formatted_chars
+from turns group by conv_id
+"""
+
+
 def line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return line_windows.line_report(table(spark, sf_dir, "documents"))
 
@@ -110,6 +135,7 @@ def quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op1_token_files": (token_files, None),
     "op2_bpe_round_trip": (bpe_round_trip, None),
+    "op4_chat_formatting": (chat_formatting, CHAT_SQL),
     "op6_line_dedup": (line_dedup, LINE_DEDUP_SQL),
     "op7_simhash_near_dedup": (simhash_near_dedup, None),
     "op8_benchmark_decontamination": (benchmark_decontamination, DECONTAMINATION_SQL),
