@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, chat, decontaminate, line_windows, quality, simhash, wavelet
+from . import bpe, chat, decontaminate, html_template, line_windows, personal, quality, simhash, wavelet
 from .common import table
 
 
@@ -17,6 +17,10 @@ def bpe_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.encode(table(spark, sf_dir, "documents"), outputs=False)
 
 
+def html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_template.extract(table(spark, sf_dir, "pages"))
+
+
 def chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
     turns = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
     control = "</s>[INST] ok [/INST]"
@@ -42,6 +46,10 @@ from turns group by conv_id
 """
 
 
+def personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return personal.find_personal_data(table(spark, sf_dir, "documents"))
+
+
 def line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return line_windows.line_report(table(spark, sf_dir, "documents"))
 
@@ -135,7 +143,9 @@ def quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op1_token_files": (token_files, None),
     "op2_bpe_round_trip": (bpe_round_trip, None),
+    "op3_html_extraction": (html_extraction, None),
     "op4_chat_formatting": (chat_formatting, CHAT_SQL),
+    "op5_personal_data": (personal_data, None),
     "op6_line_dedup": (line_dedup, LINE_DEDUP_SQL),
     "op7_simhash_near_dedup": (simhash_near_dedup, None),
     "op8_benchmark_decontamination": (benchmark_decontamination, DECONTAMINATION_SQL),
