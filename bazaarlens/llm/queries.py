@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, chat, decontaminate, html_template, line_windows, personal, quality, simhash, wavelet
+from . import bpe, chat, decontaminate, html_template, line_windows, lm_scoring, personal, quality, simhash, wavelet
 from .common import table
 
 
@@ -136,6 +136,10 @@ from doc_words d left join hit h using (doc_id) left join items i using (doc_id)
 """
 
 
+def lm_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lm_scoring.score(table(spark, sf_dir, "documents"))
+
+
 def quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.judge(table(spark, sf_dir, "documents"))
 
@@ -149,5 +153,6 @@ QUERIES = {
     "op6_line_dedup": (line_dedup, LINE_DEDUP_SQL),
     "op7_simhash_near_dedup": (simhash_near_dedup, None),
     "op8_benchmark_decontamination": (benchmark_decontamination, DECONTAMINATION_SQL),
+    "op9_lm_scoring": (lm_scores, None),
     "op10_quality_rules": (quality_rules, None),
 }
