@@ -16,7 +16,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from . import schemas
 from .operators import catalog, popularity, recommend, search
-from .session import build_session, written
+from .session import build_session
 from .sinks.files import write_allow_list, write_batch
 from .sinks.topics import as_messages
 from .sources import files
@@ -27,11 +27,6 @@ def _ids(spark: SparkSession, values: list[str]) -> DataFrame:
     return spark.createDataFrame(list(enumerate(values, 1)), schemas.ALLOW_LIST)
 
 
-def _store(edited: DataFrame, table: str) -> None:
-    # The table cannot be overwritten while it is read: the edit is written elsewhere first.
-    write_allow_list(written(edited, "allow-list"), table)
-
-
 def run(spark: SparkSession, args: argparse.Namespace) -> DataFrame:
     """Do what was asked and return what there is to show."""
     if args.job == "popular":
@@ -39,19 +34,19 @@ def run(spark: SparkSession, args: argparse.Namespace) -> DataFrame:
     if args.job == "recommend":
         found = recommend.recommend_now(files.read_requests(spark, args.base), files.read_popular(spark, args.base))
         write_batch(as_messages(found, "recommendations"), f"{args.base}/messages", 0)
-        return spark.read.parquet(f"{args.base}/messages/batch_id=0").limit(20)
+        return spark.read.parquet(f"{args.base}/messages/batch_id=0")
     if args.job == "search":
         return search.display(search.search(files.read_filtered_products(spark, args.lines), args.name))
     if args.job == "import-list":
         write_allow_list(files.read_allow_list(spark, args.file), args.table)
-    listed = spark.read.schema(schemas.ALLOW_LIST).parquet(args.table)
+    listed = files.read_allow_table(spark, args.table)
     if args.job == "add":
-        _store(catalog.add_ids(listed, _ids(spark, args.ids)), args.table)
+        write_allow_list(catalog.add_ids(listed, _ids(spark, args.ids)), args.table)
     elif args.job == "remove":
-        _store(catalog.remove_ids(listed, _ids(spark, args.ids).select("product_id"), check=True), args.table)
+        write_allow_list(catalog.remove_ids(listed, _ids(spark, args.ids).select("product_id"), check=True), args.table)
     elif args.job == "clear":
-        _store(catalog.clear_ids(listed), args.table)
-    return catalog.numbered(spark.read.schema(schemas.ALLOW_LIST).parquet(args.table)).orderBy("line")
+        write_allow_list(catalog.clear_ids(listed), args.table)
+    return catalog.numbered(files.read_allow_table(spark, args.table)).orderBy("line")
 
 
 def parser() -> argparse.ArgumentParser:
@@ -77,7 +72,10 @@ def parser() -> argparse.ArgumentParser:
 
 def main(argv: list[str] | None = None) -> None:
     args = parser().parse_args(argv)
-    run(build_session(), args).show(truncate=False)
+    shown = run(build_session(), args)
+    print(*shown.columns, sep="\t")
+    for row in shown.toLocalIterator():  # every row, a partition at a time
+        print(*row, sep="\t")
 
 
 if __name__ == "__main__":

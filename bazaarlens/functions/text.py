@@ -18,9 +18,14 @@ def trim_space(text: Column) -> Column:
     return F.btrim(text, F.lit(WHITE_SPACE))
 
 
+def fold(text: Column) -> Column:
+    """Lower case letter by letter: a capital sigma has one lower form wherever it stands."""
+    return F.lower(F.translate(text, "\u03a3", "\u03c3"))
+
+
 def contains_fold(text: Column, needle: Column) -> Column:
     """Case-insensitive substring test; an empty needle is contained in every text."""
-    return F.contains(F.lower(text), F.lower(needle))
+    return F.contains(fold(text), fold(needle))
 
 
 def nearest(value: Column, power: Column) -> Column:

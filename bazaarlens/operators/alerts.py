@@ -204,6 +204,9 @@ def evaluate(
         chosen = samples.filter((F.col("metric") == rule.metric) & selects(rule))
         rates = metrics.rate_on_grid(chosen, series, rule.window, step)
         parts.append(_matched(rates.select("*", *single), [(rule, F.lit(True))], labels))
+    if not parts:
+        nothing = samples.select(*labels, F.col("ts_us").alias("at"), "value").select("*", *single)
+        return _matched(nothing, [(ALERT_RULES[0], F.lit(False))], labels)
     matches = parts[0]
     for part in parts[1:]:
         matches = matches.unionByName(part)
@@ -283,10 +286,10 @@ def firing_instants(alerts: DataFrame) -> DataFrame:
 
 def inhibit(firing: DataFrame) -> DataFrame:
     """Firing instants without the warnings that a critical alert of the same group silences."""
-    sources = firing.filter(F.col("severity") == INHIBITING).select(
-        "alertname", "cluster", "at", F.lit(INHIBITED).alias("severity")
-    )
-    return firing.join(sources.distinct(), ["alertname", "cluster", "at", "severity"], "left_anti")
+    where = [*GROUP_BY, "at"]
+    sources = _renamed(firing.filter(F.col("severity") == INHIBITING).select(*where).distinct(), where)
+    silenced = _same(firing, sources, where) & (firing["severity"] == INHIBITED)
+    return firing.join(sources, silenced, "left_anti")
 
 
 def route(alerts: DataFrame) -> DataFrame:
@@ -308,55 +311,174 @@ def group(alerts: DataFrame) -> DataFrame:
     )
 
 
+# Firing stretches are cut at these borders, so that a group's stretches meet slice by slice.
+SLICE = 24 * metrics.SLICE_STEPS
+
+
+def _sliced(alerts: DataFrame) -> DataFrame:
+    """Firing alerts as spans that end at slice borders: from_at, to_at and the slice."""
+    slices = F.sequence(F.expr(f"fires_at div {SLICE}"), F.expr(f"end_at div {SLICE}"))
+    rows = alerts.filter("state = 'firing'").withColumn("slice", F.explode(slices))
+    first = F.col("slice") * SLICE
+    return rows.withColumns({"from_at": F.greatest("fires_at", first), "to_at": F.least("end_at", first + SLICE - 1)})
+
+
+def _merged(spans: DataFrame, keys: list[str]) -> DataFrame:
+    """The union of the spans of each key and slice: spans that neither overlap nor touch."""
+    order = Window.partitionBy(*keys, "slice").orderBy("from_at", "to_at")
+    reached = F.max("to_at").over(order.rowsBetween(Window.unboundedPreceding, -1))
+    begun = F.coalesce(F.col("from_at") > reached + 1, F.lit(True)).cast("int")
+    numbered = spans.withColumn("begun", begun).withColumn(
+        "piece", F.sum("begun").over(order.rowsBetween(Window.unboundedPreceding, 0))
+    )
+    united = numbered.groupBy(*keys, "slice", "piece").agg(F.min("from_at").alias("from_at"), F.max("to_at").alias("to_at"))
+    return united.drop("piece")
+
+
+def _same(left: DataFrame, right: DataFrame, keys: list[str]) -> Column:
+    """Equal keys; a missing label equals a missing label."""
+    test = F.lit(True)
+    for key in keys:
+        test = test & left[key].eqNullSafe(right[f"_{key}"])
+    return test
+
+
+def _renamed(rows: DataFrame, names: list[str]) -> DataFrame:
+    return rows.select(*[F.col(n).alias(f"_{n}") for n in names])
+
+
+def inhibit_runs(alerts: DataFrame, labels: list[str] = LABELS) -> DataFrame:
+    """The firing stretches of alerts that no critical alert of the same group silences.
+
+    Rows as those of ``alert_runs``, beginning where the alert is heard: fires_at is start_at. Stretches
+    are compared slice by slice; no instant is written out.
+    """
+    spans = _sliced(alerts).select(*ALERT, *labels, "slice", "from_at", "to_at", "value")
+    where = [*GROUP_BY, "slice"]
+    silent = _merged(spans.filter(F.col("severity") == INHIBITING).select(*where, "from_at", "to_at"), GROUP_BY)
+    order = Window.partitionBy(*where).orderBy("from_at")
+    first = F.col("slice") * SLICE
+    heard_from = F.coalesce(F.lag("to_at").over(order) + 1, first)
+    last = F.lead("from_at").over(order).isNull()
+    gaps = silent.withColumn("before", F.struct(heard_from.alias("a"), (F.col("from_at") - 1).alias("b")))
+    after = F.when(last, F.struct((F.col("to_at") + 1).alias("a"), (first + SLICE - 1).alias("b")))
+    gaps = gaps.withColumn("after", after)
+    gaps = gaps.withColumn("gap", F.explode(F.array_compact(F.array("before", "after"))))
+    gaps = gaps.select(*where, F.col("gap.a").alias("a"), F.col("gap.b").alias("b"))
+    quiet = _renamed(gaps, [*where, "a", "b"])
+    warned = spans.filter(F.col("severity") == INHIBITED)
+    cut = warned.join(quiet, _same(warned, quiet, where), "left")
+    cut = cut.withColumns(
+        {"from_at": F.greatest("from_at", F.coalesce("_a", "from_at")), "to_at": F.least("to_at", F.coalesce("_b", "to_at"))}
+    ).filter("from_at <= to_at")
+    others = spans.filter(F.col("severity") != INHIBITED)
+    names = [*ALERT, *labels, "from_at", "to_at", "value"]
+    heard = runs(others.select(*names).unionByName(cut.select(*names)), [*ALERT, *labels])
+    return heard.drop("continues").withColumns({"fires_at": F.col("start_at"), "state": F.lit("firing")})
+
+
 def schedule(
-    alerts: DataFrame, step: int = metrics.EVALUATION_STEP, repeat: int = REPEAT_INTERVAL
+    alerts: DataFrame, step: int = metrics.EVALUATION_STEP, repeat: int = REPEAT_INTERVAL, interval: int = GROUP_INTERVAL
 ) -> DataFrame:
     """Notification times in seconds: rows (receiver, alertname, cluster, notify_s).
 
-    A group is first notified ``group_wait`` after it begins to fire, one group interval after
-    another alert joins it, and every repeat interval from the last of these on.
+    A group is first notified ``group_wait`` after it begins to fire, if it still fires then. From that
+    notice on it is looked at every group interval: there is a notice if an alert joined since the last
+    look, or if the repeat interval has passed since the last notice.
     """
-    routed = route(alerts).filter("state = 'firing'")
     keys = ["receiver", "group_wait", *GROUP_BY]
-    instants = (
-        routed.withColumn("at", F.explode(F.sequence("fires_at", "end_at")))
-        .groupBy(*keys, "at")
-        .agg(F.max(F.col("at") == F.col("fires_at")).alias("joined"))
-        .select(*keys, F.col("at").alias("from_at"), F.col("at").alias("to_at"), F.lit(0).alias("value"), "joined")
+    routed = route(alerts)
+    united = _merged(_sliced(routed).select(*keys, "slice", "from_at", "to_at"), keys)
+    groups = runs(united.select(*keys, "from_at", "to_at", F.lit(0).alias("value")), keys)
+    begin = F.col("start_at") * step + F.col("group_wait")
+    looks = F.floor(((F.col("end_at") + 1) * step - 1 - begin) / interval)
+    groups = groups.select(*keys, "start_at", "end_at", begin.alias("first_s"), looks.alias("looks"))
+    groups = groups.filter("looks >= 0")
+    # Alerts meet their group's stretch in the slice in which they begin.
+    slices = F.sequence(F.expr(f"start_at div {SLICE}"), F.expr(f"end_at div {SLICE}"))
+    there = _renamed(groups.withColumn("slice", F.explode(slices)), [*keys, "slice", "start_at", "end_at", "first_s", "looks"])
+    joining = routed.filter("state = 'firing'").select(*keys, "fires_at", F.expr(f"fires_at div {SLICE}").alias("slice"))
+    joined = joining.join(there, _same(joining, there, [*keys, "slice"])).filter("fires_at between _start_at and _end_at")
+    look = F.greatest(F.ceil((F.col("fires_at") * step - F.col("_first_s")) / interval), F.lit(0))
+    marks = joined.select(*keys, "_start_at", "_first_s", "_looks", look.alias("mark")).filter("mark <= _looks").distinct()
+    in_order = Window.partitionBy(*keys, "_start_at").orderBy("mark")
+    until = F.coalesce(F.lead("mark").over(in_order) - 1, F.col("_looks"))
+    marks = marks.withColumn("until", until)
+    notices = F.sequence(F.col("mark"), F.col("until"), F.lit(-(-repeat // interval)).cast("bigint"))
+    return marks.withColumn("notice", F.explode(notices)).select(
+        "receiver", *GROUP_BY, (F.col("_first_s") + F.col("notice") * interval).alias("notify_s")
     )
-    spans = runs(instants, keys, starts="joined")
-    wait = F.when(F.col("continues"), F.lit(GROUP_INTERVAL)).otherwise(F.col("group_wait"))
-    begin, end = F.col("start_at") * step + wait, (F.col("end_at") + 1) * step - 1
-    times = F.when(begin <= end, F.sequence(begin, end, F.lit(repeat).cast("bigint")))
-    return spans.select("receiver", *GROUP_BY, F.explode(times).alias("notify_s"))
 
 
 # --- annotations ---
 
 
-def plain_number(value: Column) -> Column:
-    """Shortest digits without trailing zeros: 5, 0.25, 12000000."""
-    digits = F.regexp_replace(value.cast("decimal(38,16)").cast("string"), r"\.?0+$", "")
+def _decimal(value: Column) -> tuple[Column, Column]:
+    """The digits of a number without leading and trailing zeros, and where the point stands before them."""
+    text = F.abs(value).cast("string")
+    whole, part = (F.regexp_extract(text, r"^([0-9]+)\.([0-9]+)", i) for i in (1, 2))
+    power = F.coalesce(F.nullif(F.regexp_extract(text, r"E(-?[0-9]+)$", 1), F.lit("")).cast("int"), F.lit(0))
+    raw = F.concat(whole, part)
+    digits = F.ltrim(raw, F.lit("0"))
+    point = F.length(whole) + power - (F.length(raw) - F.length(digits))
+    return F.rtrim(digits, F.lit("0")), point
+
+
+def _laid_out(value: Column, digits: Column, point: Column, limit: int) -> Column:
+    """Digits with a point, or with an exponent below -4 or from ``limit`` on, as the template language prints."""
+    size, power = F.length(digits), point - 1
+    rest = F.substring(digits, F.lit(2), F.greatest(size - 1, F.lit(0)))
+    mantissa = F.concat(F.substring(digits, 1, 1), F.when(size > 1, F.concat(F.lit("."), rest)).otherwise(F.lit("")))
+    exponent = F.concat(
+        F.when(power < 0, F.lit("e-")).otherwise(F.lit("e+")),
+        F.when(F.abs(power) < 10, F.lit("0")).otherwise(F.lit("")),
+        F.abs(power).cast("string"),
+    )
+    plain = first_case(
+        [
+            (point <= 0, F.concat(F.lit("0."), F.repeat(F.lit("0"), -point), digits)),
+            (point >= size, F.concat(digits, F.repeat(F.lit("0"), point - size))),
+            (F.lit(True), F.concat(F.substring(digits, F.lit(1), point), F.lit("."), F.substring(digits, point + 1, size))),
+        ]
+    )
+    text = F.when((power < -4) | (power >= limit), F.concat(mantissa, exponent)).otherwise(plain)
+    return F.concat(F.when(value < 0, F.lit("-")).otherwise(F.lit("")), text)
+
+
+def _special(value: Column, other: Column) -> Column:
     return first_case(
         [
             (F.isnan(value), F.lit("NaN")),
             (value == F.lit(float("inf")), F.lit("+Inf")),
             (value == F.lit(float("-inf")), F.lit("-Inf")),
-            (F.lit(True), F.when(value == 0, F.lit("0")).otherwise(digits)),
+            (value == 0, F.lit("0")),
+            (F.lit(True), other),
         ]
     )
 
 
+def plain_number(value: Column) -> Column:
+    """The number's shortest digits: 5, 0.25, 0.016666666666666666, 1e-05, 1.2e+07."""
+    return _special(value, _laid_out(value, *_decimal(value), 6))
+
+
 def percentage(value: Column) -> Column:
     """A share as a percentage with four significant digits."""
     percent = value * 100
     size = F.abs(percent)
     steps = [(1000, 1.0), (100, 10.0), (10, 100.0), (1, 1e3), (0.1, 1e4), (0.01, 1e5), (0.001, 1e6)]
     power = first_case([(size >= low, F.lit(by)) for low, by in steps])
-    digits = nearest(percent, power).cast("decimal(20,0)")
-    text = (digits * (F.lit(1.0) / power).cast("decimal(7,6)")).cast("string")
-    known = (size >= 0.001) & (size < 1e8)
-    return F.concat(F.when(known, F.regexp_replace(text, r"\.?0+$", "")).otherwise(plain_number(percent)), F.lit("%"))
+    known = (size >= 0.001) & (size < 9999.5)
+    near = F.when(known, percent)  # the exact rounding is only computed where it is good
+    text = (nearest(near, power).cast("decimal(20,0)") * (F.lit(1.0) / power).cast("decimal(7,6)")).cast("string")
+    digits, point = _decimal(percent)
+    kept = F.substring(digits, 1, 4).cast("int") + F.when(F.substring(digits, 5, 1) >= "5", 1).otherwise(0)
+    carried = kept == 10000
+    shown = F.rtrim(F.when(carried, F.lit("1")).otherwise(kept.cast("string")), F.lit("0"))
+    rounded = _laid_out(percent, shown, point + carried.cast("int"), 4)
+    return F.concat(
+        F.when(known, F.regexp_replace(text, r"\.?0+$", "")).otherwise(_special(percent, rounded)), F.lit("%")
+    )
 
 
 PLAIN, SHARE = "_plain", "_share"

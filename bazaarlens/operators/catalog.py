@@ -4,15 +4,16 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import Window
 
 from ..functions import jsontext
 from ..session import lookup_join
+from . import numbering
 
 KEEP = "keep"
 PASS_NULL = "pass_null"
 PASS_UNPARSED = "pass_unparsed"
 PASS_UNSUPPORTED = "pass_unsupported"
+CONVERTER_ERROR = "converter_error"
 DROP_NO_ID = "drop_no_id"
 DROP_NOT_ALLOWED = "drop_not_allowed"
 
@@ -30,7 +31,7 @@ def with_product_id(records: DataFrame, value: str = "value", converted: bool =
 
     ``converted`` means the text was JSON-decoded once before the filter sees it: lists, numbers
     and booleans are then values the filter does not handle and passes on, and the content of a
-    JSON string is read as JSON.
+    JSON string is read as JSON. Text that the converter cannot read never reaches the filter.
     """
     text = F.col(value).cast("string")
     branches = [(text.isNull(), F.lit(PASS_NULL))]
@@ -38,7 +39,11 @@ def with_product_id(records: DataFrame, value: str = "value", converted: bool =
         outer = F.try_parse_json(text)
         kind = jsontext.kind(outer)
         handled = F.coalesce(kind.rlike("^(OBJECT|STRING)"), F.lit(True))
-        branches += [(kind == "VOID", F.lit(PASS_NULL)), (~handled, F.lit(PASS_UNSUPPORTED))]
+        branches += [
+            (outer.isNull(), F.lit(CONVERTER_ERROR)),
+            (kind == "VOID", F.lit(PASS_NULL)),
+            (~handled, F.lit(PASS_UNSUPPORTED)),
+        ]
         text = F.when(kind == "STRING", outer.cast("string")).otherwise(text)
     rows = records.withColumn("_text", text).withColumn("_doc", F.try_parse_json("_text"))
     rows = rows.withColumn("_id", jsontext.member(F.col("_doc"), "product_id"))
@@ -100,20 +105,10 @@ def clear_ids(allow_list: DataFrame) -> DataFrame:
     return allow_list.limit(0)
 
 
-def numbered(allow_list: DataFrame, block: int = 65536) -> DataFrame:
-    """The list with dense line numbers in position order.
-
-    Numbers are counted per block of positions and shifted by the sizes of earlier blocks, so no
-    task sorts the whole list; only one count per block meets in one place.
-    """
-    rows = allow_list.withColumn("_block", F.floor(F.col("position") / block))
-    sizes = rows.groupBy("_block").agg(F.count("*").alias("_size"))
-    before = Window.orderBy("_block").rowsBetween(Window.unboundedPreceding, -1)
-    shifts = sizes.select("_block", F.coalesce(F.sum("_size").over(before), F.lit(0)).alias("_shift"))
-    within = Window.partitionBy("_block").orderBy("position", "product_id")
-    return rows.join(shifts, "_block").select(
-        (F.col("_shift") + F.row_number().over(within)).alias("line"), "product_id"
-    )
+def numbered(allow_list: DataFrame) -> DataFrame:
+    """The list with dense line numbers in position order."""
+    order = [F.asc("position"), F.asc("product_id")]
+    return numbering.numbered(allow_list, order, "line").select("line", "product_id")
 
 
 # --- validation against the product schema ---

@@ -16,14 +16,15 @@ def inline(needles: DataFrame) -> bool:
     return is_small(needles, MAX_INLINE_NEEDLES, MAX_INLINE_BYTES)
 
 
-def pieces(text: Column, lengths: Column) -> Column:
-    """All distinct substrings of ``text`` that have one of the given lengths."""
+def pieces(texts: DataFrame, lengths: Column) -> DataFrame:
+    """(folded_text, folded_needle): the substrings of each text that have one of the given lengths.
 
-    def of_length(n: Column) -> Column:
-        starts = F.when(n <= F.length(text), F.sequence(F.lit(1), F.length(text) - n + 1))
-        return F.coalesce(F.transform(starts, lambda i: F.substring(text, i, n)), F.array().cast("array<string>"))
-
-    return F.array_distinct(F.flatten(F.transform(lengths, of_length)))
+    A row holds at most the start positions of one length, never the substrings themselves.
+    """
+    sized = texts.select("folded_text", F.explode(lengths).alias("_n")).filter(F.col("_n") <= F.length("folded_text"))
+    last = F.when(F.col("_n") == 0, F.lit(1)).otherwise(F.length("folded_text") - F.col("_n") + 1)
+    placed = sized.select("folded_text", "_n", F.explode(F.sequence(F.lit(1), last)).alias("_i"))
+    return placed.select("folded_text", F.substring("folded_text", F.col("_i"), F.col("_n")).alias("folded_needle"))
 
 
 def containing_pairs(texts: DataFrame, needles: DataFrame) -> DataFrame:
@@ -33,7 +34,5 @@ def containing_pairs(texts: DataFrame, needles: DataFrame) -> DataFrame:
     each pair that leaves the join is a result and nothing is compared all-against-all.
     """
     lengths = needles.agg(F.sort_array(F.collect_set(F.length("folded_needle")))).scalar()
-    exploded = texts.select("folded_text", lengths.alias("_lengths")).select(
-        "folded_text", F.explode(pieces(F.col("folded_text"), F.col("_lengths"))).alias("folded_needle")
-    )
-    return exploded.join(needles, "folded_needle").select("folded_text", "folded_needle")
+    found = pieces(texts, lengths).join(needles, "folded_needle")
+    return found.select("folded_text", "folded_needle").distinct()

@@ -5,8 +5,11 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .numbering import numbered
+
 TOP_N = 10
-MAX_TOP_N = 10_000
+# Lists up to this length are ranked as one array; longer ones by ranges.
+FOLDED_N = 1000
 
 
 def term_counts(requests: DataFrame) -> DataFrame:
@@ -19,10 +22,14 @@ def term_counts(requests: DataFrame) -> DataFrame:
     )
 
 
-def ranked(counts: DataFrame, n: int = TOP_N) -> DataFrame:
-    """The n most frequent terms with their rank; equal counts are ordered by term."""
-    if not 0 < n <= MAX_TOP_N:
-        raise ValueError(f"n must be between 1 and {MAX_TOP_N}")
+def ranked(counts: DataFrame, n: int | None = TOP_N) -> DataFrame:
+    """The n most frequent terms with their rank, all without n; equal counts are ordered by term."""
+    if n is not None and n < 1:
+        raise ValueError("n must be at least 1")
+    if n is None or n > FOLDED_N:
+        rows = numbered(counts, [F.desc("search_count"), F.asc("search_term")], "rank")
+        rows = rows.select(F.col("rank").cast("int").alias("rank"), F.col("search_term").alias("product_name"), "search_count")
+        return rows if n is None else rows.filter(F.col("rank") <= n)
     top = counts.orderBy(F.desc("search_count"), "search_term").limit(n)
     # At most n rows are folded here, so that ranks come from array positions.
     row = F.struct((-F.col("search_count")).alias("minus"), "search_term", "search_count")
@@ -34,5 +41,5 @@ def ranked(counts: DataFrame, n: int = TOP_N) -> DataFrame:
     )
 
 
-def popular_products(requests: DataFrame, n: int = TOP_N) -> DataFrame:
+def popular_products(requests: DataFrame, n: int | None = TOP_N) -> DataFrame:
     return ranked(term_counts(requests), n)

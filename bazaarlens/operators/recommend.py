@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.text import rfc3339
+from ..functions.text import fold, rfc3339
 from . import containment
 
 # Fixed values of a recommendation.
@@ -26,7 +26,7 @@ def _names(popular: DataFrame) -> DataFrame:
 def _as_array(names: DataFrame) -> Column:
     """(rank, product_name, folded) in rank order as one array value of the plan; callers bound
     the rows."""
-    row = F.struct("rank", "product_name", F.lower("product_name").alias("folded"))
+    row = F.struct("rank", "product_name", fold(F.col("product_name")).alias("folded"))
     return names.agg(F.array_sort(F.collect_list(row))).scalar()
 
 
@@ -38,17 +38,17 @@ def alternatives(term: Column, leaders: Column) -> Column:
 
 def _first_contained(requests: DataFrame, names: DataFrame) -> DataFrame:
     """Adds ``matched``: the best-ranked name contained in the term, for lists too long to inline."""
-    needles = names.groupBy(F.lower("product_name").alias("folded_needle")).agg(
+    needles = names.groupBy(fold(F.col("product_name")).alias("folded_needle")).agg(
         F.min_by("product_name", "rank").alias("matched"), F.min("rank").alias("rank")
     )
-    texts = requests.select(F.lower("_term").alias("folded_text")).distinct()
+    texts = requests.select(fold(F.col("_term")).alias("folded_text")).distinct()
     best = (
         containment.containing_pairs(texts, needles.select("folded_needle"))
         .join(needles, "folded_needle")
         .groupBy("folded_text")
         .agg(F.min_by("matched", "rank").alias("matched"))
     )
-    return requests.withColumn("folded_text", F.lower("_term")).join(best, "folded_text", "left").drop("folded_text")
+    return requests.withColumn("folded_text", fold(F.col("_term"))).join(best, "folded_text", "left").drop("folded_text")
 
 
 def recommend(
@@ -72,7 +72,7 @@ def recommend(
         inline = containment.inline(names)
     rows = requests.withColumn("_term", F.coalesce(F.col(term), F.lit("")))
     if inline:
-        rows = rows.withColumn("_listed", _as_array(names)).withColumn("_folded", F.lower("_term"))
+        rows = rows.withColumn("_listed", _as_array(names)).withColumn("_folded", fold(F.col("_term")))
         hits = F.filter("_listed", lambda row: F.contains(F.col("_folded"), row["folded"]))
         rows = rows.withColumn("matched", F.get(hits, F.lit(0))["product_name"])
     else:

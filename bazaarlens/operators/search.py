@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.text import contains_fold, price_label
+from ..functions.text import contains_fold, fold, price_label
 from . import containment
 
 
@@ -22,7 +22,7 @@ def display(products: DataFrame) -> DataFrame:
 
 
 def _folded(terms: DataFrame) -> DataFrame:
-    return terms.select("term", F.lower("term").alias("folded_needle"))
+    return terms.select("term", fold(F.col("term")).alias("folded_needle"))
 
 
 def search_many(products: DataFrame, terms: DataFrame, inline: bool | None = None) -> DataFrame:
@@ -36,14 +36,14 @@ def search_many(products: DataFrame, terms: DataFrame, inline: bool | None = Non
         inline = containment.inline(terms)
     if inline:
         rows = products.withColumn("_listed", _folded(terms).agg(F.collect_list(F.struct("*"))).scalar())
-        rows = rows.withColumn("_name", F.lower("name"))
+        rows = rows.withColumn("_name", fold(F.col("name")))
         hits = F.filter("_listed", lambda row: F.contains(F.col("_name"), row["folded_needle"]))
         return rows.withColumn("term", F.explode(hits["term"])).drop("_listed", "_name")
-    names = products.filter("name is not null").select(F.lower("name").alias("folded_text")).distinct()
+    names = products.filter("name is not null").select(fold(F.col("name")).alias("folded_text")).distinct()
     needles = _folded(terms)
     pairs = containment.containing_pairs(names, needles.select("folded_needle").distinct())
     hits = pairs.join(needles, "folded_needle").select("folded_text", "term")
-    keyed = products.withColumn("folded_text", F.lower("name"))
+    keyed = products.withColumn("folded_text", fold(F.col("name")))
     return keyed.join(hits, "folded_text").drop("folded_text")
 
 

@@ -12,7 +12,7 @@ from . import metrics, views
 from .views import with_cte
 
 LABELS = alerts.LABELS
-DOWN, THRESHOLDS = ALERT_RULES[:1], [r for r in ALERT_RULES if not r.per and not r.window]
+DOWN = ALERT_RULES[:1]
 # One alert in two severities, which the shipped rules do not have, so that inhibition applies.
 GRADED = [
     Rule("HandlersBusy", views.IDLE, "<", 22, 60, "warning"),
@@ -31,7 +31,8 @@ def _samples(spark: SparkSession, sf_dir: str, rules: list[Rule]) -> DataFrame:
 
 
 def alert_threshold(spark: SparkSession, sf_dir: str) -> DataFrame:
-    found = at_instants(alerts.evaluate(_samples(spark, sf_dir, THRESHOLDS), THRESHOLDS))
+    """All shipped rules without their hold times."""
+    found = at_instants(alerts.evaluate(_samples(spark, sf_dir, ALERT_RULES), ALERT_RULES))
     return found.select("alertname", *LABELS, "at", "value")
 
 
@@ -51,8 +52,7 @@ def alert_for(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def alert_annotate(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rules = [r for r in ALERT_RULES if not r.window]
-    found = alerts.annotate(_runs(spark, sf_dir, rules), rules)
+    found = alerts.annotate(_runs(spark, sf_dir, ALERT_RULES), ALERT_RULES)
     return found.select("alertname", *LABELS, "start_at", "summary", "description")
 
 
@@ -66,16 +66,24 @@ def alert_group(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def alert_inhibit(spark: SparkSession, sf_dir: str) -> DataFrame:
-    firing = alerts.firing_instants(_runs(spark, sf_dir, GRADED))
-    return alerts.inhibit(firing).select("alertname", "severity", *LABELS, "at")
+    """Compared as stretches; instants are only written out for the result."""
+    heard = alerts.firing_instants(alerts.inhibit_runs(_runs(spark, sf_dir, GRADED)))
+    return heard.select("alertname", "severity", *LABELS, "at")
 
 
 def alert_schedule(spark: SparkSession, sf_dir: str) -> DataFrame:
     return alerts.schedule(_runs(spark, sf_dir, GRADED), repeat=REPEAT)
 
 
+def alert_notify(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """From rules to notices: alerts that are inhibited are neither grouped nor notified."""
+    heard = alerts.inhibit_runs(_runs(spark, sf_dir, GRADED))
+    return alerts.schedule(heard, repeat=REPEAT)
+
+
 def _number(value: str) -> str:
-    return f"regexp_replace(cast(cast({value} as decimal(38,16)) as varchar), '\\.?0+$', '')"
+    """The shortest digits; values of the shipped rules' alerts are below a million."""
+    return f"regexp_replace(cast({value} as varchar), '\\.0$', '')"
 
 
 SHIPPED = """
@@ -88,6 +96,12 @@ matches as (
   union all
   select 'KafkaBrokerRequestHandlerIdle', 'warning', 600, job, cluster, instance, area, "at", value
     from on_grid where metric = 'kafka_request_handler_AvgIdlePercent' and value < 10
+  union all
+  select 'KafkaBrokerOfflinePartitionsCount', 'critical', 60, job, cluster, instance, area, "at", value
+    from on_grid where metric = 'kafka_server_ReplicaManager_OfflinePartitionsCount' and value > 0
+  union all
+  select 'KafkaBrokerActiveControllerCount', 'critical', 120, job, cluster, instance, area, "at", value
+    from on_grid where metric = 'kafka_controller_KafkaController_ActiveControllerCount' and value = 0
   {more})
 """
 HEAP = """
@@ -143,6 +157,30 @@ firing as (
   select alertname, severity, job, cluster, instance, area, unnest(generate_series(fires_at, end_at)) as "at"
   from runs where fires_at is not null)
 """
+# A group's looks are 300 s apart from its first notice on. The last look at or before a look at which an
+# alert had joined decides: notices repeat from there.
+NOTICES = f"""
+stretches as (
+  select receiver, group_wait, alertname, cluster, island, min("at") as lo, max("at") as hi,
+         min("at") * 30 + group_wait as first_s, (max("at") + 1) * 30 - 1 as last_s
+  from (select *, "at" - row_number() over (
+          partition by receiver, group_wait, alertname, cluster order by "at") as island from present)
+  group by receiver, group_wait, alertname, cluster, island),
+looks as (
+  select *, unnest(generate_series(0, (last_s - first_s) // 300)) as look from stretches where first_s <= last_s),
+marks as (
+  select distinct s.receiver, s.alertname, s.cluster, s.lo,
+         greatest(0, cast(ceil((p."at" * 30 - s.first_s) / 300.0) as bigint)) as mark
+  from stretches s join present p
+    on p.joined and p.receiver = s.receiver and p.alertname = s.alertname and p.cluster = s.cluster
+   and p."at" between s.lo and s.hi),
+notices as (
+  select l.receiver, l.alertname, l.cluster, l.first_s, l.look
+  from looks l join marks m
+    on m.receiver = l.receiver and m.alertname = l.alertname and m.cluster = l.cluster and m.lo = l.lo and m.mark <= l.look
+  group by l.receiver, l.alertname, l.cluster, l.first_s, l.look
+  having (l.look - max(m.mark)) % {-(-REPEAT // 300)} = 0)
+"""
 GRADED_RUNS = (views.SAMPLES, views.ON_GRID, GRADED_MATCHES, RUNS)
 
 QUERIES = {
@@ -162,7 +200,10 @@ select alertname, job, cluster, instance, area, "at", value from matches where a
         with_cte(
             views.SAMPLES,
             views.ON_GRID,
-            SHIPPED.format(more=""),
+            metrics.COUNTERS,
+            metrics.GRID_WINDOWS,
+            metrics.EXTRAPOLATED,
+            SHIPPED.format(more=HEAP + LOW_RATE),
             body='select alertname, job, cluster, instance, area, "at", value from matches',
         ),
     ),
@@ -188,7 +229,10 @@ from runs
         with_cte(
             views.SAMPLES,
             views.ON_GRID,
-            SHIPPED.format(more=HEAP),
+            metrics.COUNTERS,
+            metrics.GRID_WINDOWS,
+            metrics.EXTRAPOLATED,
+            SHIPPED.format(more=HEAP + LOW_RATE),
             RUNS,
             body=f"""
 select alertname, job, cluster, instance, area, start_at,
@@ -198,11 +242,19 @@ select alertname, job, cluster, instance, area, start_at,
       then 'Kafka broker has under-replicated partitions (instance ' || instance || ')'
     when 'KafkaBrokerRequestHandlerIdle'
       then 'Kafka broker request handlers are overloaded (instance ' || instance || ')'
+    when 'KafkaBrokerOfflinePartitionsCount' then 'Kafka broker has offline partitions (instance ' || instance || ')'
+    when 'KafkaBrokerActiveControllerCount' then 'Kafka cluster has no active controller'
+    when 'KafkaBrokerProducerRequestRateLow' then 'Low producer request rate (instance ' || instance || ')'
     else 'Kafka JVM heap memory usage high (instance ' || instance || ')' end as summary,
   case alertname
     when 'KafkaBrokerDown' then 'Kafka broker ' || instance || ' has been down for more than 1 minute.'
     when 'KafkaBrokerUnderReplicatedPartitions' then 'Broker ' || instance || ' has '
       || {_number("value")} || ' under-replicated partitions for more than 5 minutes.'
+    when 'KafkaBrokerOfflinePartitionsCount' then 'Broker ' || instance || ' has ' || {_number("value")}
+      || ' offline partitions for more than 1 minute.'
+    when 'KafkaBrokerActiveControllerCount' then 'No active controller in Kafka cluster for more than 2 minutes.'
+    when 'KafkaBrokerProducerRequestRateLow' then 'Broker ' || instance || ' producer request rate is low: '
+      || {_number("value")} || ' bytes/sec for more than 15 minutes.'
     when 'KafkaBrokerRequestHandlerIdle' then 'Broker ' || instance || ' average idle percent is '
       || case when value = 0 then '0' else {_number("value")} end || '% for more than 10 minutes.'
     else 'Broker ' || instance || ' heap memory usage is '
@@ -255,24 +307,35 @@ where not (f.severity = 'warning' and exists (
 present as (
   select receiver, group_wait, alertname, cluster, "at", bool_or("at" = fires_at) as joined
   from (select *, unnest(generate_series(fires_at, end_at)) as "at" from routed where fires_at is not null)
-  group by receiver, group_wait, alertname, cluster, "at"),
-stepped as (
-  select *, coalesce(lag("at") over g = "at" - 1, false) as adjacent
-  from present window g as (partition by receiver, group_wait, alertname, cluster order by "at")),
-begun as (
-  select *, sum(case when joined or not adjacent then 1 else 0 end) over (
-    partition by receiver, group_wait, alertname, cluster order by "at") as stretch
-  from stepped),
-spans as (
-  select receiver, group_wait, alertname, cluster, stretch, min("at") as start_at, max("at") as end_at,
-         arg_min(joined and adjacent, "at") as continues
-  from begun group by receiver, group_wait, alertname, cluster, stretch)
+  group by receiver, group_wait, alertname, cluster, "at")
 """,
-            body=f"""
-select receiver, alertname, cluster, unnest(generate_series(
-  start_at * 30 + case when continues then 300 else group_wait end, (end_at + 1) * 30 - 1, {REPEAT})) as notify_s
-from spans
+            NOTICES,
+            body="select receiver, alertname, cluster, first_s + 300 * look as notify_s from notices",
+        ),
+    ),
+    "alert_notify": (
+        alert_notify,
+        with_cte(
+            *GRADED_RUNS,
+            FIRING,
+            """
+heard as (
+  select * from firing f
+  where not (f.severity = 'warning' and exists (
+    select 1 from firing s where s.severity = 'critical' and s.alertname = f.alertname
+       and s.cluster = f.cluster and s."at" = f."at"))),
+stepped as (
+  select *, coalesce(lag("at") over (partition by alertname, severity, job, cluster, instance, area order by "at")
+                     < "at" - 1, true) as joins
+  from heard),
+present as (
+  select case when severity in ('critical', 'warning', 'info') then severity else 'default' end as receiver,
+         case severity when 'critical' then 10 else 30 end as group_wait, alertname, cluster, "at",
+         bool_or(joins) as joined
+  from stepped group by all)
 """,
+            NOTICES,
+            body="select receiver, alertname, cluster, first_s + 300 * look as notify_s from notices",
         ),
     ),
 }

@@ -78,16 +78,16 @@ def filter_routing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def filter_routing_converted(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The same behind a JSON converter; text that is no JSON never reaches the filter."""
-    rows = _raw_products(spark, sf_dir).filter("p_partkey % 12 not in (1, 2)")
+    """The same behind a JSON converter; text that is no JSON is the converter's error."""
+    rows = _raw_products(spark, sf_dir)
     listed = written(views.routed_ids(spark, sf_dir), "allow-list")
     return catalog.route_records(rows, listed, converted=True).select("p_partkey", "route")
 
 
 ROUTES = """
-select p_partkey, {unparsed}
+select p_partkey,
   case p_partkey % 12
-    when 0 then 'pass_null' when 1 then 'pass_unparsed' when 2 then 'drop_no_id'
+    when 0 then 'pass_null' when 1 then '{unparsed}' when 2 then '{blank}'
     when 3 then 'drop_no_id' when 4 then 'drop_not_allowed' when 6 then 'drop_not_allowed'
     when 8 then '{listed}'
     else case when cast(p_partkey as varchar) in (select product_id from routed)
@@ -276,13 +276,13 @@ kept as (select * from added where product_id not like '%3')
     "allow_list_clear": (allow_list_clear, "select count(*) as kept from part where false"),
     "filter_routing": (
         filter_routing,
-        with_cte(views.ROUTED, body=ROUTES.format(unparsed="", listed="drop_no_id")),
+        with_cte(views.ROUTED, body=ROUTES.format(unparsed="pass_unparsed", blank="drop_no_id", listed="drop_no_id")),
     ),
     "filter_routing_converted": (
         filter_routing_converted,
         with_cte(
             views.ROUTED,
-            body=ROUTES.format(unparsed="", listed="pass_unsupported") + " where p_partkey % 12 not in (1, 2)",
+            body=ROUTES.format(unparsed="converter_error", blank="converter_error", listed="pass_unsupported"),
         ),
     ),
     "product_catalog": (

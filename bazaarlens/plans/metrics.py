@@ -81,13 +81,13 @@ def rate_on_grid(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def alert_ratio(spark: SparkSession, sf_dir: str) -> DataFrame:
     heap = views.samples(spark, sf_dir, views.HEAP, views.HEAP_MAX).filter("area = 'heap'")
-    keys = ["ts_us", "cluster", "instance", "area"]
+    keys = ["ts_us", "job", "cluster", "instance", "area"]
     return metrics.ratio(heap, views.HEAP, views.HEAP_MAX, keys)
 
 
 def heap_percent(spark: SparkSession, sf_dir: str) -> DataFrame:
     heap = views.samples(spark, sf_dir, views.HEAP, views.HEAP_MAX).filter("area = 'heap'")
-    keys = ["ts_us", "cluster", "instance", "area"]
+    keys = ["ts_us", "job", "cluster", "instance", "area"]
     return metrics.ratio(heap, views.HEAP, views.HEAP_MAX, keys, scale=100.0)
 
 
@@ -170,10 +170,10 @@ windowed as (
   from reached group by all)
 """
 RATIO = """
-select ts_us, cluster, instance, area,
+select ts_us, job, cluster, instance, area,
        max(value) filter (metric = 'jvm_memory_heap_bytes')
        / max(value) filter (metric = 'jvm_memory_heap_bytes_max') {scale} as value
-from samples where area = 'heap' group by ts_us, cluster, instance, area
+from samples where area = 'heap' group by ts_us, job, cluster, instance, area
 """
 
 QUERIES = {

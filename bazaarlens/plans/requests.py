@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from ..functions.text import rfc3339
 from ..operators import popularity, recommend, requests
+from ..session import written
 from ..sinks.topics import as_messages
 from . import views
 from .views import with_cte
@@ -38,21 +39,55 @@ def recommend_alternatives(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def recommend_long_list(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All terms count as popular; the list is joined, not inlined."""
-    return _recommended(spark, sf_dir, popularity.MAX_TOP_N, inline=False)
+    """Each ordered item was searched for as its name and order: all these terms count as popular.
 
+    The list has most of the order lines' rows. It is stored once, and joined, not inlined.
+    """
+    ordered = views.ordered_terms(spark, sf_dir)
+    popular = written(popularity.popular_products(ordered, None), "popular")
+    searches = views.searches(spark, sf_dir).withColumn("timestamp", rfc3339(F.col("ts")))
+    exact = searches.withColumn("term", F.concat("product_name", F.lit(" "), F.col("event_id").cast("string"), F.lit("x")))
+    found = recommend.recommend(exact, popular, term="term", keep=["event_id"], inline=False)
+    return found.withColumn("alternatives", F.array_join("alternatives", "|"))
 
-def _recommend_sql(names: str) -> str:
-    return with_cte(
-        views.SEARCHES,
-        views.RANKED,
-        f"popular as (select * from ranked where {names})",
-        """
+
+BEST = """
 best as (
   select s.event_id, arg_min(p.product_name, p.rank) as matched
   from searches s join popular p
     on contains(lower(coalesce(s.term, '')), lower(p.product_name))
-  group by s.event_id),
+  group by s.event_id)
+"""
+# A term ends with the event's number: a name and order is in it if it is a beginning of a rest of the term.
+LONG_LISTED = (
+    """
+ordered as (
+  select p.p_name || ' ' || l.l_orderkey as product_name from lineitem l join part p on p.p_partkey = l.l_partkey),
+popular as (
+  select row_number() over (order by count(*) desc, product_name) as rank, product_name, count(*) as search_count
+  from ordered group by product_name)
+""",
+    """
+rests as (
+  select event_id, substring(lower(coalesce(term, '')), unnest(generate_series(1, length(coalesce(term, ''))))) as rest
+  from searches),
+best as (
+  select event_id, arg_min(p.product_name, p.rank) as matched
+  from (select event_id, substring(rest, 1, unnest(generate_series(1, length(rest)))) as piece from rests) r
+  join popular p on lower(p.product_name) = r.piece
+  group by event_id)
+""",
+)
+LONG_SEARCHES = views.SEARCHES.replace(
+    "p.p_name else p.p_name || ' ' || lower(p.p_type) end", "p.p_name || ' ' || e.event_id || 'x' else p.p_name || ' ' || e.event_id || 'x' end"
+)
+
+
+def _recommend_sql(*listed: str, searches: str = views.SEARCHES) -> str:
+    return with_cte(
+        searches,
+        *listed,
+        """
 chosen as (
   select s.event_id, s.ts, coalesce(s.term, '') as term,
          coalesce(b.matched || ' - Popular',
@@ -73,6 +108,9 @@ from chosen c left join alternatives a using (event_id)
     )
 
 
+SHORT_LIST_SQL = _recommend_sql(views.RANKED, views.POPULAR, BEST)
+
+
 def recommendation_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Recommendations as topic messages."""
     searches = views.searches(spark, sf_dir).withColumn("timestamp", rfc3339(F.col("ts")))
@@ -148,10 +186,10 @@ from searches where product_name is not null group by product_name
             body="select cast(rank as integer) as rank, product_name, search_count from popular",
         ),
     ),
-    "recommend": (recommend_requests, _recommend_sql("rank <= 10")),
+    "recommend": (recommend_requests, SHORT_LIST_SQL),
     "recommend_alternatives": (
         recommend_alternatives,
-        f"select event_id, alternatives from ({_recommend_sql('rank <= 10')}) r",
+        f"select event_id, alternatives from ({SHORT_LIST_SQL}) r",
     ),
     "recommendation_messages": (
         recommendation_messages,
@@ -160,10 +198,10 @@ select 'recommendations' as topic,
        '{{"product_id":"' || product_id || '","product_name":"' || product_name || '","reason":"' || reason
        || '","confidence":0.9,"alternatives":["' || replace(alternatives, '|', '","') || '"],"timestamp":"'
        || "timestamp" || '"}}' as value
-from ({_recommend_sql("rank <= 10")}) r
+from ({SHORT_LIST_SQL}) r
 """,
     ),
-    "recommend_long_list": (recommend_long_list, _recommend_sql("rank <= 10000")),
+    "recommend_long_list": (recommend_long_list, _recommend_sql(*LONG_LISTED, searches=LONG_SEARCHES)),
     "request_envelope": (
         request_envelope,
         with_cte(

@@ -49,6 +49,14 @@ def searches_of(events: DataFrame, parts: DataFrame) -> DataFrame:
     )
 
 
+def ordered_terms(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A search per order line: the part's name and the order."""
+    lines = table(spark, sf_dir, "lineitem").select(F.col("l_partkey").alias("p_partkey"), "l_orderkey")
+    parts = table(spark, sf_dir, "part").select("p_partkey", "p_name")
+    term = F.concat("p_name", F.lit(" "), F.col("l_orderkey").cast("string"))
+    return lines.join(parts, "p_partkey").select(term.alias("product_name"))
+
+
 def searches(spark: SparkSession, sf_dir: str) -> DataFrame:
     return searches_of(table(spark, sf_dir, "events"), table(spark, sf_dir, "part"))
 
@@ -149,10 +157,21 @@ messages as (
 
 IDLE = "kafka_request_handler_AvgIdlePercent"
 REPLICAS = "kafka_server_ReplicaManager_UnderReplicatedPartitions"
+OFFLINE = "kafka_server_ReplicaManager_OfflinePartitionsCount"
+CONTROLLER = "kafka_controller_KafkaController_ActiveControllerCount"
 HEAP, HEAP_MAX = "jvm_memory_heap_bytes", "jvm_memory_heap_bytes_max"
 BYTES_IN = "kafka_server_BrokerTopicMetrics_BytesInPerSec_total"
 # Which events carry which metrics.
-SOURCES = {"up": "error", REPLICAS: "view", HEAP: "click", HEAP_MAX: "click", IDLE: "purchase", BYTES_IN: "signup"}
+SOURCES = {
+    "up": "error",
+    OFFLINE: "error",
+    REPLICAS: "view",
+    CONTROLLER: "view",
+    HEAP: "click",
+    HEAP_MAX: "click",
+    IDLE: "purchase",
+    BYTES_IN: "signup",
+}
 
 
 def _sample_values() -> dict[str, tuple[Column, str]]:
@@ -161,7 +180,9 @@ def _sample_values() -> dict[str, tuple[Column, str]]:
     phase = F.expr("event_id div 800 + user_id")
     return {
         "up": (F.when(phase % 3 == 0, F.lit(0)).otherwise(F.lit(1)), ""),
+        OFFLINE: (phase % 7 % 3, ""),
         REPLICAS: (phase % 4, ""),
+        CONTROLLER: (F.when(phase % 5 < 2, F.lit(0)).otherwise(F.lit(1)), ""),
         HEAP: (F.round(raw * 10) % 1000, "heap"),
         HEAP_MAX: (F.lit(900) + user % 7 * 20, "heap"),
         IDLE: (F.round(raw * 10) % 30 + phase % 3 * 4, ""),
@@ -222,6 +243,13 @@ samples as (
     select *, 'kafka_server_ReplicaManager_UnderReplicatedPartitions', '', cast(phase % 4 as double)
       from scrapes where event_type = 'view'
     union all
+    select *, 'kafka_server_ReplicaManager_OfflinePartitionsCount', '', cast(phase % 7 % 3 as double)
+      from scrapes where event_type = 'error'
+    union all
+    select *, 'kafka_controller_KafkaController_ActiveControllerCount', '',
+           cast(case when phase % 5 < 2 then 0 else 1 end as double)
+      from scrapes where event_type = 'view'
+    union all
     select *, 'jvm_memory_heap_bytes', 'heap', round(raw * 10) % 1000
       from scrapes where event_type = 'click'
     union all

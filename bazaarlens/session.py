@@ -58,11 +58,15 @@ def written(df: DataFrame, name: str) -> DataFrame:
 
 
 def is_small(df: DataFrame, max_rows: int = MAX_LOOKUP_ROWS, max_bytes: int = MAX_LOOKUP_BYTES) -> bool:
-    """Count ``df`` up to ``max_rows`` and measure its text; one small aggregate comes back."""
+    """Count ``df`` up to ``max_rows`` and measure its texts and nested values; one small aggregate comes back."""
     size = F.lit(8 * len(df.columns))
     for field in df.schema.fields:
-        if isinstance(field.dataType, (T.StringType, T.BinaryType)):
-            size = size + F.coalesce(F.octet_length(F.col(field.name)), F.lit(0))
+        column = F.col(field.name)
+        if isinstance(field.dataType, (T.ArrayType, T.MapType, T.StructType)):
+            column = F.to_json(column)
+        elif not isinstance(field.dataType, (T.StringType, T.BinaryType)):
+            continue
+        size = size + F.coalesce(F.octet_length(column), F.lit(0))
     row = (
         df.limit(max_rows + 1)
         .agg(F.count("*").alias("n"), F.coalesce(F.sum(size.cast("bigint")), F.lit(0)).alias("b"))

@@ -8,8 +8,10 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from .. import schemas
+from ..functions import jsontext
 from ..functions.filtered_line import parse_line
 from ..functions.text import trim_space
+from ..sinks import versions
 
 
 def _or_empty(spark: SparkSession, read, schema: T.StructType) -> DataFrame:
@@ -54,20 +56,36 @@ def read_filtered_products(spark: SparkSession, path: str) -> DataFrame:
 def read_allow_list(spark: SparkSession, path: str) -> DataFrame:
     """Rows (position, product_id) of a ``{"allowed_product_ids": [..]}`` file.
 
-    A missing or unreadable file, or one without such a list, gives an empty list.
+    A missing or unreadable file, or one without such a list, gives an empty list. An element that is an
+    object or a list reads as empty text, null as ``null``.
     """
-    document = T.StructType([T.StructField("allowed_product_ids", T.ArrayType(T.StringType()))])
-    rows = _or_empty(spark, lambda: spark.read.schema(document).option("multiLine", True).json(path), document)
-    return rows.select(F.posexplode("allowed_product_ids").alias("position", "product_id")).select(
-        (F.col("position") + 1).cast("bigint").alias("position"),
-        F.coalesce("product_id", F.lit("null")).alias("product_id"),
-    )
+    whole = T.StructType([T.StructField("value", T.StringType())])
+    rows = _or_empty(spark, lambda: spark.read.text(path, wholetext=True), whole)
+    listed = jsontext.member(F.try_parse_json("value"), "allowed_product_ids")
+    source = F.get_json_object("value", "$.allowed_product_ids")
+    items = F.when(F.startswith(jsontext.kind(listed), F.lit("ARRAY")), listed.cast("array<variant>"))
+    raw = F.from_json(source, T.ArrayType(T.StringType()))
+    rows = rows.select(items.alias("items"), raw.alias("raw"))
+    rows = rows.select(F.posexplode("items").alias("position", "item"), "raw")
+    container = jsontext.kind(F.col("item")).rlike("^(ARRAY|OBJECT)")
+    text = F.when(container, F.lit("")).otherwise(F.coalesce(F.get("raw", F.col("position")), F.lit("null")))
+    return rows.select((F.col("position") + 1).cast("bigint").alias("position"), text.alias("product_id"))
 
 
 def read_popular(spark: SparkSession, base: str) -> DataFrame:
     """The stored popular list; empty before the first popularity run."""
-    path = f"{base.rstrip('/')}/recommendations"
-    return _or_empty(spark, lambda: spark.read.schema(schemas.POPULAR).json(path), schemas.POPULAR)
+    path = versions.current(spark, f"{base.rstrip('/')}/recommendations")
+    if path is None:
+        return spark.createDataFrame([], schemas.POPULAR)
+    return spark.read.schema(schemas.POPULAR).json(path)
+
+
+def read_allow_table(spark: SparkSession, path: str) -> DataFrame:
+    """The stored allow-list table; empty before the first one."""
+    current = versions.current(spark, path)
+    if current is None:
+        return spark.createDataFrame([], schemas.ALLOW_LIST)
+    return spark.read.schema(schemas.ALLOW_LIST).parquet(current)
 
 
 def list_files(spark: SparkSession, path: str) -> DataFrame:

@@ -36,7 +36,8 @@ def run_events(runs: DataFrame, keys: list[str], after: int, until: int) -> Data
     fired = F.col("fires_at").isNotNull()
     ended = F.col("end_at") < until
     changes = F.array(
-        change("pending", "start_at", F.lit(True)),
+        # Without a hold time an alert fires at once and is never pending.
+        change("pending", "start_at", ~fired | (F.col("fires_at") > F.col("start_at"))),
         change("firing", "fires_at", fired),
         change("resolved", "end_at + 1", fired & ended),
         change("inactive", "end_at + 1", ~fired & ended),
@@ -55,11 +56,13 @@ def watch(
     step: int = metrics.EVALUATION_STEP,
     lookback: int = metrics.LOOKBACK,
     once: bool = False,
+    lateness: int = 0,
 ) -> StreamingQuery:
     """Write the state changes of every alert below ``out``: alert columns, labels, state, at.
 
-    ``stream`` has metric, the labels, ts_us and value, roughly in time order: a batch is evaluated
-    up to its newest sample, and a sample that comes later than that only counts from then on.
+    ``stream`` has metric, the labels, ts_us and value. A batch is evaluated up to ``lateness`` seconds
+    before the newest sample so far: samples that come out of order by no more than that count as if they
+    had come in order, and one that comes later still counts from the last evaluated instant on.
     """
     keys = [*alerts.ALERT, *labels]
     keep_us = max([lookback, *[r.window for r in rules if r.window]]) * metrics.SECOND
@@ -77,7 +80,7 @@ def watch(
             recent = spark.read.schema(batch.schema).parquet(_slot(state, batch_id - 1, "recent"))
             known = batch.unionByName(recent)
         newest = batch.agg(F.max("ts_us")).first()[0]
-        until = horizon if newest is None else max(horizon, newest // (step * metrics.SECOND))
+        until = horizon if newest is None else max(horizon, (newest - lateness * metrics.SECOND) // (step * metrics.SECOND))
 
         spans = alerts.evaluate(known, rules, labels, step, lookback)
         spans = spans.withColumn("from_at", F.greatest("from_at", F.lit(horizon + 1)))
@@ -98,15 +101,17 @@ def watch(
                 .select(*found.columns)
             )
         found = found.persist()
-        timed = alerts.with_state(found, step)
-        write_batch(run_events(timed, keys, horizon, until), out, batch_id)
-        found.filter(F.col("end_at") == until).write.mode("overwrite").parquet(_slot(state, batch_id, "open"))
-        oldest = until * step * metrics.SECOND - keep_us
-        known.filter(F.col("ts_us") >= oldest).write.mode("overwrite").parquet(_slot(state, batch_id, "recent"))
-        clock = spark.createDataFrame([(batch_id, until)], CLOCK)
-        clock.write.mode("overwrite").parquet(_slot(state, batch_id, "clock"))
-        found.unpersist()
-        batch.unpersist()
+        try:
+            timed = alerts.with_state(found, step)
+            write_batch(run_events(timed, keys, horizon, until), out, batch_id)
+            found.filter(F.col("end_at") == until).write.mode("overwrite").parquet(_slot(state, batch_id, "open"))
+            oldest = until * step * metrics.SECOND - keep_us
+            known.filter(F.col("ts_us") >= oldest).write.mode("overwrite").parquet(_slot(state, batch_id, "recent"))
+            clock = spark.createDataFrame([(batch_id, until)], CLOCK)
+            clock.write.mode("overwrite").parquet(_slot(state, batch_id, "clock"))
+        finally:
+            found.unpersist()
+            batch.unpersist()
 
     return start(stream, handle, checkpoint, once)
 

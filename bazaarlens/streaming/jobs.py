@@ -24,6 +24,8 @@ from ..sources.files import read_popular, read_requests
 # How long a consumer batch gathers, and how often popularity is refreshed.
 TRIGGER = "1 second"
 REFRESH = "6 hours"
+# The folder of archived requests whose timestamp is no date.
+UNKNOWN_DAY = "unknown"
 
 
 def run(writer: DataStreamWriter, checkpoint: str, once: bool, every: str = TRIGGER) -> StreamingQuery:
@@ -65,9 +67,12 @@ def recommend_requests(
     checkpoint: str,
     once: bool = False,
     at: str | None = None,
+    write: Callable[[DataFrame], None] | None = None,
 ) -> StreamingQuery:
     """One recommendation message per request message; what is no request goes to ``quarantine``.
 
+    Messages go below ``out``, or to ``write``, for example ``sinks.topics.write_topic`` with its options.
+
     The stored popular list is read again for each batch. ``at`` names a text column to stamp the
     recommendations with; the time of processing is used without it.
     """
@@ -75,20 +80,25 @@ def recommend_requests(
     def handle(batch: DataFrame, batch_id: int) -> None:
         popular = read_popular(batch.sparkSession, popular_base)
         batch = batch.persist()
-        good, bad = requests.split_decoded(batch)
-        if at:
-            found = recommend.recommend(good, popular, at=at)
-        else:
-            found = recommend.recommend_now(good, popular)
-        write_batch(as_messages(found), out, batch_id)
-        write_batch(bad, quarantine, batch_id)
-        batch.unpersist()
+        try:
+            good, bad = requests.split_decoded(batch)
+            if at:
+                found = recommend.recommend(good, popular, at=at)
+            else:
+                found = recommend.recommend_now(good, popular)
+            if write is None:
+                write_batch(as_messages(found), out, batch_id)
+            else:
+                write(as_messages(found))
+            write_batch(bad, quarantine, batch_id)
+        finally:
+            batch.unpersist()
 
     return start(stream, handle, checkpoint, once)
 
 
 def refresh_popular(
-    stream: DataFrame, base: str, checkpoint: str, n: int = popularity.TOP_N, once: bool = False
+    stream: DataFrame, base: str, checkpoint: str, n: int | None = popularity.TOP_N, once: bool = False
 ) -> StreamingQuery:
     """Keep the stored popular list up to date from a stream of requests (column product_name)."""
 
@@ -102,7 +112,9 @@ def refresh_popular(
 def archive_requests(stream: DataFrame, out: str, checkpoint: str, once: bool = False) -> StreamingQuery:
     """Request messages decoded and stored as JSON lines, one folder per day of ``timestamp``."""
     good, _ = requests.split_decoded(stream)
-    rows = good.select("product_name", "timestamp", F.substring("timestamp", 1, 10).alias("dt"))
+    # A text that is no date names no folder of its own.
+    day = F.coalesce(F.try_to_timestamp(F.substring("timestamp", 1, 10), F.lit("yyyy-MM-dd")).cast("date").cast("string"), F.lit(UNKNOWN_DAY))
+    rows = good.select("product_name", "timestamp", day.alias("dt"))
     writer = rows.writeStream.format("json").partitionBy("dt").option("path", out)
     return run(writer, checkpoint, once)
 

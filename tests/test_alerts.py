@@ -146,6 +146,69 @@ def test_inhibition(spark):
     assert left.filter("severity = 'critical'").count() == 3 and left.filter("severity = 'info'").count() == 2
 
 
+def test_missing_labels_inhibit_each_other(spark):
+    rows = [alert("x", "critical", "a", 5, 7, cluster=None), alert("x", "warning", "b", 4, 9, cluster=None)]
+    frame = spark.createDataFrame(rows, ALERTS)
+    left = alerts.inhibit(alerts.firing_instants(frame)).filter("severity = 'warning'")
+    assert sorted(r["at"] for r in left.collect()) == [4, 8, 9]
+    runs = alerts.inhibit_runs(frame).filter("severity = 'warning'").collect()
+    assert sorted((r["fires_at"], r["end_at"]) for r in runs) == [(4, 4), (8, 9)]
+
+
+def test_inhibited_stretches_are_the_inhibited_instants(spark):
+    rng = random.Random(6)
+    rows = []
+    for instance in "abcdef":
+        at = rng.randrange(alerts.SLICE)
+        for _ in range(12):
+            end = at + rng.randrange(1, alerts.SLICE // 3)
+            rows.append(alert("x", rng.choice(["critical", "warning", "info"]), instance, at, end))
+            at = end + rng.randrange(2, 900)
+    frame = spark.createDataFrame(rows, ALERTS)
+    want = alerts.inhibit(alerts.firing_instants(frame)).select("severity", "instance", "at").collect()
+    got = alerts.firing_instants(alerts.inhibit_runs(frame)).select("severity", "instance", "at").collect()
+    assert sorted(map(tuple, got)) == sorted(set(map(tuple, want)))
+
+
+def brute_notices(rows, wait, repeat, interval=300, step=30):
+    """Look by look, from the rule: rows are (fires_at, end_at) of one group."""
+    present = {at for a, b in rows for at in range(a, b + 1)}
+    out, at = [], min(present)
+    while at <= max(present):
+        if at not in present or at - 1 in present:
+            at += 1
+            continue
+        end = at
+        while end + 1 in present:
+            end += 1
+        look, told, seen = at * step + wait, None, None
+        while look <= (end + 1) * step - 1:
+            joined = [a for a, _ in rows if at <= a <= end and (seen is None or a * step > seen) and a * step <= look]
+            if joined or look - told >= repeat:
+                out.append(look)
+                told = look
+            seen, look = look, look + interval
+        at = end + 1
+    return out
+
+
+@pytest.mark.parametrize("seed", [1, 2, 3])
+def test_schedule_look_by_look(spark, seed):
+    rng = random.Random(seed)
+    rows, at = [], alerts.SLICE - 400
+    for k in range(30):
+        at += rng.randrange(40)
+        rows.append((f"i{k}", at, at + rng.randrange(1, 60)))
+    frame = [alert("x", "warning", i, a, b) for i, a, b in rows]
+    want = brute_notices([(a, b) for _, a, b in rows], 30, 700)
+    assert times(spark, frame, repeat=700) == [("warning", t) for t in want]
+
+
+def test_no_rules_give_no_alerts(spark):
+    rows = [sample("up", "i", 0, 0.0)]
+    assert alerts.evaluate(spark.createDataFrame(rows, SAMPLES), []).count() == 0
+
+
 def test_shipped_rules_are_never_inhibited():
     for a, b in itertools.combinations(ALERT_RULES, 2):
         assert a.alertname != b.alertname
@@ -165,8 +228,14 @@ def test_schedule(spark):
     ]
     # Too short for the wait; then a second alert that joins, and a gap that starts anew.
     assert times(spark, [alert("x", "warning", "a", 10, 10)]) == []
+    # The wait counts from the group's start, whoever joins meanwhile.
+    at_once = [alert("x", "warning", "a", 10, 11), alert("x", "warning", "b", 11, 11)]
+    assert times(spark, at_once) == [("warning", 330)]
+    # A group that others keep joining is notified at each look.
+    joining = [alert("x", "warning", f"i{k}", 10 + 5 * k, 100) for k in range(12)]
+    assert times(spark, joining) == [("warning", 330 + 300 * k) for k in range(7)]
     joined = [alert("x", "warning", "a", 10, 40), alert("x", "warning", "b", 20, 50), alert("x", "warning", "b", 52, 60)]
-    assert times(spark, joined) == [("warning", 330), ("warning", 900), ("warning", 1590)]
+    assert times(spark, joined) == [("warning", 330), ("warning", 630), ("warning", 1590)]
     assert times(spark, [alert("x", "info", "a", 10, 40)], repeat=600) == [("info", 330), ("info", 930)]
     assert times(spark, [alert("x", "info", "a", 10, 40, state="pending")]) == []
 
@@ -180,7 +249,17 @@ def test_schedule(spark):
         (0.95123, "0.95123", "95.12%"),
         (0.0012346, "0.0012346", "0.1235%"),
         (1.0, "1", "100%"),
-        (12345678.0, "12345678", None),
+        (12345678.0, "1.2345678e+07", None),
+        (1 / 60, "0.016666666666666666", "1.667%"),
+        (1e-5, "1e-05", "0.001%"),
+        (1e-4, "0.0001", "0.01%"),
+        (123456.0, "123456", "1.235e+07%"),
+        (1e6, "1e+06", "1e+08%"),
+        (1e22, "1e+22", "1e+24%"),
+        (1e300, "1e+300", "1e+302%"),
+        (99.9999, "99.9999", "1e+04%"),
+        (-2.5e-7, "-2.5e-07", "-2.5e-05%"),
+        (99.991, "99.991", "9999%"),
         (-3.5, "-3.5", "-350%"),
         (math.inf, "+Inf", "+Inf%"),
         (math.nan, "NaN", "NaN%"),

@@ -135,7 +135,7 @@ def test_large_list_is_not_broadcast_and_a_hot_id_is_split(spark):
 
 
 def listing(df):
-    return [(r["line"], r["product_id"]) for r in catalog.numbered(df, block=2).orderBy("line").collect()]
+    return [(r["line"], r["product_id"]) for r in catalog.numbered(df).orderBy("line").collect()]
 
 
 def test_list_edits(spark):
