@@ -9,9 +9,10 @@ from pyspark.sql import types as T
 from . import jsontext
 from .text import trim_space
 
-# The patterns of the line format.
+# The patterns of the line format. Its white space is spelled out: the vertical tab, which
+# Java's \s also takes, does not count.
 PRICE_PATTERN = r"price=\{([^}]+)\}"
-AMOUNT_PATTERN = r"amount=([0-9.]+),[\t\n\f\r ]*currency=([0-9A-Za-z_]+)"
+AMOUNT_PATTERN = r"amount=([0-9.]+),[\t\n\f\r ]*currency=(\w+)"
 PRODUCT_ID_PATTERN = r"product_id=([^,}]+)"
 NAME_PATTERN = r"name=([^,}]+)"
 CATEGORY_PATTERN = r"category=([^,}]+)"

@@ -45,13 +45,6 @@ def allow_list_edit(spark: SparkSession, sf_dir: str) -> DataFrame:
     return catalog.numbered(kept)
 
 
-def allow_list_clear(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """After clearing the list the filter drops every product."""
-    cleared = catalog.clear_ids(_listed(spark, sf_dir))
-    kept = catalog.allowed_only(views.products(spark, sf_dir), cleared)
-    return kept.agg(F.count("*").alias("kept"))
-
-
 def _raw_products(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Product messages, one in twelve of each odd kind."""
     part = views.table(spark, sf_dir, "part").select("p_partkey", "p_name")
@@ -273,7 +266,6 @@ kept as (select * from added where product_id not like '%3')
             body="select row_number() over (order by position) as line, product_id from kept",
         ),
     ),
-    "allow_list_clear": (allow_list_clear, "select count(*) as kept from part where false"),
     "filter_routing": (
         filter_routing,
         with_cte(views.ROUTED, body=ROUTES.format(unparsed="pass_unparsed", blank="drop_no_id", listed="drop_no_id")),

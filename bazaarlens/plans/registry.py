@@ -6,11 +6,12 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import alerts, catalog, metrics, requests, streams, topics
+from . import alerts, catalog, metrics, requests, stored, streams, topics
 
 ALL = {
     **requests.QUERIES,
     **catalog.QUERIES,
+    **stored.QUERIES,
     **topics.QUERIES,
     **metrics.QUERIES,
     **alerts.QUERIES,

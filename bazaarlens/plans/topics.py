@@ -7,7 +7,6 @@ from pyspark.sql import functions as F
 
 from ..operators import topics
 from ..session import written
-from ..sources.files import list_files
 from . import requests, views
 from .views import with_cte
 
@@ -49,10 +48,6 @@ def replica_reconcile(spark: SparkSession, sf_dir: str) -> DataFrame:
     return topics.reconcile(source, replica, ["topic", "partition", "offset", "value"])
 
 
-def file_listing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return list_files(spark, sf_dir)
-
-
 QUERIES = {
     "offset_summary": (
         offset_summary,
@@ -102,5 +97,4 @@ group by topic, "partition", "offset", value
 """,
         ),
     ),
-    "file_listing": (file_listing, None),
 }

@@ -5,6 +5,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from bazaarlens import schemas
+from bazaarlens.functions import text
 from bazaarlens.operators import popularity, recommend, requests
 from bazaarlens.sinks import files as file_sinks
 from bazaarlens.sources import files
@@ -199,3 +200,23 @@ def test_term_counts_has_partial_aggregate_for_hot_terms(spark):
     rows = spark.range(300_000).select(F.when(F.col("id") % 3 == 0, "hot").otherwise(F.col("id").cast("string")).alias("product_name"))
     top = popularity.popular_products(rows, 1).first()
     assert (top["product_name"], top["search_count"]) == ("hot", 100_000)
+
+
+def test_long_lists_are_ranked_whole(spark):
+    """More than any list that fits an array: every rank is there, ties by term."""
+    requests = spark.range(0, 25_000).selectExpr("concat('t', id % 12000) as product_name")
+    whole = popularity.popular_products(requests, None).collect()
+    counts = {f"t{i}": 3 if i < 1000 else 2 for i in range(12000)}
+    want = sorted(counts.items(), key=lambda c: (-c[1], c[0]))
+    assert sorted((r["rank"], r["product_name"], r["search_count"]) for r in whole) == [
+        (k, name, n) for k, (name, n) in enumerate(want, 1)
+    ]
+    some = popularity.popular_products(requests, 11_000).collect()
+    assert sorted(r["rank"] for r in some) == list(range(1, 11_001))
+    short = popularity.popular_products(requests, 5).collect()
+    assert [r["product_name"] for r in sorted(short, key=lambda r: r["rank"])] == [name for name, _ in want[:5]]
+
+
+def test_case_is_folded_letter_by_letter(spark):
+    row = spark.createDataFrame([("ΟΔΟΣΑ", "ΟΔΟΣ")], "a string, b string").select(text.contains_fold(F.col("a"), F.col("b")))
+    assert row.first()[0]

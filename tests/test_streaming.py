@@ -181,3 +181,51 @@ def test_shared_folder_and_size_check(spark, tmp_path):
     assert not is_small(rows.selectExpr("repeat('x', 1000) as s"), 100, 5000)
     copy = written(rows, "rows")
     assert copy.count() == 10 and "parquet" in copy._jdf.queryExecution().executedPlan().toString().lower()
+
+
+def test_late_samples_count_as_if_in_order(spark, tmp_path):
+    """Files whose times overlap give the changes of the same samples in order, up to the lateness."""
+    rng = random.Random(4)
+    rule = Rule("Down", "up", "==", 0, 60, "critical")
+    rows = []
+    for instance in "abc":
+        value = 1.0
+        for t in range(0, 3600, 15):
+            value = rng.choice([value] * 9 + [0.0, 1.0])
+            rows.append(("up", "job", "cluster", instance, "", t * 1_000_000, value))
+    schema = "metric string, job string, cluster string, instance string, area string, ts_us long, value double"
+    folder, late = str(tmp_path / "in"), 600
+    order = sorted(rows, key=lambda r: r[5] + rng.randrange(late * 900_000))
+    for k in range(6):
+        part = order[k * len(order) // 6 : (k + 1) * len(order) // 6]
+        spark.createDataFrame(part, schema).coalesce(1).write.mode("append").parquet(folder)
+    stream = stream_files(spark, folder, spark.createDataFrame(rows, schema).schema, per_trigger=1)
+    work = str(tmp_path)
+    alert_watch.watch(stream, [rule], f"{work}/out", f"{work}/state", f"{work}/c", once=True, lateness=late).awaitTermination()
+    found = jobs.read_batches(spark, f"{work}/out", alert_watch.event_schema())
+    until = (max(r[5] for r in rows) - late * 1_000_000) // 30_000_000
+    runs = alerts.alert_runs(alerts.evaluate(spark.createDataFrame(rows, schema), [rule]))
+    keys = [*alerts.ALERT, *alerts.LABELS]
+    want = alert_watch.run_events(runs, keys, -1, 10**9).filter(f"at <= {until}")
+    names = ["instance", "state", "at"]
+    assert found.select(*names).exceptAll(want.select(*names)).count() == 0
+    assert want.select(*names).exceptAll(found.select(*names)).count() == 0
+    assert found.filter("state = 'firing'").count() > 0
+
+
+def test_a_list_is_read_whole_while_it_is_replaced(spark, tmp_path):
+    base = str(tmp_path)
+    popular = spark.createDataFrame([(1, "a", 5)], "rank int, product_name string, search_count long")
+    write_popular(popular, base)
+    half = tmp_path / "recommendations" / "v=99999999999999999999-half"
+    half.mkdir()
+    (half / "part-00000.json").write_text('{"rank":1,"product_name":"half","search_count":1}\n')
+    assert [r["product_name"] for r in files.read_popular(spark, base).collect()] == ["a"]
+    begun = files.read_popular(spark, base)
+    write_popular(popular.selectExpr("rank", "'b' as product_name", "search_count"), base)
+    assert [r["product_name"] for r in begun.collect()] == ["a"]
+    assert [r["product_name"] for r in files.read_popular(spark, base).collect()] == ["b"]
+    for name in "cd":
+        write_popular(popular.selectExpr("rank", f"'{name}' as product_name", "search_count"), base)
+    complete = [p.name for p in (tmp_path / "recommendations").glob("v=*") if (p / "_SUCCESS").exists()]
+    assert len(complete) == 2
