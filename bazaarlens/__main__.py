@@ -2,7 +2,9 @@
 
 popular BASE [N]           rank the archived searches of BASE and store the popular list
 recommend BASE             recommend for every archived search of BASE and store the messages
-search LINES NAME          products of a filtered-line file whose name contains NAME
+search LINES NAME [--log BASE]
+                           products of a filtered-line file whose name contains NAME; the search
+                           joins the archive of BASE
 import-list FILE TABLE     store an allow-list document as a table
 list | clear TABLE         show or empty an allow-list table
 add | remove TABLE ID..    edit an allow-list table
@@ -20,7 +22,7 @@ from .session import build_session
 from .sinks.files import write_allow_list, write_batch
 from .sinks.topics import as_messages
 from .sources import files
-from .streaming.jobs import refresh_once
+from .streaming.jobs import log_request, refresh_once
 
 
 def _ids(spark: SparkSession, values: list[str]) -> DataFrame:
@@ -36,6 +38,8 @@ def run(spark: SparkSession, args: argparse.Namespace) -> DataFrame:
         write_batch(as_messages(found, "recommendations"), f"{args.base}/messages", 0)
         return spark.read.parquet(f"{args.base}/messages/batch_id=0")
     if args.job == "search":
+        if args.log:
+            log_request(spark, args.name, args.log)
         return search.display(search.search(files.read_filtered_products(spark, args.lines), args.name))
     if args.job == "import-list":
         write_allow_list(files.read_allow_list(spark, args.file), args.table)
@@ -59,6 +63,7 @@ def parser() -> argparse.ArgumentParser:
     find = jobs.add_parser("search")
     find.add_argument("lines")
     find.add_argument("name")
+    find.add_argument("--log", metavar="BASE")
     load = jobs.add_parser("import-list")
     load.add_argument("file")
     load.add_argument("table")

@@ -19,6 +19,23 @@ LOOKBACK = 300
 SLICE_STEPS = 120
 
 
+OTHER_LABELS = "other_labels"
+
+
+def from_labels(samples: DataFrame, labels: list[str]) -> DataFrame:
+    """Scraped samples (``schemas.METRIC_SAMPLE``) as evaluator input: metric, labels, ts_us, value.
+
+    Labels that ``labels`` does not name stay in one text column, ``other_labels``, so that series which
+    differ only there stay apart if it is among the series columns. A missing label is null.
+    """
+    own = [name for name in labels if name in samples.columns]
+    mapped = [F.element_at("labels", name).alias(name) for name in labels if name not in own]
+    rest = F.map_filter("labels", lambda key, value: ~key.isin(*labels) & value.isNotNull())
+    pairs = F.transform(F.array_sort(F.map_entries(rest)), lambda e: F.concat(e["key"], F.lit("="), e["value"]))
+    others = F.array_join(F.coalesce(pairs, F.array().cast("array<string>")), ",").alias(OTHER_LABELS)
+    return samples.select("metric", *own, *mapped, others, F.unix_micros("ts").alias("ts_us"), "value")
+
+
 def sample_spans(
     samples: DataFrame,
     series: list[str] = SERIES,

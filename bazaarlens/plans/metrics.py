@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from .. import schemas
 from ..functions import metric_names
 from ..operators import metrics
 from . import views
@@ -99,6 +100,18 @@ def metric_sample_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return views.samples(spark, sf_dir).groupBy("metric", "cluster").agg(F.count("*").alias("samples"))
 
 
+def metric_sample_labels(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Samples with their labels in a map, as they are scraped, turned into label columns."""
+    found = views.samples(spark, sf_dir)
+    pair = F.create_map(
+        F.lit("area"), F.col("area"), F.lit("topic"), (F.col("event_id") % 3).cast("string"), F.lit("le"), F.lit("1")
+    )
+    scraped = found.select(
+        F.timestamp_micros("ts_us").alias("ts"), "metric", "job", "cluster", "instance", pair.alias("labels"), "value"
+    )
+    return metrics.from_labels(scraped.to(schemas.METRIC_SAMPLE), ["job", "cluster", "instance", "area"])
+
+
 BEANS = """
 named as (
   select event_id, event_id % 15 as k, event_type as low, cast(user_id as varchar) as u from events),
@@ -185,6 +198,15 @@ QUERIES = {
         metric_rename_all_domains,
         with_cte(BEANS, body="select event_id, name, type, labels from renamed where k < 14"),
     ),
+    "metric_sample_labels": (
+        metric_sample_labels,
+        with_cte(
+            views.SAMPLES,
+            body="""
+select metric, job, cluster, instance, area, 'le=1,topic=' || event_id % 3 as other_labels, ts_us, value from samples
+""",
+        ),
+    ),
     "metric_sample_counts": (
         metric_sample_counts,
         with_cte(

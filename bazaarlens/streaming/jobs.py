@@ -16,6 +16,7 @@ from pyspark.sql import types as T
 from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
 
 from .. import schemas
+from ..functions.text import rfc3339
 from ..operators import catalog, popularity, recommend, requests
 from ..sinks.files import json_as_line, write_batch, write_popular
 from ..sinks.topics import as_messages
@@ -131,6 +132,12 @@ def emit_requests(searches: DataFrame) -> DataFrame:
     return requests.request_envelope(searches).select("value")
 
 
+def log_request(spark: SparkSession, name: str, base: str) -> None:
+    """Add one search to the archive that popularity is counted from."""
+    request = spark.range(1).select(F.lit(name).alias("product_name"), rfc3339(F.current_timestamp()).alias("timestamp"))
+    request.write.mode("append").json(f"{base.rstrip('/')}/requests")
+
+
 def read_batches(spark: SparkSession, out: str, schema: T.StructType, fmt: str = "parquet") -> DataFrame:
     """What a job has written so far, with the batch id of each row."""
     whole = T.StructType([*schema.fields, T.StructField("batch_id", T.LongType())])

@@ -2,7 +2,7 @@ import json
 
 import pytest
 
-from bazaarlens.__main__ import parser, run
+from bazaarlens.__main__ import main, parser, run
 
 LINES = "{price={amount=10.5, currency=RUB}, product_id=1, name=Big Lamp, category=Home}\n"
 
@@ -29,6 +29,21 @@ def test_search_job(spark, tmp_path):
     assert do(spark, "search", tmp_path / "lines.txt", "LAMP") == [("1", "Big Lamp", "Home", "10.50 RUB")]
 
 
+def test_a_search_joins_the_archive(spark, tmp_path):
+    (tmp_path / "lines.txt").write_text(LINES)
+    for name in ("LAMP", "lamp", "LAMP"):
+        do(spark, "search", tmp_path / "lines.txt", name, "--log", tmp_path / "base")
+    assert do(spark, "popular", tmp_path / "base") == [(1, "LAMP", 2), (2, "lamp", 1)]
+
+
+def test_all_rows_are_printed(spark, tmp_path, capsys):
+    ids = [f"id{k:03d}" for k in range(45)]
+    (tmp_path / "list.json").write_text(json.dumps({"allowed_product_ids": ids}))
+    main(["import-list", str(tmp_path / "list.json"), str(tmp_path / "table")])
+    printed = capsys.readouterr().out.splitlines()
+    assert printed == ["line\tproduct_id", *[f"{k}\t{i}" for k, i in enumerate(ids, 1)]]
+
+
 def test_popular_and_recommend_jobs(spark, tmp_path):
     (tmp_path / "requests").mkdir()
     terms = ["lamp", "lamp", "red lamp", None]
