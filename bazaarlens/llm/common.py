@@ -10,8 +10,9 @@ from collections.abc import Callable, Iterator
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 
-# Rows of an Arrow batch. Texts may be long, so batches are far below Spark's default of 10,000 rows.
+# Rows and bytes of an Arrow batch. Texts may be long, so batches are far below Spark's defaults.
 BATCH_ROWS = 500
+BATCH_BYTES = 16 * 1024 * 1024
 LOWER = bytes.maketrans(bytes(range(65, 91)), bytes(range(97, 123)))
 _SHIPPED: set[str] = set()
 
@@ -41,6 +42,7 @@ def arrow_map(df: DataFrame, run: Callable[[Iterator[pa.RecordBatch]], Iterator[
     """``mapInArrow`` over small batches; ``schema`` is DDL or a StructType."""
     ship_code(df.sparkSession)
     df.sparkSession.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
+    df.sparkSession.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))
     return df.mapInArrow(run, schema)
 
 
