@@ -28,8 +28,9 @@ from .common import arrow_map
 from .pieces import PieceCache
 
 VOCABULARY = "byte_bpe_50k.json"
-# Compatibility of token pairs that a worker keeps; beyond, it starts anew.
-_KEPT_PAIRS = 1_000_000
+# Pieces and compatibilities of token pairs that a worker keeps, so that its memory stays bounded.
+CACHED_PIECES = 500_000
+_KEPT_PAIRS = 300_000
 _LATE = 1 << 60
 
 
@@ -60,7 +61,7 @@ class Codec:
             if left + right not in self.parts:
                 self.parts[left + right] = (left, right)
                 self.made[left + right] = rank
-        self.pairs: dict[tuple[str, str], bool] = {}
+        self.pairs: dict[int, bool] = {}
         usable = [t for t in self.ids if self._whole(t)]
         self.usable = set(usable)
         self.matcher = ahocorasick.Automaton()
@@ -69,7 +70,7 @@ class Codec:
         self.matcher.make_automaton()
         self.shorter = {t: self._next_prefix(t) for t in usable}
         self._offset_table()
-        self.cache = PieceCache(self._encode_pieces)
+        self.cache = PieceCache(self._encode_pieces, CACHED_PIECES)
 
     def _whole(self, token: str) -> bool:
         """A token that its own text encodes to: a letter, or a merge of two whole compatible parts."""
@@ -114,11 +115,12 @@ class Codec:
                 rights.pop()
 
     def compatible(self, left: str, right: str) -> bool:
-        known = self.pairs.get((left, right))
+        pair = self.ids[left] << 32 | self.ids[right]
+        known = self.pairs.get(pair)
         if known is None:
             if len(self.pairs) >= _KEPT_PAIRS:
                 self.pairs.clear()
-            known = self.pairs[left, right] = self._crossing(left, right) == _LATE
+            known = self.pairs[pair] = self._crossing(left, right) == _LATE
         return known
 
     def word(self, word: str) -> list[int]:
@@ -165,7 +167,7 @@ class Codec:
 
     def encode_decimals(self, texts: list[str]) -> list[str]:
         """Per text its ids in decimal, joined by commas."""
-        return [",".join(filter(None, parts)) for parts in self.cache.of_texts(texts)]
+        return self.cache.of_texts(texts, lambda parts: ",".join(filter(None, parts)))
 
     def _offset_table(self) -> None:
         byte_of = {letter: byte for byte, letter in _byte_letters().items()}

@@ -8,20 +8,17 @@ pieces of a corpus repeat, so a task looks them up and encodes only new ones.
 from __future__ import annotations
 
 import re
-from collections.abc import Callable, Hashable
+from collections.abc import Callable, Hashable, Iterable
 
-# Anything but single spaces and newlines between words.
-_UNUSUAL = re.compile(r"[^\S \n]|[ \n]{2}")
 _SEPARATORS = re.compile("[\x1c-\x1f]")  # white space for Python, but not for the tokenizer
 _RUNS = re.compile(r"\s*\S+|\s+")
-# Pieces that a worker keeps; beyond, it starts anew, so that its memory stays bounded.
-CACHED_PIECES = 1_000_000
-
-
 def keys_of(text: str) -> list[Hashable]:
     """Keys of the pieces: a string stands for itself after a space (or its own newline), a tuple for itself."""
-    if _UNUSUAL.search(text) is None:
-        keys: list[Hashable] = text.replace("\n", " \n").split(" ")
+    words = text.split()
+    gaps, newlines = len(words) - 1, text.count("\n")
+    # Nothing but one space or newline between words: there are as many as gaps, and no other white space.
+    if words and gaps == text.count(" ") + newlines and sum(map(len, words)) + gaps == len(text):
+        keys: list[Hashable] = text.replace("\n", " \n").split(" ") if newlines else words
         keys[0] = (keys[0],)
         return keys
     if _SEPARATORS.search(text):
@@ -35,20 +32,33 @@ def piece_of(key: Hashable) -> str:
     return key if key.startswith("\n") else " " + key
 
 
-class PieceCache(dict):
-    """From keys to encoded pieces; ``encode`` gets the pieces that are not known yet."""
+class PieceCache:
+    """From keys to encoded pieces; ``encode`` gets the pieces that are not known yet.
+
+    At most ``size`` pieces are kept, in two halves: when the young half is full, it becomes the old one,
+    whose pieces return when they are met again. Frequent pieces thus stay and rare ones go.
+    """
 
-    def __init__(self, encode: Callable[[list[str]], list], size: int = CACHED_PIECES):
-        super().__init__()
-        self.encode, self.size = encode, size
+    def __init__(self, encode: Callable[[list[str]], list], size: int):
+        self.encode, self.half = encode, max(1, size // 2)
+        self.young: dict[Hashable, object] = {}
+        self.old: dict[Hashable, object] = {}
 
-    def of_texts(self, texts: list[str]) -> list[list]:
+    def of_texts(self, texts: list[str], join: Callable[[Iterable], Hashable]) -> list:
+        """Per text what ``join`` makes of its encoded pieces."""
         keys = [keys_of(text) for text in texts]
-        wanted = set().union(*keys)
-        missing = [k for k in wanted if k not in self]
-        if len(self) + len(missing) > self.size:
-            self.clear()
-            missing = list(wanted)
-        self.update(zip(missing, self.encode([piece_of(k) for k in missing]), strict=True))
-        get = self.__getitem__
-        return [list(map(get, own)) for own in keys]
+        wanted, young, old = set().union(*keys), self.young, self.old
+        absent = [k for k in wanted if k not in young]
+        if len(young) + len(absent) > self.half:
+            self.old, self.young = young, {}
+            young, old = self.young, self.old
+            absent = list(wanted)
+        missing = []
+        for key in absent:
+            if key in old:
+                young[key] = old[key]
+            else:
+                missing.append(key)
+        young.update(zip(missing, self.encode([piece_of(k) for k in missing]), strict=True))
+        get = young.__getitem__
+        return [join(map(get, own)) for own in keys]

@@ -37,6 +37,10 @@ END_ID = 2
 SHARD_IDS = 4_000_000
 _MAGIC = b"WVLT"
 _HEAD = struct.Struct("<4s5Q")
+# Pieces that a worker keeps, so that its memory stays bounded.
+CACHED_PIECES = 900_000
+# Pieces encoded as one text: the library's cost per call is shared by them.
+_JOINED_PIECES = 2000
 _BLOCK_BITS = 4096  # bits between two stored counts
 _ONES = np.array([bin(b).count("1") for b in range(256)], dtype=np.uint8)
 
@@ -184,16 +188,37 @@ class _Encoder:
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.no_truncation()
         self.tokenizer.no_padding()
-        self.levels = max(1, (max(self.tokenizer.get_vocab(with_added_tokens=True).values())).bit_length())
+        vocabulary_ids = self.tokenizer.get_vocab(with_added_tokens=True)
+        self.levels = max(1, max(vocabulary_ids.values()).bit_length())
         self.kind = "<u2" if self.levels <= 16 else "<u4"
-        self.cache = PieceCache(self._encode)
+        # Bytes of each id: a byte-level token has a letter per byte, a special one is its own text.
+        special = {t.content for t in self.tokenizer.get_added_tokens_decoder().values()}
+        self.sizes = np.zeros(max(vocabulary_ids.values()) + 1, dtype=np.int64)
+        for token, i in vocabulary_ids.items():
+            self.sizes[i] = len(token.encode()) if token in special else len(token)
+        self.cache = PieceCache(self._encode, CACHED_PIECES)
 
     def _encode(self, pieces: list[str]) -> list[bytes]:
-        found = self.tokenizer.encode_batch_fast(pieces, add_special_tokens=False)
-        return [np.array(e.ids, dtype=self.kind).tobytes() for e in found]
+        """Pieces that begin with white space and end without it are encoded as one text, and cut again by bytes."""
+        joined = [i for i, p in enumerate(pieces) if p[:1] in (" ", "\n") and not p[-1].isspace()]
+        found: list[bytes] = [b""] * len(pieces)
+        for at in range(0, len(joined), _JOINED_PIECES):
+            own = joined[at : at + _JOINED_PIECES]
+            ends = np.cumsum([len(pieces[i].encode()) for i in own])
+            text = "".join([pieces[i] for i in own])
+            ids = np.array(self.tokenizer.encode_batch_fast([text], add_special_tokens=False)[0].ids, dtype=self.kind)
+            cuts = np.searchsorted(np.cumsum(self.sizes[ids]), ends, side="right").tolist()
+            data, width = ids.tobytes(), ids.itemsize
+            for i, a, b in zip(own, [0, *cuts], cuts, strict=False):
+                found[i] = data[a * width : b * width]
+        alone = sorted(set(range(len(pieces))).difference(joined))
+        encoded = self.tokenizer.encode_batch_fast([pieces[i] for i in alone], add_special_tokens=False)
+        for i, one in zip(alone, encoded, strict=True):
+            found[i] = np.array(one.ids, dtype=self.kind).tobytes()
+        return found
 
     def of_texts(self, texts: list[str]) -> list[bytes]:
-        return [b"".join(parts) for parts in self.cache.of_texts(texts)]
+        return self.cache.of_texts(texts, b"".join)
 
 
 _ENCODERS: dict[str, _Encoder] = {}

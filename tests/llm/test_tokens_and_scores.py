@@ -54,10 +54,16 @@ def test_pieces_join_to_the_text(library):
         assert "".join(map(pieces.piece_of, keys)) == text
 
 
-def test_cache_starts_anew_when_full():
-    cache = pieces.PieceCache(lambda found: [p.upper() for p in found], size=3)
+def test_cache_stays_small():
+    cache = pieces.PieceCache(lambda found: [p.upper() for p in found], size=6)
     assert cache.of_texts(["a b c", "d e f g h"], "".join) == ["A B C", "D E F G H"]
     assert cache.of_texts(["a b c"], "".join) == ["A B C"]
+    asked = []
+    cache = pieces.PieceCache(lambda found: asked.extend(found) or found, size=8)
+    for k in range(50):
+        cache.of_texts([f"x always {k}"], "".join)
+    assert len(cache.young) <= 4 and len(cache.old) <= 4
+    assert asked.count(" always") == 1 and len(asked) == 52
 
 
 def test_bpe_query_columns(spark, library):
