@@ -78,7 +78,8 @@ def later_windows(found: DataFrame) -> DataFrame:
     place = F.struct(F.col("doc_id").isNull().alias("missing"), "doc_id", "text_key", "at")
     first = found.groupBy("high", "low").agg(F.count("*").alias("n"), F.min(place).alias("first"))
     repeated = first.filter("n > 1").select("high", "low", "first")
-    later = found.join(repeated, ["high", "low"]).filter(place != F.col("first"))
+    # Both sides grow with the documents: they are always merged, never broadcast.
+    later = found.join(repeated.hint("merge"), ["high", "low"]).filter(place != F.col("first"))
     return later.groupBy("doc_id", "text_key").agg(F.collect_list("at").alias("later"))
 
 
@@ -104,7 +105,7 @@ def _marked(docs: DataFrame, size: int) -> DataFrame:
     )
     keyed = arrow_map(docs, run, schema)
     same = keyed["doc_id"].eqNullSafe(F.col("_doc")) & (keyed[_KEY] == F.col("_key"))
-    return keyed.join(later, same, "left").drop("_doc", "_key", _KEY)
+    return keyed.join(later.hint("merge"), same, "left").drop("_doc", "_key", _KEY)
 
 
 def _rewritten(marked: DataFrame, fields: list[T.StructField], counts: bool, size: int) -> DataFrame:
