@@ -123,7 +123,7 @@ class Reference:
 
 _COUNTS = "lang string, word binary, n long"
 # Distinct words that a task counts before it passes them on; they are added up again after the shuffle.
-_HELD_WORDS = 300_000
+_HELD_WORDS = 150_000
 
 
 def _counts(docs: DataFrame) -> DataFrame:
