@@ -18,6 +18,7 @@ import numpy as np
 import pyarrow as pa
 import zstandard
 from pyspark.sql import DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from ..session import written
@@ -147,7 +148,11 @@ class Vocabulary:
         sums = counts.agg(F.coalesce(F.sum("c"), F.lit(0)).alias("n"), F.count_if(F.col("c") > 0).alias("v")).first()
         known = counts.filter(F.col("c") > 0)
         ends = known.filter(F.col("word") == F.lit(_END)).collect()
-        rows = known.filter(F.col("word") != F.lit(_END)).orderBy(F.desc("c"), "word").limit(size - 2).collect()
+        # The most frequent words of 64 parts first, so that what comes to the driver does not grow with the tasks.
+        order = [F.desc("c"), F.asc("word")]
+        part = known.filter(F.col("word") != F.lit(_END)).withColumn("part", F.pmod(F.xxhash64("word"), F.lit(64)))
+        part = part.withColumn("r", F.row_number().over(W.partitionBy("part").orderBy(*order))).filter(F.col("r") <= size)
+        rows = part.select("word", "c").orderBy(*order).limit(size - 2).collect()
         listed = {_END: ends[0]["c"] if ends else 0} | {bytes(r["word"]): r["c"] for r in rows}
         rest = sums["n"] - sum(listed.values())
         ranked = sorted([(-c, w) for w, c in listed.items()] + [(-rest, None)], key=lambda x: (x[0], x[1] or b""))
@@ -261,7 +266,8 @@ def score(docs: DataFrame, block_bytes: int = BLOCK_BYTES, vocabulary_size: int
     counts = written(words.groupBy("word").agg(F.sum("n").alias("c")), "token_counts")
     vocabulary = Vocabulary.of(counts, vocabulary_size)
     model = GatedModel.new(vocabulary.counts)
-    model = _trained(blocks.orderBy("block").limit(1), vocabulary, model, START_RATE, START_TOKENS)
+    first = blocks.filter(F.col("block") == F.lit(blocks.agg(F.min("block")).first()[0]))
+    model = _trained(first, vocabulary, model, START_RATE, START_TOKENS)
     model = _trained(blocks, vocabulary, model, COPY_RATE)
     shared = spark.sparkContext.broadcast((vocabulary, model.starts, model.weights))
 
