@@ -1,19 +1,21 @@
-"""Main text of web pages by deducing each host's template from equivalence classes of tags.
-
-A token is a tag in its place: the chain of elements above it, with their classes. Over the pages of a
-host, tokens that occur equally often on every page have the same occurrence vector and form an
-equivalence class; a vector is compared by a hash that adds up over pages in any order, so no host is
-ever gathered in one task. Classes whose tokens occur at most once on a page and whose parents belong to
-classes that occur at least as widely nest into the template. What lies between template tokens are the slots; the
-slot of the article is the template's article or main element, else the smallest template element that
-holds most of the host's running text. All text in that slot is extracted but for page furniture.
+"""Main text of web pages by deducing each host's template from equivalence classes of tags and texts.
+
+A token is a tag in its place (the chain of elements above it, with their classes) or a block of text in
+its place. Over the distinct pages of a host, tokens that occur equally often on every page have the same
+occurrence vector; a vector is compared by a hash that adds up over pages in any order, so no host is ever
+gathered in one task. Pages are distinct by their running text: copies of an article are no evidence.
+Texts in one place that have the same vector are a class. A class on nearly all pages that have the element
+around it is template text (so each layout of a host has its own), if the element holds nothing else or the
+class has words enough to be no accident. What is left varies: the slot of the article is the smallest
+element, once on a page, that holds it on each page. The slot's text is extracted but for template
+text and page furniture.
 """
 
 from __future__ import annotations
 
 import html
 import re
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 from dataclasses import dataclass, field
 
 import pyarrow as pa
@@ -73,11 +75,14 @@ def _label(tag: str, attributes: str) -> str:
     return f"{tag}.{' '.join((found[0][2] or found[0][3] or found[0][4] or '').split())}" if found else tag
 
 
-def _role(parent: int, label: str) -> int:
-    value = xxhash.xxh64_intdigest(parent.to_bytes(8, "little", signed=True) + label.encode())
+def _signed(value: int) -> int:
     return value - (1 << 64) if value >> 63 else value
 
 
+def _role(parent: int, label: str) -> int:
+    return _signed(xxhash.xxh64_intdigest(parent.to_bytes(8, "little", signed=True) + label.encode(errors="replace")))
+
+
 def parse(text: str) -> tuple[Element, list[Element]]:
     """The page's tree of structural elements, and all of them in order. Inline tags only part no words."""
     root = Element("", 0, False, None)
@@ -135,143 +140,187 @@ def parse(text: str) -> tuple[Element, list[Element]]:
     return root, everything
 
 
-def blocks(element: Element) -> list[str]:
-    """Texts of the blocks below an element in page order: references decoded, white space made single."""
-    out: list[str] = []
+def runs(element: Element) -> Iterator[tuple[Element, str]]:
+    """Blocks outside furniture in page order with the element they stand in: references decoded, white space single."""
     pending: list[str] = []
 
-    def close() -> None:
+    def closed() -> str:
         words = html.unescape("".join(pending)).split()
-        if words:
-            out.append(" ".join(words))
         pending.clear()
+        return " ".join(words)
 
-    stack: list[Iterator] = [iter(element.children)]
+    stack: list[tuple[Element, Iterator]] = [(element, iter(element.children))]
     while stack:
-        child = next(stack[-1], _DONE)
-        if child is _DONE:
-            close()
-            stack.pop()
-        elif child is None:
+        above, children = stack[-1]
+        child = next(children, _DONE)
+        if child is None:
             pending.append(" ")
         elif isinstance(child, str):
             pending.append(child)
         else:
-            close()
-            if not child.furniture:
-                stack.append(iter(child.children))
-    return out
+            if pending and (text := closed()):
+                yield above, text
+            if child is _DONE:
+                stack.pop()
+            elif not child.furniture:
+                stack.append((child, iter(child.children)))
 
 
 _DONE = object()
 
 
-def host_of(url: str | None) -> str:
-    found = re.match(r"[A-Za-z][A-Za-z0-9+.-]*://([^/?#]*)", url or "")
-    return found[1].rpartition("@")[2].lower() if found else ""
-
-
-_TOKENS = (
-    "host string, role long, tag string, parent long, depth int, furniture boolean, pages long, vector long,"
-    " least long, most long, chars long"
-)
-_TOKEN_TYPES = [pa.string(), pa.int64(), pa.string(), pa.int64(), pa.int32(), pa.bool_(), *[pa.int64()] * 5]
-_TOKEN_NAMES = [c.split()[0] for c in _TOKENS.split(", ")]
+_TOKENS = "host string, role long, parent long, page long, count int, words int"
+_TOKEN_TYPES = [pa.string(), pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.int32()]
 # Tokens that a task holds before it passes them on.
 _HELD_TOKENS = 100_000
 
 
-def _signed(value: int) -> int:
-    return value - (1 << 64) if value >> 63 else value
+def _batch(rows: list, types: list, schema: str) -> pa.RecordBatch:
+    columns = [pa.array(v, k) for v, k in zip(zip(*rows, strict=True), types, strict=True)]
+    return pa.RecordBatch.from_arrays(columns, names=[c.split()[0] for c in schema.split(", ")])
+
+
+def _text_role(element: Element, text: str) -> int:
+    return _role(element.role, f"\n{text}")
 
 
 def tokens(pages: DataFrame) -> DataFrame:
-    """Per host and token: pages that have it, the hash of its occurrence vector, counts per page and text."""
+    """Per host and token: distinct pages that have it, the hash of its occurrence vector, and counts.
+
+    ``words`` is 0 for tags. Each token of a page travels once, so copies of a page count once.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: dict[tuple[str, int], list] = {}
+        held: dict[tuple[str, int, int], tuple[int, int, int]] = {}
 
         def flushed() -> pa.RecordBatch:
-            rows = [[*key, *value] for key, value in held.items()]
-            columns = [pa.array(v, k) for v, k in zip(zip(*rows, strict=True), _TOKEN_TYPES, strict=True)]
+            rows = [(host, role, parent, page, n, w) for (host, role, page), (parent, n, w) in held.items()]
             held.clear()
-            return pa.RecordBatch.from_arrays(columns, names=_TOKEN_NAMES)
+            return _batch(rows, _TOKEN_TYPES, _TOKENS)
 
         for batch in batches:
-            for page, url, text in zip(*(batch.column(i).to_pylist() for i in range(3)), strict=True):
-                host, seen = host_of(url), {}
-                _, everything = parse(text or "")
-                depths = {id(None): 0}
+            for host, text in zip(*(batch.column(i).to_pylist() for i in range(2)), strict=True):
+                root, everything = parse(text or "")
+                seen: dict[int, tuple[int, int, int]] = {0: (0, 1, 0)}
                 for e in everything:
-                    depths[id(e)] = depths.get(id(e.parent), 0) + 1
-                    known = seen.get(e.role)
-                    if known is None:
-                        parent = e.parent.role if e.parent is not None else 0
-                        seen[e.role] = [e.tag, parent, depths[id(e)], e.furniture, 1, e.chars]
-                    else:
-                        known[4] += 1
-                        known[5] += e.chars
-                for role, (tag, parent, depth, furniture, count, chars) in seen.items():
-                    mark = _signed(xxhash.xxh64_intdigest(f"{page}\0{url}\0{count}"))
-                    row = held.get((host, role))
-                    if row is None:
-                        held[host, role] = [tag, parent, depth, furniture, 1, mark, count, count, chars]
-                    else:
-                        row[4] += 1
-                        row[5] ^= mark
-                        row[6], row[7] = min(row[6], count), max(row[7], count)
-                        row[8] += chars
-            if len(held) > _HELD_TOKENS:
-                yield flushed()
+                    seen[e.role] = (e.parent.role, seen.get(e.role, (0, 0))[1] + 1, 0)
+                running = xxhash.xxh64()
+                for e, block in runs(root):
+                    role = _text_role(e, block)
+                    seen[role] = (e.role, seen.get(role, (0, 0))[1] + 1, len(block.split()))
+                    running.update(f"{block}\n".encode(errors="replace"))
+                page = _signed(running.intdigest())
+                for role, (parent, n, words) in seen.items():
+                    known = held.get((host, role, page))
+                    held[host, role, page] = (parent, max(n, known[1]) if known else n, words)
+                if len(held) > _HELD_TOKENS:
+                    yield flushed()
         if held:
             yield flushed()
 
-    found = arrow_map(pages.select("page_id", "url", "html"), run, _TOKENS)
-    return found.groupBy("host", "role").agg(
-        *[F.first(c).alias(c) for c in ("tag", "parent", "depth", "furniture")],
-        F.sum("pages").alias("pages"),
-        F.bit_xor("vector").alias("vector"),
-        F.min("least").alias("least"),
-        F.max("most").alias("most"),
-        F.sum("chars").alias("chars"),
+    found = arrow_map(pages.select("_host", "html"), run, _TOKENS)
+    by_page = found.groupBy("host", "role", "page").agg(
+        F.max("count").alias("count"), F.max("parent").alias("parent"), F.max("words").alias("words")
+    )
+    # Two sums of 32-bit marks: they cannot overflow.
+    mark = F.xxhash64("page", "count")
+    return by_page.groupBy("host", "role").agg(
+        F.max("parent").alias("parent"),
+        F.max("words").alias("words"),
+        F.count("*").alias("pages"),
+        F.sum(F.shiftrightunsigned(mark, 32)).alias("vector"),
+        F.sum(mark.bitwiseAND(F.lit(0xFFFFFFFF))).alias("vector2"),
+        F.sum(F.col("count").cast("long")).alias("total"),
     )
 
 
-# An element that holds this share of the host's running text may be the article's.
+# A template shows on so many distinct pages, and its texts on this share of the pages that have their element.
+MIN_PAGES = 3
+MIN_SHARE = 0.9
+# Words of a class that stands among varying texts of the same element; fewer recur by accident.
+MIN_CLASS_WORDS = 3
+
+
+def template_texts(found: DataFrame) -> DataFrame:
+    """Per host the text tokens of its template."""
+    here = ["host", "parent"]
+    elements = found.filter("words = 0").select("host", F.col("role").alias("parent"), F.col("pages").alias("parent_pages"))
+    texts = found.filter("words > 0")
+    all_texts = texts.groupBy(*here).agg(F.sum("total").alias("all_texts"))
+    common = texts.filter(F.col("pages") >= MIN_PAGES).join(elements, here)
+    common = common.filter(F.col("pages") >= F.col("parent_pages") * MIN_SHARE)
+    classes = common.groupBy(*here, "vector", "vector2").agg(F.sum("words").alias("class_words"))
+    constant = common.groupBy(*here).agg(F.sum("total").alias("constant")).join(all_texts, here)
+    chosen = common.join(classes, [*here, "vector", "vector2"]).join(constant, here)
+    chosen = chosen.filter((F.col("class_words") >= MIN_CLASS_WORDS) | (F.col("constant") >= F.col("all_texts") * MIN_SHARE))
+    return chosen.groupBy(F.col("host").alias("_host")).agg(F.collect_list("role").alias("_texts"))
+
+
+_COVERS = "host string, role long, pages long, misses long"
+_COVER_TYPES = [pa.string(), pa.int64(), pa.int64(), pa.int64()]
+# An element that holds this share of a page's varying text may be the article's.
 MIN_TEXT_SHARE = 0.6
 
 
-def templates(found: DataFrame) -> DataFrame:
-    """Per host the token of the article's slot (null if there is none), from the valid classes of tokens."""
-    found = found.withColumn("size", F.lit(1))
-    classes = found.groupBy("host", "vector", "pages").agg(F.max("most").alias("class_most"), F.sum("size").alias("class_size"))
-    member = found.join(classes, ["host", "vector", "pages"])
-    above = found.select("host", F.col("role").alias("parent"), F.col("pages").alias("parent_pages"))
-    nested = member.join(above, ["host", "parent"], "left")
-    valid = nested.filter(
-        (F.col("class_most") == 1) & (F.coalesce("parent_pages", F.col("pages")) >= F.col("pages")) & ~F.col("furniture")
-    )
-    whole = found.groupBy("host").agg(F.max("chars").alias("host_chars"), F.max("pages").alias("host_pages"))
-    valid = valid.join(whole, "host").filter(
-        (F.col("pages") * 2 > F.col("host_pages"))
-        & (F.col("tag").isin(*_CONTENT_TAGS) | (F.col("chars") >= F.col("host_chars") * MIN_TEXT_SHARE))
-    )
-    named = F.when(F.col("tag") == _CONTENT_TAGS[0], 0).when(F.col("tag") == _CONTENT_TAGS[1], 1).otherwise(2)
-    best = F.struct(named.alias("n"), (-F.col("depth")).alias("d"), (-F.col("chars")).alias("c"), F.col("role").alias("role"))
-    chosen = valid.groupBy("host").agg(F.min(best).alias("best"))
-    return chosen.select(F.col("host").alias("_host"), F.col("best.role").alias("_slot"))
+def varying(root: Element, everything: list[Element], texts: frozenset[int]) -> tuple[int, dict[int, int]]:
+    """Characters of the page's varying text, and those below each element (by ``id``)."""
+    below: dict[int, int] = {}
+    for e, block in runs(root):
+        if _text_role(e, block) not in texts:
+            below[id(e)] = below.get(id(e), 0) + len(block)
+    for e in reversed(everything):
+        if n := below.get(id(e)):
+            below[id(e.parent)] = below.get(id(e.parent), 0) + n
+    return below.get(id(root), 0), below
+
+
+def slots(pages: DataFrame) -> DataFrame:
+    """Per host the elements that stand once on a page and hold its varying text on each page that has them."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: dict[tuple[str, int], list[int]] = {}
+
+        def flushed() -> pa.RecordBatch:
+            rows = [(*key, *value) for key, value in held.items()]
+            held.clear()
+            return _batch(rows, _COVER_TYPES, _COVERS)
+
+        for batch in batches:
+            for host, text, texts in zip(*(batch.column(i).to_pylist() for i in range(3)), strict=True):
+                root, everything = parse(text or "")
+                whole, below = varying(root, everything, frozenset(texts or ()))
+                if not whole:
+                    continue
+                seen: dict[int, bool] = {}
+                for e in everything:
+                    seen[e.role] = e.role not in seen and below.get(id(e), 0) >= whole * MIN_TEXT_SHARE
+                for role, holds in seen.items():
+                    row = held.setdefault((host, role), [0, 0])
+                    row[0] += 1
+                    row[1] += not holds
+                if len(held) > _HELD_TOKENS:
+                    yield flushed()
+        if held:
+            yield flushed()
+
+    found = arrow_map(pages.select("_host", "html", "_texts"), run, _COVERS)
+    summed = found.groupBy("host", "role").agg(F.sum("pages").alias("pages"), F.sum("misses").alias("misses"))
+    chosen = summed.filter((F.col("pages") >= MIN_PAGES) & (F.col("misses") == 0))
+    return chosen.groupBy(F.col("host").alias("_host")).agg(F.collect_list("role").alias("_slots"))
 
 
-def main_text(text: str, slot: int | None) -> str:
+def main_text(text: str, slot_roles: Iterable[int] | None = None, template: Iterable[int] | None = None) -> str:
     """Text of the slot; without it, of the outermost article or main elements, else of the whole page."""
     root, everything = parse(text)
-    inside = [e for e in everything if slot is not None and e.role == slot]
+    roles, texts = frozenset(slot_roles or ()), frozenset(template or ())
+    # A slot holds all that is below it once, so that the last one in page order is the smallest.
+    inside = [e for e in everything if e.role in roles and not e.furniture][-1:]
     if not inside:
         for tag in _CONTENT_TAGS:
             inside = [e for e in everything if e.tag == tag and not e.furniture and not _below(e, tag)]
             if inside:
                 break
-    return "\n".join(block for e in inside or [root] for block in blocks(e))
+    return "\n".join(block for e in inside or [root] for at, block in runs(e) if _text_role(at, block) not in texts)
 
 
 def _below(element: Element, tag: str) -> bool:
@@ -290,17 +339,18 @@ def extract(pages: DataFrame) -> DataFrame:
     """Per row of ``pages`` (``page_id``, ``url``, ``html``) its main text (empty if none) and its code points.
 
     Null pages are empty; pages without a host share one template. Repeated rows stay rows. The templates
-    are one short row per host; they are broadcast if they were measured small, else joined by host, where
+    are one row per host; they are broadcast if they were measured small, else joined by host, where
     adaptive execution splits a host with very many pages.
     """
-    plain = pages.select(F.col("page_id").cast("long").alias("page_id"), "url", "html")
-    slots = written(templates(written(tokens(plain), "tokens")), "templates")
     host = F.lower(F.regexp_extract(F.coalesce("url", F.lit("")), r"^[A-Za-z][A-Za-z0-9+.-]*://(?:[^/?#]*@)?([^/?#@]*)", 1))
-    joined = lookup_join(plain.withColumn("_host", host), slots, ["_host"], "left")
+    plain = pages.select(F.col("page_id").cast("long").alias("page_id"), "url", "html").withColumn("_host", host)
+    texts = written(template_texts(written(tokens(plain), "tokens")), "template-texts")
+    marked = lookup_join(plain, texts, ["_host"], "left")
+    joined = lookup_join(marked, written(slots(marked), "slots"), ["_host"], "left")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            texts = [main_text(t or "", s) for t, s in zip(batch.column(2).to_pylist(), batch.column(3).to_pylist(), strict=True)]
+            texts = [main_text(t or "", s, m) for t, s, m in zip(*(batch.column(i).to_pylist() for i in (2, 3, 4)), strict=True)]
             columns = [
                 batch.column(0),
                 batch.column(1),
@@ -309,4 +359,4 @@ def extract(pages: DataFrame) -> DataFrame:
             ]
             yield pa.RecordBatch.from_arrays(columns, names=["page_id", "url", "text", "n_chars"])
 
-    return arrow_map(joined.select("page_id", "url", "html", "_slot"), run, _EXTRACTED)
+    return arrow_map(joined.select("page_id", "url", "html", "_slots", "_texts"), run, _EXTRACTED)

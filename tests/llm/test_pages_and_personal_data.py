@@ -186,3 +186,19 @@ def test_eleven_queries_are_registered():
         assert sum(name.startswith(f"op{n}_") for name in names) == 1
     assert "pipeline" in names
     assert 4 <= len(corpus_pipeline.STAGES) <= 5
+
+
+def texts_by_page(spark, rows):
+    return {r["page_id"]: r["text"] for r in html_template.extract(pages(spark, rows)).collect()}
+
+
+def test_template_text_without_a_listed_name_is_dropped(spark):
+    page = "<body><div>Welcome to our pages</div><div class=wrap><p>First {n} words</p><p>Read more in our magazine</p><p>Last {n}</p></div></body>"
+    rows = [(n, f"http://notices.example/{n}", page.format(n=n)) for n in range(8)]
+    # Copies of an article are no template.
+    copy = "<body><div class=wrap><p>The same article again</p></div><aside>{n}</aside></body>"
+    rows += [(100 + n, f"http://copies.example/{n}", copy.format(n=n)) for n in range(8)]
+    got = texts_by_page(spark, rows)
+    for n in range(8):
+        assert got[n] == f"First {n} words\nLast {n}"
+        assert got[100 + n] == "The same article again"
