@@ -258,8 +258,6 @@ def template_texts(found: DataFrame) -> DataFrame:
 
 _COVERS = "host string, role long, pages long, misses long"
 _COVER_TYPES = [pa.string(), pa.int64(), pa.int64(), pa.int64()]
-# An element that holds this share of a page's varying text may be the article's.
-MIN_TEXT_SHARE = 0.6
 
 
 def varying(root: Element, everything: list[Element], texts: frozenset[int]) -> tuple[int, dict[int, int]]:
@@ -293,7 +291,7 @@ def slots(pages: DataFrame) -> DataFrame:
                     continue
                 seen: dict[int, bool] = {}
                 for e in everything:
-                    seen[e.role] = e.role not in seen and below.get(id(e), 0) >= whole * MIN_TEXT_SHARE
+                    seen[e.role] = e.role not in seen and below.get(id(e)) == whole
                 for role, holds in seen.items():
                     row = held.setdefault((host, role), [0, 0])
                     row[0] += 1
@@ -310,16 +308,19 @@ def slots(pages: DataFrame) -> DataFrame:
 
 
 def main_text(text: str, slot_roles: Iterable[int] | None = None, template: Iterable[int] | None = None) -> str:
-    """Text of the slot; without it, of the outermost article or main elements, else of the whole page."""
+    """Text of the slot; without it, of the outermost article or main elements that hold most of the page's
+    varying text, else of the whole page."""
     root, everything = parse(text)
     roles, texts = frozenset(slot_roles or ()), frozenset(template or ())
     # A slot holds all that is below it once, so that the last one in page order is the smallest.
     inside = [e for e in everything if e.role in roles and not e.furniture][-1:]
     if not inside:
+        whole, below = varying(root, everything, texts)
         for tag in _CONTENT_TAGS:
             inside = [e for e in everything if e.tag == tag and not e.furniture and not _below(e, tag)]
-            if inside:
+            if 2 * sum(below.get(id(e), 0) for e in inside) > whole:
                 break
+            inside = []
     return "\n".join(block for e in inside or [root] for at, block in runs(e) if _text_role(at, block) not in texts)
 
 

@@ -202,3 +202,17 @@ def test_template_text_without_a_listed_name_is_dropped(spark):
     for n in range(8):
         assert got[n] == f"First {n} words\nLast {n}"
         assert got[100 + n] == "The same article again"
+
+
+def test_slot_holds_all_varying_text_of_each_layout(spark):
+    layouts = [
+        "<div class=wrap><h1>Title {n}</h1><div class=lead>A long lead text {n}</div><div class=body>The body text of page {n}</div></div>",
+        "<article><h1>Title {n}</h1><article class=teaser>A long lead text {n}</article><p>The body text of page {n}</p></article>",
+        "<section><p>Title {n}</p><p>A long lead text {n}</p></section><section><p>The body text of page {n}</p></section>",
+    ]
+    rows = [(n, f"http://h.example/{n}", f"<body><div>Our house</div>{layouts[n % 3].format(n=n)}</body>") for n in range(18)]
+    rows.append((99, "http://one.example/", "<article>Teaser</article><div>The whole text of the page</div>"))
+    got = texts_by_page(spark, rows)
+    for n in range(18):
+        assert got[n] == f"Title {n}\nA long lead text {n}\nThe body text of page {n}"
+    assert got[99] == "Teaser\nThe whole text of the page"
