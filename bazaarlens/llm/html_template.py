@@ -8,7 +8,7 @@ Texts in one place that have the same vector are a class. A class on nearly all
 around it is template text (so each layout of a host has its own), if the element holds nothing else or the
 class has words enough to be no accident. What is left varies: the slot of the article is the smallest
 element, once on a page, that holds it on each page. The slot's text is extracted but for template
-text and page furniture.
+text and page furniture. What only a name calls furniture is left out where it lies outside the slot.
 """
 
 from __future__ import annotations
@@ -37,7 +37,7 @@ _INLINE = frozenset(
     "a abbr acronym b bdi bdo big cite code data del dfn em font i ins kbd label mark q rp rt ruby s samp small span"
     " strike strong sub sup time tt u var".split()
 )
-# Elements that are no article text, and words of classes, ids and roles that name such parts.
+# Elements that are no article text, and words of classes, ids and roles that may name such parts.
 _FURNITURE = frozenset("nav header footer aside form button select option dialog menu head".split())
 _FURNITURE_WORDS = frozenset(
     "ad ads advert adverts advertisement advertisements banner sponsored promo cookie cookies consent notice notices"
@@ -46,6 +46,7 @@ _FURNITURE_WORDS = frozenset(
     " contentinfo complementary toolbar pagination pager".split()
 )
 _CONTENT_TAGS = ("article", "main")
+_NEVER_NAMED = frozenset(("html", "body", *_CONTENT_TAGS))
 _CLOSES_P = frozenset(
     "address article aside blockquote div dl fieldset footer form h1 h2 h3 h4 h5 h6 header hr main nav ol p pre section"
     " table ul li".split()
@@ -58,6 +59,7 @@ class Element:
     role: int
     furniture: bool
     parent: Element | None
+    named: bool = False  # a name says that it is furniture, or what is around it
     chars: int = 0  # text outside furniture below it
     children: list = field(default_factory=list)  # elements, texts and None for a line break
 
@@ -127,16 +129,21 @@ def parse(text: str) -> tuple[Element, list[Element]]:
             current = current.parent or root
         elif tag == "li" and current.tag == "li":
             current = current.parent or root
-        furniture = current.furniture or tag in _FURNITURE or _named_furniture(found[3])
-        element = Element(tag, _role(current.role, _label(tag, found[3])), furniture, current)
+        furniture = current.furniture or tag in _FURNITURE
+        named = tag not in _NEVER_NAMED and _named_furniture(found[3])
+        element = Element(tag, _role(current.role, _label(tag, found[3])), furniture, current, named)
         current.children.append(element)
         everything.append(element)
         current = element
     for element in reversed(everything):
         if not element.furniture:
-            element.chars += sum(len(c) for c in element.children if isinstance(c, str))
+            element.chars += sum(len(c.strip()) for c in element.children if isinstance(c, str))
             if element.parent is not None:
                 element.parent.chars += element.chars
+    root.chars += sum(len(c.strip()) for c in root.children if isinstance(c, str))
+    for element in everything:
+        # A name says nothing against an element that holds most of the page's text.
+        element.named = (element.named and 2 * element.chars < root.chars) or element.parent.named
     return root, everything
 
 
@@ -208,7 +215,8 @@ def tokens(pages: DataFrame) -> DataFrame:
                 for e, block in runs(root):
                     role = _text_role(e, block)
                     seen[role] = (e.role, seen.get(role, (0, 0))[1] + 1, len(block.split()))
-                    running.update(f"{block}\n".encode(errors="replace"))
+                    if not e.named:
+                        running.update(f"{block}\n".encode(errors="replace"))
                 page = _signed(running.intdigest())
                 for role, (parent, n, words) in seen.items():
                     known = held.get((host, role, page))
@@ -261,15 +269,29 @@ _COVER_TYPES = [pa.string(), pa.int64(), pa.int64(), pa.int64()]
 
 
 def varying(root: Element, everything: list[Element], texts: frozenset[int]) -> tuple[int, dict[int, int]]:
-    """Characters of the page's varying text, and those below each element (by ``id``)."""
-    below: dict[int, int] = {}
+    """Characters of the page's varying text, and those below each element (by ``id``).
+
+    Elements that are furniture by name are left out, so that the slot may lie beside them; but only if
+    the page has an article or main element with such text, or they hold less than half of it.
+    """
+    counts: dict[bool, dict[int, int]] = {False: {}, True: {}}
     for e, block in runs(root):
         if _text_role(e, block) not in texts:
-            below[id(e)] = below.get(id(e), 0) + len(block)
+            at = counts[e.named]
+            at[id(e)] = at.get(id(e), 0) + len(block)
+    plain, named = counts[False], counts[True]
+    below = _added_up(plain, everything)
+    if not any(e.tag in _CONTENT_TAGS and below.get(id(e)) for e in everything) and sum(named.values()) >= sum(plain.values()):
+        below = _added_up({k: plain.get(k, 0) + named.get(k, 0) for k in {*plain, *named}}, everything)
+    return below.get(id(root), 0), below
+
+
+def _added_up(own: dict[int, int], everything: list[Element]) -> dict[int, int]:
+    below = dict(own)
     for e in reversed(everything):
         if n := below.get(id(e)):
             below[id(e.parent)] = below.get(id(e.parent), 0) + n
-    return below.get(id(root), 0), below
+    return below
 
 
 def slots(pages: DataFrame) -> DataFrame:
@@ -309,7 +331,7 @@ def slots(pages: DataFrame) -> DataFrame:
 
 def main_text(text: str, slot_roles: Iterable[int] | None = None, template: Iterable[int] | None = None) -> str:
     """Text of the slot; without it, of the outermost article or main elements that hold most of the page's
-    varying text, else of the whole page."""
+    varying text, else of the smallest element that holds all of it."""
     root, everything = parse(text)
     roles, texts = frozenset(slot_roles or ()), frozenset(template or ())
     # A slot holds all that is below it once, so that the last one in page order is the smallest.
@@ -321,6 +343,8 @@ def main_text(text: str, slot_roles: Iterable[int] | None = None, template: Iter
             if 2 * sum(below.get(id(e), 0) for e in inside) > whole:
                 break
             inside = []
+        if not inside and whole:
+            inside = [e for e in everything if below.get(id(e)) == whole][-1:]
     return "\n".join(block for e in inside or [root] for at, block in runs(e) if _text_role(at, block) not in texts)
 
 

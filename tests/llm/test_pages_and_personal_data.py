@@ -216,3 +216,17 @@ def test_slot_holds_all_varying_text_of_each_layout(spark):
     for n in range(18):
         assert got[n] == f"Title {n}\nA long lead text {n}\nThe body text of page {n}"
     assert got[99] == "Teaser\nThe whole text of the page"
+
+
+def test_names_alone_make_no_furniture(spark):
+    layouts = [
+        "<body class='has-sidebar'><main class='content with-sidebar'><h1>Title {n}</h1><p>The body text of page {n}</p></main></body>",
+        "<article class='post share-enabled'><h1>Title {n}</h1><p>The body text of page {n}</p></article><div class=ad>Buy {n}</div>",
+        "<h1>Title {n}</h1><div id='search-result-12'><p>The body text of page {n}</p></div><footer>f</footer>",
+        "<h1>Title {n}</h1><div id='search-result-1'>The body</div><div id='search-result-2'>text of page {n}</div>",
+        "<div class=cookie-notice>Ok {n}?</div><div class=text><h1>Title {n}</h1><div>The body text of page {n}</div></div>",
+    ]
+    rows = [(10 * i + n, f"http://h{i}.example/{n}", layout.format(n=n)) for i, layout in enumerate(layouts) for n in range(1 + i % 2 * 5)]
+    for page, text in texts_by_page(spark, rows).items():
+        n = page % 10
+        assert " ".join(text.split()) == f"Title {n} The body text of page {n}"
