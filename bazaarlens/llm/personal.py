@@ -2,9 +2,10 @@
 
 The base finds four kinds of spans by pattern. The field labels the tokens of a document that hold a digit
 or an @ (all others cannot be personal data of these kinds): neighbours share a chain potential, and each
-token is also linked to the previous token that is the same or similar (equal digits, or equal letters
-and digits), however far away. Loopy message passing over both makes labels agree across the document: a number that
-is a phone number where it is written in full is one where it is written short. The field is fitted
+token is also linked to the first token that is the same or similar (equal digits, or equal letters
+and digits), however far away, so that any two equal tokens are two links apart. Loopy message passing over both,
+until no message changes, makes labels agree across the document: a number that is a phone number where it is
+written in full (the base's spans are given) is one where it is written short. The field is fitted
 on pattern-labelled documents, while features are hidden at random so that links have to carry labels.
 """
 
@@ -149,9 +150,10 @@ class Graph:
             digits = "".join(_DIGIT.findall(token))
             plain = re.sub(r"[\W_]+", "", token).lower()
             linked = {known.get(("d", digits)) if len(digits) > 3 else None, known.get(("t", plain))}
-            for other in linked - {None, me - 1 if follows else None}:
+            for other in linked - {None}:
                 self.skip.append((other, me))
-            known["d", digits] = known["t", plain] = me
+            known.setdefault(("d", digits), me)
+            known.setdefault(("t", plain), me)
             last_index = index
 
     def features(self) -> np.ndarray:
@@ -159,8 +161,14 @@ class Graph:
 
 
 LABELS = len(KINDS) + 1  # 0: none
-_ROUNDS = 6
+# Messages pass until none changes by more than the tolerance; the rounds only end loops that never settle.
+_ROUNDS = 1000
+_TOLERANCE = 1e-6
+# Gradients need no settled messages.
+_FIT_ROUNDS = 6
 _DAMPING = 0.5
+_SLOWER_AFTER = 100
+_NEVER = -50.0
 
 
 @dataclass
@@ -169,28 +177,38 @@ class SkipChainField:
     chain: np.ndarray  # labels x labels, left to right
     skip: np.ndarray  # labels x labels, symmetric
 
-    def beliefs(self, features: np.ndarray, chain: np.ndarray, skip: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """Marginals of nodes, chain links and skip links after a fixed number of message rounds."""
+    def beliefs(
+        self, features: np.ndarray, chain: np.ndarray, skip: np.ndarray, given: np.ndarray | None = None, rounds: int | None = None
+    ) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Marginals of nodes, chain links and skip links once the messages have settled; ``given`` labels above 0 are fixed."""
         unary = features @ self.nodes
+        if given is not None:
+            unary[given > 0] = np.where(np.arange(LABELS) == given[given > 0, None], 0.0, _NEVER)
         links = np.concatenate([chain, skip])
         potentials = np.concatenate([np.broadcast_to(self.chain, (len(chain), LABELS, LABELS)), np.broadcast_to(self.skip, (len(skip), LABELS, LABELS))])
         left, right = links[:, 0], links[:, 1]
         to_right = np.zeros((len(links), LABELS))
         to_left = np.zeros((len(links), LABELS))
 
-        def total() -> np.ndarray:
-            sums = unary.copy()
-            np.add.at(sums, right, to_right)
-            np.add.at(sums, left, to_left)
-            return sums
-
-        for _ in range(_ROUNDS if len(links) else 0):
-            sums = total()
-            forward = _normal(_log_sum((sums[left] - to_left)[:, :, None] + potentials, 1))
-            back = _normal(_log_sum((sums[right] - to_right)[:, None, :] + potentials, 2))
-            to_right = _DAMPING * to_right + (1 - _DAMPING) * forward
-            to_left = _DAMPING * to_left + (1 - _DAMPING) * back
-        sums = total()
+        sums = unary.copy()
+        active = np.arange(len(links))
+        for done in range(rounds or _ROUNDS):
+            if not len(active):
+                break
+            a, b, was_right, was_left = left[active], right[active], to_right[active], to_left[active]
+            forward = _normal(_log_sum((sums[a] - was_left)[:, :, None] + potentials[active], 1))
+            back = _normal(_log_sum((sums[b] - was_right)[:, None, :] + potentials[active], 2))
+            step = 1 - _DAMPING if done < _SLOWER_AFTER else (1 - _DAMPING) / 5
+            right_change, left_change = step * (forward - was_right), step * (back - was_left)
+            to_right[active] += right_change
+            to_left[active] += left_change
+            np.add.at(sums, b, right_change)
+            np.add.at(sums, a, left_change)
+            # Only links at a node that moved have anything to pass on: settled parts rest.
+            moved = np.zeros(len(sums), dtype=bool)
+            moved[b[np.abs(right_change).max(axis=1) > _TOLERANCE]] = True
+            moved[a[np.abs(left_change).max(axis=1) > _TOLERANCE]] = True
+            active = np.flatnonzero(moved[left] | moved[right])
         pairs = (sums[left] - to_left)[:, :, None] + potentials + (sums[right] - to_right)[:, None, :]
         pairs = np.exp(pairs - pairs.max(axis=(1, 2), keepdims=True))
         pairs /= pairs.sum(axis=(1, 2), keepdims=True)
@@ -210,15 +228,20 @@ def _links(pairs: list[tuple[int, int]]) -> np.ndarray:
     return np.array(pairs, dtype=np.int64).reshape(-1, 2)
 
 
-def gold_labels(graph: Graph, texts: list[str]) -> np.ndarray:
+def gold_labels(graph: Graph, base: list[list[Span]]) -> np.ndarray:
     """Kind of the base span that a token overlaps; where kinds overlap the first listed counts."""
     labels = np.zeros(len(graph.spans), dtype=np.int64)
-    spans = [base_spans(t) for t in texts]
+    # Spans of one kind are in order and do not overlap.
+    sorted_spans = [[[(a, b) for k, a, b in spans if k == kind] for kind in KINDS] for spans in base]
+    at = [[0] * len(KINDS) for _ in base]
     for i, (document, start, end) in enumerate(graph.spans):
-        for kind, a, b in spans[document]:
-            if a < end and start < b:
-                labels[i] = KINDS.index(kind) + 1
-                break
+        for label, spans in enumerate(sorted_spans[document]):
+            k = at[document][label]
+            while k < len(spans) and spans[k][1] <= start:
+                k += 1
+            at[document][label] = k
+            if k < len(spans) and spans[k][0] < end and not labels[i]:
+                labels[i] = label + 1
     return labels
 
 
@@ -231,7 +254,7 @@ def fit(texts: list[str], steps: int = STEPS, seed: int = 7) -> SkipChainField:
     graph = Graph()
     for i, text in enumerate(texts):
         graph.add(i, text)
-    features, gold = graph.features(), gold_labels(graph, texts)
+    features, gold = graph.features(), gold_labels(graph, [base_spans(t) for t in texts])
     chain, skip = _links(graph.chain), _links(graph.skip)
     made = SkipChainField(np.zeros((_SHAPES + 1, LABELS)), np.zeros((LABELS, LABELS)), np.zeros((LABELS, LABELS)))
     if not len(features):
@@ -242,7 +265,7 @@ def fit(texts: list[str], steps: int = STEPS, seed: int = 7) -> SkipChainField:
     for step in range(1, steps + 1):
         hidden = features.copy()
         hidden[random.random(len(hidden)) < HIDDEN_SHARE, 1:_SHAPES] = 0
-        node, pair, far = made.beliefs(hidden, chain, skip)
+        node, pair, far = made.beliefs(hidden, chain, skip, rounds=_FIT_ROUNDS)
         slopes = {"nodes": hidden.T @ (hot[gold] - node)}
         for name, links, found in (("chain", chain, pair), ("skip", skip, far)):
             seen = np.einsum("ia,ib->ab", hot[gold[links[:, 0]]], hot[gold[links[:, 1]]]) - found.sum(axis=0)
@@ -271,11 +294,11 @@ def added_spans(model: SkipChainField, texts: list[str], base: list[list[Span]])
             graph.add(i, text)
     if not graph.spans:
         return out
-    found, _, _ = model.beliefs(graph.features(), _links(graph.chain), _links(graph.skip))
+    given = gold_labels(graph, base)
+    found, _, _ = model.beliefs(graph.features(), _links(graph.chain), _links(graph.skip), given)
     best = np.where(found.max(axis=1) >= MIN_PROBABILITY, found.argmax(axis=1), 0)
     follows = {right for _, right in graph.chain}
     open_span: tuple[int, str, int, int] | None = None
-    taken = [sorted((a, b) for _, a, b in spans) for spans in base]
 
     def close() -> None:
         if open_span:
@@ -287,8 +310,7 @@ def added_spans(model: SkipChainField, texts: list[str], base: list[list[Span]])
                 out[document].append((kind, start, end))
 
     for i, (document, start, end) in enumerate(graph.spans):
-        free = all(b <= start or a >= end for a, b in taken[document])
-        kind = KINDS[best[i] - 1] if best[i] and free else None
+        kind = KINDS[best[i] - 1] if best[i] and not given[i] else None
         if kind and open_span and i in follows and open_span[0] == document and open_span[1] == kind:
             open_span = (document, kind, open_span[2], end)
             continue

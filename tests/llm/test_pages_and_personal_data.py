@@ -230,3 +230,19 @@ def test_names_alone_make_no_furniture(spark):
     for page, text in texts_by_page(spark, rows).items():
         n = page % 10
         assert " ".join(text.split()) == f"Title {n} The body text of page {n}"
+
+
+def test_labels_agree_however_often_a_token_comes():
+    model = fitted()
+    text = "call +1 (456) 555-2186 today. " + "Later some words and 555-2186 again. " * 40
+    graph = personal.Graph()
+    graph.add(0, text)
+    chain, skip = (np.array(p, dtype=np.int64).reshape(-1, 2) for p in (graph.chain, graph.skip))
+    given = personal.gold_labels(graph, [personal.base_spans(text)])
+    found, _, _ = model.beliefs(graph.features(), chain, skip, given)
+    later = found[[text[a:b] == "555-2186" and not given[i] for i, (_, a, b) in enumerate(graph.spans)]]
+    assert len(later) == 40 and np.allclose(later, later[0], atol=1e-4)
+    phone = personal.KINDS.index("phone") + 1
+    assert (later.argmax(axis=1) == phone).all()
+    (added,) = personal.added_spans(model, [text], [personal.base_spans(text)])
+    assert len([s for s in added if s[0] == "phone"]) == 40
