@@ -272,7 +272,7 @@ def varying(root: Element, everything: list[Element], texts: frozenset[int]) ->
     """Characters of the page's varying text, and those below each element (by ``id``).
 
     Elements that are furniture by name are left out, so that the slot may lie beside them; but only if
-    the page has an article or main element with such text, or they hold less than half of it.
+    the page has an article or main element, or they hold less than half of the text.
     """
     counts: dict[bool, dict[int, int]] = {False: {}, True: {}}
     for e, block in runs(root):
@@ -281,7 +281,7 @@ def varying(root: Element, everything: list[Element], texts: frozenset[int]) ->
             at[id(e)] = at.get(id(e), 0) + len(block)
     plain, named = counts[False], counts[True]
     below = _added_up(plain, everything)
-    if not any(e.tag in _CONTENT_TAGS and below.get(id(e)) for e in everything) and sum(named.values()) >= sum(plain.values()):
+    if not any(e.tag in _CONTENT_TAGS and not e.furniture for e in everything) and sum(named.values()) >= sum(plain.values()):
         below = _added_up({k: plain.get(k, 0) + named.get(k, 0) for k in {*plain, *named}}, everything)
     return below.get(id(root), 0), below
 
@@ -334,10 +334,11 @@ def main_text(text: str, slot_roles: Iterable[int] | None = None, template: Iter
     varying text, else of the smallest element that holds all of it."""
     root, everything = parse(text)
     roles, texts = frozenset(slot_roles or ()), frozenset(template or ())
-    # A slot holds all that is below it once, so that the last one in page order is the smallest.
-    inside = [e for e in everything if e.role in roles and not e.furniture][-1:]
+    whole, below = varying(root, everything, texts)
+    # All of these hold the page's varying text, as does an article that other pages break, so the last one is the smallest.
+    holds = {id(e) for e in everything if e.tag in _CONTENT_TAGS and whole and below.get(id(e)) == whole}
+    inside = [e for e in everything if (e.role in roles or id(e) in holds) and not e.furniture][-1:]
     if not inside:
-        whole, below = varying(root, everything, texts)
         for tag in _CONTENT_TAGS:
             inside = [e for e in everything if e.tag == tag and not e.furniture and not _below(e, tag)]
             if 2 * sum(below.get(id(e), 0) for e in inside) > whole:
