@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, chat, decontaminate, html_template, line_windows, lm_scoring, personal, quality, simhash, wavelet
+from . import bpe, chat, decontaminate, html_template, line_windows, lm_scoring, merkle, personal, quality, simhash, wavelet, whitening
 from .common import table
 
 
@@ -144,6 +144,66 @@ def quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.judge(table(spark, sf_dir, "documents"))
 
 
+def embedding_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whitening.whiten(table(spark, sf_dir, "embeddings"))
+
+
+def merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return merkle.manifest_report(table(spark, sf_dir, "documents"))
+
+
+# CRC-32 bit by bit; each tree grows one level a step, and each leaf folds one level a step.
+MERKLE_SQL = r"""
+with recursive
+crcs as (
+  select doc_id, xor(list_reduce(list_concat([4294967295::bigint],
+           list_transform(string_split(cast(doc_id as varchar), ''), lambda c: cast(ascii(c) as bigint))),
+         lambda a, c: list_reduce([xor(a, c), 0, 0, 0, 0, 0, 0, 0, 0],
+           lambda t, z: case when t % 2 = 1 then xor(t // 2, 3988292384::bigint) else t // 2 end)), 4294967295::bigint) as crc
+  from (select distinct doc_id from documents where doc_id is not null)),
+fields as (
+  select d.doc_id, lang, coalesce(crc % 7 = 0, false) as tampered, n_chars,
+         coalesce(strlen(cast(d.doc_id as varchar)) || ':' || d.doc_id, '-') || coalesce(strlen(source) || ':' || source, '-')
+           || coalesce(strlen(lang) || ':' || lang, '-') as head,
+         coalesce(strlen("text") || ':' || "text", '-') as tail
+  from documents d left join crcs c on c.doc_id = d.doc_id),
+hashed as (
+  select doc_id, lang, sha256(head || coalesce(strlen(cast(n_chars as varchar)) || ':' || n_chars, '-') || tail) as leaf,
+         sha256(head || coalesce(strlen(cast(n_chars + tampered::int as varchar)) || ':' || (n_chars + tampered::int), '-') || tail) as shown
+  from fields),
+leaves as (
+  select *, row_number() over () as rid, row_number() over (partition by lang order by doc_id nulls first, leaf) - 1 as idx,
+         count(*) over (partition by lang) as n from hashed),
+up as (
+  select lang, 0 as level, idx, n, leaf as h from leaves
+  union all
+  select lang, level + 1, idx // 2, (n + 1) // 2, sha256(h || coalesce(nxt, '')) from (
+    select *, lead(h) over (partition by lang, level order by idx) as nxt from up where n > 1) where idx % 2 = 0),
+roots as (select lang, h as subroot, row_number() over (order by lang nulls first) - 1 as idx, count(*) over () as n from up where n = 1),
+top as (
+  select 0 as level, idx, n, subroot as h from roots
+  union all
+  select level + 1, idx // 2, (n + 1) // 2, sha256(h || coalesce(nxt, '')) from (
+    select *, lead(h) over (partition by level order by idx) as nxt from top where n > 1) where idx % 2 = 0),
+low as (
+  select rid, lang, 0 as level, idx, n, shown as acc, '' as proof from leaves
+  union all
+  select l.rid, l.lang, l.level + 1, l.idx // 2, (l.n + 1) // 2,
+         sha256(case when l.idx % 2 = 1 then s.h || l.acc else l.acc || coalesce(s.h, '') end), l.proof || coalesce(s.h, '')
+  from low l left join up s on s.lang is not distinct from l.lang and s.level = l.level and s.idx = xor(l.idx, 1::bigint)
+  where l.n > 1),
+high as (
+  select l.rid, 0 as level, r.idx, r.n, l.acc, l.proof from low l join roots r on r.lang is not distinct from l.lang where l.n = 1
+  union all
+  select l.rid, l.level + 1, l.idx // 2, (l.n + 1) // 2,
+         sha256(case when l.idx % 2 = 1 then s.h || l.acc else l.acc || coalesce(s.h, '') end), l.proof || coalesce(s.h, '')
+  from high l left join top s on s.level = l.level and s.idx = xor(l.idx, 1::bigint) where l.n > 1)
+select l.doc_id, l.leaf, r.subroot, t.h as root, sha256(f.proof) as proof_sha256, f.acc as folded_root, f.acc = t.h as verified
+from leaves l join roots r on r.lang is not distinct from l.lang join high f on f.rid = l.rid and f.n = 1
+join top t on t.n = 1
+"""
+
+
 QUERIES = {
     "op1_token_files": (token_files, None),
     "op2_bpe_round_trip": (bpe_round_trip, None),
@@ -155,4 +215,6 @@ QUERIES = {
     "op8_benchmark_decontamination": (benchmark_decontamination, DECONTAMINATION_SQL),
     "op9_lm_scoring": (lm_scores, None),
     "op10_quality_rules": (quality_rules, None),
+    "op12_embedding_whitening": (embedding_whitening, None),
+    "op13_merkle_manifest": (merkle_manifest, MERKLE_SQL),
 }
