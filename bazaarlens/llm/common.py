@@ -38,10 +38,16 @@ def ship_code(spark: SparkSession) -> None:
     _SHIPPED.add(context.applicationId)
 
 
-def arrow_map(df: DataFrame, run: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]], schema) -> DataFrame:
-    """``mapInArrow`` over small batches; ``schema`` is DDL or a StructType."""
+def arrow_map(
+    df: DataFrame, run: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]], schema, rows: int = BATCH_ROWS
+) -> DataFrame:
+    """``mapInArrow`` over small batches; ``schema`` is DDL or a StructType.
+
+    The sizes hold for what runs next: with more ``rows`` (of numbers, not texts) the result is to be written before
+    the next call.
+    """
     ship_code(df.sparkSession)
-    df.sparkSession.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
+    df.sparkSession.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(rows))
     df.sparkSession.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))
     return df.mapInArrow(run, schema)
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, chat, decontaminate, html_template, line_windows, lm_scoring, merkle, personal, quality, simhash, wavelet, whitening
+from . import bpe, chat, decontaminate, html_template, line_windows, lm_scoring, merkle, personal, quality, simhash, suffix_dedup, wavelet, whitening
 from .common import table
 
 
@@ -144,6 +144,10 @@ def quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.judge(table(spark, sf_dir, "documents"))
 
 
+def suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix_dedup.repeat_report(table(spark, sf_dir, "documents"))
+
+
 def embedding_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
     return whitening.whiten(table(spark, sf_dir, "embeddings"))
 
@@ -215,6 +219,7 @@ QUERIES = {
     "op8_benchmark_decontamination": (benchmark_decontamination, DECONTAMINATION_SQL),
     "op9_lm_scoring": (lm_scores, None),
     "op10_quality_rules": (quality_rules, None),
+    "op11_suffix_array_dedup": (suffix_array_dedup, None),
     "op12_embedding_whitening": (embedding_whitening, None),
     "op13_merkle_manifest": (merkle_manifest, MERKLE_SQL),
 }
