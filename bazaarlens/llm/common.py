@@ -21,6 +21,14 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def free_name(df: DataFrame, name: str) -> str:
+    """``name``, or the first of ``name_``, ``name__``, .. that no column of ``df`` has in any letter case."""
+    taken = {column.lower() for column in df.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
 def ship_code(spark: SparkSession) -> None:
     """Send this package to the executors, once per application: they may not have it installed."""
     context = spark.sparkContext
