@@ -9,6 +9,7 @@ from collections.abc import Callable, Iterator
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 # Rows and bytes of an Arrow batch. Texts may be long, so batches are far below Spark's defaults.
 BATCH_ROWS = 500
@@ -21,12 +22,18 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def free_name(df: DataFrame, name: str) -> str:
-    """``name``, or the first of ``name_``, ``name__``, .. that no column of ``df`` has in any letter case."""
-    taken = {column.lower() for column in df.columns}
-    while name.lower() in taken:
-        name += "_"
-    return name
+_REST = "_row"
+
+
+def sealed(docs: DataFrame) -> DataFrame:
+    """``doc_id``, ``text`` and all columns but the text in one, so that no name of theirs meets one of an operator."""
+    rest = [F.col(f"`{c}`").alias(c) for c in docs.columns if c != "text"]
+    return docs.select("doc_id", "text", F.struct(*rest).alias(_REST))
+
+
+def opened(rows: DataFrame, docs: DataFrame) -> DataFrame:
+    """Rows of ``sealed(docs)`` with the columns of ``docs`` again; the text is that of ``rows``."""
+    return rows.select(*[F.col("text") if c == "text" else F.col(_REST).getField(c).alias(c) for c in docs.columns])
 
 
 def ship_code(spark: SparkSession) -> None:

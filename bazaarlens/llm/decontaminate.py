@@ -17,7 +17,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import arrow_map, texts_of
+from ..session import written
+from .common import arrow_map, opened, sealed, texts_of
 
 WINDOW_WORDS = 13
 # Contaminated: hit words are at least a twentieth of the document's.
@@ -163,7 +164,7 @@ def search(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW_WORDS, bl
     """``docs`` with ``_found``: ``n_words``, the covered word ranges, and the items with occurring windows.
 
     The benchmark is searched in blocks of about ``block_bytes``: each block's tables are broadcast and
-    every document passes all blocks in turn, without a shuffle. Null texts have no words. Items without
+    every document passes all blocks in turn, without a shuffle; between two blocks the table is written. Null texts have no words. Items without
     words match nothing; items without id can hit words, but are not listed. Repeated items count once.
     """
     pieces = benchmark.select(F.col("item_id").cast("string").alias("item_id"), "text").filter("text is not null")
@@ -173,6 +174,8 @@ def search(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW_WORDS, bl
         rows = numbered.filter(F.col("_block") == block).drop("_block").collect()
         items = [(row["item_id"], row["text"].encode()) for row in rows]
         docs = _search_block(docs, items, window, block == 0)
+        if block < count - 1:  # else one stage would hold the tables of all blocks
+            docs = written(docs, "searched")
     return docs
 
 
@@ -198,7 +201,7 @@ def clean(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
         F.zip_with(f"{FOUND}.ends", f"{FOUND}.starts", lambda e, s: e - s), F.lit(0).cast("long"), lambda a, x: a + x
     )
     bad = (n_hit > 0) & (n_hit * MIN_SHARE >= F.col(f"{FOUND}.n_words"))
-    return search(docs, benchmark).filter(~bad).select(*docs.columns)
+    return opened(search(sealed(docs), benchmark).filter(~bad), docs)
 
 
 def items_digest(names: list[str]) -> str:

@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..session import written
-from .common import arrow_map, texts_of
+from .common import arrow_map, opened, sealed, texts_of
 
 WINDOW_LINES = 3
 _KEY = "_text_key"
@@ -132,7 +132,8 @@ def dedup_lines(docs: DataFrame, size: int = WINDOW_LINES) -> DataFrame:
 
     No row goes: a text may become empty. Null texts stay null, texts of fewer lines than a window stay.
     """
-    return _rewritten(_marked(docs, size), docs.schema.fields, False, size)
+    plain = sealed(docs)
+    return opened(_rewritten(_marked(plain, size), plain.schema.fields, False, size), docs)
 
 
 def line_report(docs: DataFrame, size: int = WINDOW_LINES) -> DataFrame:

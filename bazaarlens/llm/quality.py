@@ -30,7 +30,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..session import lookup_join, written
-from .common import LOWER, arrow_map, free_name, texts_of, words_of
+from .common import LOWER, arrow_map, opened, sealed, texts_of, words_of
 
 MIN_WORDS = 50
 MAX_REPEAT_PERCENT = 50
@@ -348,17 +348,15 @@ _KEPT_REFERENCES = 1000
 
 
 def _map(docs: DataFrame, schema, make) -> DataFrame:
-    """``make(batch, measures)`` for each batch of documents joined to the reference of their language."""
-    key, packed = free_name(docs, "key"), free_name(docs, "reference")
-    known = references(docs).select(F.col("key").alias(key), F.col("reference").alias(packed))
-    joined = lookup_join(docs.withColumn(key, _language()), known, [key], "left").drop(key)
+    """``make(batch, measures)`` for each batch of documents (``text``, ``lang``, no unknown names) joined to their language's reference."""
+    joined = lookup_join(docs.withColumn("key", _language()), references(docs), ["key"], "left").drop("key")
     own = docs.columns
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         unpacked: dict[bytes | None, Reference | None] = {None: None}
         for batch in batches:
             found = []
-            for data, text in zip(batch.column(batch.schema.get_field_index(packed)).to_pylist(), texts_of(batch), strict=True):
+            for data, text in zip(batch.column(batch.schema.get_field_index("reference")).to_pylist(), texts_of(batch), strict=True):
                 if data not in unpacked:
                     if len(unpacked) > _KEPT_REFERENCES:
                         unpacked = {None: None}
@@ -366,7 +364,7 @@ def _map(docs: DataFrame, schema, make) -> DataFrame:
                 found.append(measure(text, unpacked[data]))
             yield make(batch.select(own), found)
 
-    return arrow_map(joined.select(*[F.col(f"`{c}`") for c in own], packed), run, schema)
+    return arrow_map(joined, run, schema)
 
 
 SCHEMA = T.StructType(
@@ -404,4 +402,5 @@ def keep_good(docs: DataFrame) -> DataFrame:
     def make(batch: pa.RecordBatch, found: list[Measures]) -> pa.RecordBatch:
         return batch.filter(pa.array([m.kept for m in found], pa.bool_()))
 
-    return _map(docs, docs.schema, make)
+    plain = sealed(docs).withColumn("lang", F.col("_row.lang"))
+    return opened(_map(plain, plain.schema, make), docs)

@@ -1,0 +1,199 @@
+"""Merkle proofs, whitening and removal of repeated strings against brute force."""
+
+from __future__ import annotations
+
+import hashlib
+import random
+import zlib
+from collections import Counter
+
+import corpus
+import numpy as np
+import pytest
+from bazaarlens.llm import merkle, suffix_dedup, whitening
+
+
+def digest(*parts):
+    return hashlib.sha256("".join(parts).encode()).hexdigest()
+
+
+def brute_leaf(row, more=0):
+    shown = dict(row, n_chars=None if row["n_chars"] is None else row["n_chars"] + more)
+    values = [None if shown[f] is None else str(shown[f]) for f in merkle.FIELDS]
+    return digest(*["-" if v is None else f"{len(v.encode())}:{v}" for v in values])
+
+
+def levels_of(nodes):
+    out = [nodes]
+    while len(out[-1]) > 1:
+        out.append([digest(*out[-1][i : i + 2]) for i in range(0, len(out[-1]), 2)])
+    return out
+
+
+def path_of(levels, i):
+    out = []
+    for level in levels[:-1]:
+        out.append((level[i ^ 1] if i ^ 1 < len(level) else None, i & 1))
+        i >>= 1
+    return out
+
+
+def brute_manifest(rows):
+    by_lang = {}
+    for row in rows:
+        by_lang.setdefault(row["lang"], []).append(row)
+    langs = sorted(by_lang, key=lambda lang: (lang is not None, (lang or "").encode()))
+    trees = {}
+    for lang in langs:
+        by_lang[lang].sort(key=lambda r: (r["doc_id"] is not None, r["doc_id"] or 0, brute_leaf(r)))
+        trees[lang] = levels_of([brute_leaf(r) for r in by_lang[lang]])
+    top = levels_of([trees[lang][-1][0] for lang in langs])
+    out = []
+    for k, lang in enumerate(langs):
+        for i, row in enumerate(by_lang[lang]):
+            path = path_of(trees[lang], i) + path_of(top, k)
+            tampered = row["doc_id"] is not None and zlib.crc32(str(row["doc_id"]).encode()) % 7 == 0
+            at = brute_leaf(row, int(tampered))
+            for sibling, right in path:
+                at = digest(sibling, at) if right else digest(at, sibling or "")
+            root = top[-1][0]
+            proof = digest(*[s for s, _ in path if s])
+            out.append((row["doc_id"], brute_leaf(row), trees[lang][-1][0], root, proof, at, at == root))
+    return out
+
+
+MANIFEST = "doc_id long, source string, lang string, n_chars long, text string, tree long, level int, idx long, n long, segment string"
+
+
+def manifest_rows(count):
+    chosen = random.Random(count)
+    rows = []
+    for i in range(count):
+        lang = chosen.choice(["en"] * 6 + ["de", "de", "", None, "é"]) if count > 3 else "en"
+        text = chosen.choice(["", None, "short", "é" * 9, "long " * 400])
+        rows.append((i if i % 13 else None, chosen.choice(["a", None]), lang, chosen.choice([None, i]), text, 1, 1, 1, 1, "x"))
+    return rows + rows[1:3]
+
+
+@pytest.mark.parametrize("count", [0, 1, 3, 120, 1500])
+def test_manifest_against_brute_force(spark, count):
+    rows = manifest_rows(count) if count else []
+    docs = spark.createDataFrame(rows, MANIFEST)
+    want = brute_manifest([r.asDict() for r in docs.collect()])
+    got = [tuple(r) for r in merkle.manifest_report(docs).collect()]
+    assert Counter(got) == Counter(want)
+
+
+def test_manifest_of_a_language_per_row(spark):
+    docs = spark.createDataFrame([(i, "s", f"l{i:03}", 1, "t") for i in range(70)], MANIFEST.split(", tree")[0])
+    want = brute_manifest([r.asDict() for r in docs.collect()])
+    assert Counter(tuple(r) for r in merkle.manifest_report(docs).collect()) == Counter(want)
+
+
+def whitened(spark, vectors, **how):
+    frame = spark.createDataFrame([(i, v, 7) for i, v in enumerate(vectors)], "vec_id long, embedding array<float>, n int")
+    return whitening.whiten(frame.repartition(3), **how).collect()
+
+
+@pytest.mark.parametrize("rows,width,block", [(300, 6, 16), (90, 40, 1024), (2100, 3, 4)])
+def test_whitening_against_numpy(spark, rows, width, block):
+    generator = np.random.default_rng(rows)
+    vectors = generator.normal(size=(rows, width)) @ generator.normal(size=(width, width)) + 3
+    vectors[5] = vectors[6]
+    broken = [None, [], [1.0] * (width - 1), [float("nan")] * width, [float("inf")] * width, [None] * width]
+    got = whitened(spark, [*vectors.tolist(), *broken], block_rows=block)
+    assert len(got) == rows * min(32, width)
+    x = np.floor(64 * vectors.astype(np.float32).astype(float)) + 1_000_000
+    centred = x - x.mean(0)
+    values, directions = np.linalg.eigh(centred.T @ centred / rows)
+    order = np.argsort(-values)[:32]
+    want = centred @ directions[:, order] / np.sqrt(values[order])
+    found = np.zeros_like(want)
+    for r in got:
+        found[r["vec_id"], r["component"] - 1] = r["whitened"]
+        assert abs(r["explained"] - values[order][r["component"] - 1] / values.sum()) < 1e-9
+        assert r["identity_error"] < 1e-8 and r["n"] == rows
+        exact = sum((rows * int(a) - int(s)) ** 2 for a, s in zip(x[r["vec_id"]], x.sum(0), strict=True)) if r["component"] == 1 else r["deviation"]
+        assert r["deviation"] == exact
+    assert np.abs(want * np.sign((want * found).sum(0)) - found).max() < 1e-6
+
+
+def test_whitening_without_spread(spark):
+    assert whitened(spark, [None, [float("nan")]]) == []
+    got = whitened(spark, [[1.0, 2.0]] * 4)
+    assert len(got) == 8 and all(r["whitened"] == 0 and r["explained"] == 0 and r["deviation"] == 0 for r in got)
+    got = whitened(spark, [[1.0, 2.0], [2.0, 2.0], [3.0, 2.0]])
+    assert {r["component"]: r["explained"] for r in got} == {1: 1.0, 2: 0.0}
+    assert got[0]["identity_error"] < 1e-12
+
+
+def brute_repeats(rows):
+    data = [(i, (t or "").encode()) for i, t in rows]
+    size = suffix_dedup.LENGTH
+    counts = Counter(t[k : k + size] for _, t in data for k in range(len(t) - size + 1))
+    out = []
+    for i, text in data:
+        gone = bytearray(len(text))
+        for k in range(len(text) - size + 1):
+            if counts[text[k : k + size]] > 1:
+                gone[k : k + size] = b"\1" * size
+        kept = bytes(b for b, g in zip(text, gone, strict=True) if not g)
+        runs = sum(1 for k, g in enumerate(gone) if g and (not k or not gone[k - 1]))
+        out.append((i, len(text), sum(gone), runs, hashlib.sha256(kept).hexdigest()))
+    return out
+
+
+def repeat_rows():
+    chosen = random.Random(6)
+
+    def words(n):
+        return " ".join(chosen.choice(["alpha", "beta", "é", "river"]) + str(chosen.randrange(30)) for _ in range(n))
+
+    shared = [words(40) for _ in range(8)]
+    rows = []
+    for i in range(120):
+        parts = [words(chosen.randrange(1, 30)) if chosen.random() < 0.5 else chosen.choice(shared)[chosen.randrange(30) : chosen.randrange(150, 330)] for _ in range(6)]
+        rows.append((i, "\n".join(parts)))
+    for i in range(25):
+        text = list(rows[i][1])
+        for _ in range(3):
+            text[chosen.randrange(len(text))] = "#"
+        rows.append((1000 + i, "".join(text)))
+    rows += [(2000, "a" * 3000), (2001, "ab" * 700), (2002, None), (2003, ""), (2004, "x" * 199), (2005, "x" * 200)]
+    rows += [(2006, "y" * 200), (2007, "y" * 200), (None, rows[3][1]), (None, rows[3][1]), (2008, "ab" * 700 + "q")]
+    # A passage of just under and just over a string's length in many contexts: one group of open phrases.
+    rows += [(3000 + i, words(9) + shared[0][: 195 + i % 9] + words(9)) for i in range(60)]
+    return [*rows, (4000, words(12000) + "z" * 250 + words(10))]
+
+
+@pytest.mark.parametrize("group", [suffix_dedup.GROUP, 5])
+def test_repeats_against_brute_force(spark, group):
+    rows = repeat_rows()
+    docs = spark.createDataFrame([(*r, "x", 1) for r in rows], "doc_id long, text string, key string, start long").repartition(5)
+    got = suffix_dedup.cut_repeats(docs, group).collect()
+    have = Counter(
+        (r["doc_id"], r["n_bytes"], sum(s["stop"] - s["start"] for s in r["spans"]), len(r["spans"]), hashlib.sha256(r["kept"]).hexdigest()) for r in got
+    )
+    assert have == Counter(brute_repeats(rows))
+
+
+def test_repeats_of_awkward_rows(spark):
+    docs = corpus.documents(spark)
+    rows = [r[:2] for r in corpus.awkward_rows()]
+    assert Counter(tuple(r) for r in suffix_dedup.repeat_report(docs).collect()) == Counter(brute_repeats(rows))
+    assert suffix_dedup.repeat_report(docs.limit(0)).count() == 0
+
+
+def test_neighbours_do_not_depend_on_ranges(spark):
+    rows = repeat_rows()
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    want = Counter(brute_repeats(rows))
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    try:
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+        for parts in ("1", "300"):
+            spark.conf.set("spark.sql.shuffle.partitions", parts)
+            assert Counter(tuple(r) for r in suffix_dedup.repeat_report(docs).collect()) == want
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")

@@ -17,7 +17,7 @@ def test_query(spark, duck, name):
     assert compare(spark, duck, SF, name) == ""
 
 
-@pytest.mark.parametrize("name", sorted(n for n in QUERIES if n not in ("op3_html_extraction", "op4_chat_formatting")))
+@pytest.mark.parametrize("name", sorted(n for n in QUERIES if n not in ("op3_html_extraction", "op4_chat_formatting", "op12_embedding_whitening")))
 def test_one_row_per_document(spark, duck, name):
     rows = QUERIES[name][0](spark, SF).select("doc_id").collect()
     ids = duck.execute("select doc_id from documents").fetchall()
