@@ -8,10 +8,15 @@ pieces of a corpus repeat, so a task looks them up and encodes only new ones.
 from __future__ import annotations
 
 import re
-from collections.abc import Callable, Hashable, Iterable
+from array import array
+from collections.abc import Callable, Hashable, Iterable, Iterator
+
+import numpy as np
 
 _SEPARATORS = re.compile("[\x1c-\x1f]")  # white space for Python, but not for the tokenizer
 _RUNS = re.compile(r"\s*\S+|\s+")
+
+
 def keys_of(text: str) -> list[Hashable]:
     """Keys of the pieces: a string stands for itself after a space (or its own newline), a tuple for itself."""
     words = text.split()
@@ -62,3 +67,75 @@ class PieceCache:
         young.update(zip(missing, self.encode([piece_of(k) for k in missing]), strict=True))
         get = young.__getitem__
         return [join(map(get, own)) for own in keys]
+
+
+class _Numbers(dict):
+    """Numbers of keys in the order of their first look-up."""
+
+    def __init__(self):
+        super().__init__()
+        self.new: list[Hashable] = []
+
+    def __missing__(self, key: Hashable) -> int:
+        number = self[key] = len(self)
+        self.new.append(key)
+        return number
+
+
+# Pieces whose ids are put together at once.
+_GATHERED = 1 << 20
+
+
+class PieceTable:
+    """From pieces to ids in one flat array: a text is looked up once and its ids are gathered as arrays.
+
+    ``encode`` gives the ids of new pieces, and where each piece's begin and how many they are. Beyond ``size``
+    pieces the table starts anew.
+    """
+
+    def __init__(self, encode: Callable[[list[str]], tuple[np.ndarray, np.ndarray, np.ndarray]], size: int):
+        self.encode, self.size = encode, size
+        self._clear()
+
+    def _clear(self) -> None:
+        self.numbers = _Numbers()
+        self.starts, self.lengths = np.zeros(0, np.int64), np.zeros(0, np.int32)
+        self.flat, self.used = np.zeros(0, np.uint16), 0
+
+    def _add(self) -> None:
+        new, self.numbers.new = self.numbers.new, []
+        ids, starts, lengths = self.encode([piece_of(k) for k in new])
+        if self.used + len(ids) > len(self.flat):
+            grown = np.zeros(max(2 * len(self.flat), self.used + len(ids)), ids.dtype)
+            grown[: self.used] = self.flat[: self.used]
+            self.flat = grown
+        self.flat[self.used : self.used + len(ids)] = ids
+        self.starts = np.concatenate([self.starts, starts + self.used])
+        self.lengths = np.concatenate([self.lengths, lengths.astype(np.int32)])
+        self.used += len(ids)
+
+    def _gathered(self, numbers: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+        for at in range(0, len(numbers), _GATHERED):
+            own = numbers[at : at + _GATHERED]
+            lengths = self.lengths[own]
+            ends = np.cumsum(lengths, dtype=np.int64)
+            shift = np.repeat(self.starts[own] - (ends - lengths), lengths)
+            yield self.flat[shift + np.arange(len(shift))], lengths
+
+    def of_texts(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of all texts in a row, and how many each text has."""
+        if len(self.numbers) > self.size:
+            self._clear()
+        get, found, counts = self.numbers.__getitem__, array("i"), []
+        for text in texts:
+            before = len(found)
+            found.extend(map(get, keys_of(text)))
+            counts.append(len(found) - before)
+        if self.numbers.new:
+            self._add()
+        parts = list(self._gathered(np.frombuffer(found, np.int32)))
+        if not parts:
+            return self.flat[:0], np.zeros(len(texts), np.int64)
+        ends = np.concatenate([[0], np.cumsum(np.concatenate([p[1] for p in parts]), dtype=np.int64)])
+        places = np.concatenate([[0], np.cumsum(counts)])
+        return np.concatenate([p[0] for p in parts]), np.diff(ends[places])

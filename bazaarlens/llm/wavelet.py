@@ -29,7 +29,7 @@ from tokenizers import Tokenizer
 
 from ..session import shared_dir, written
 from .common import arrow_map
-from .pieces import PieceCache
+from .pieces import PieceTable
 
 VOCABULARY = "byte_bpe_50k.json"
 END_ID = 2
@@ -40,7 +40,7 @@ _HEAD = struct.Struct("<4s5Q")
 # Pieces that a worker keeps, so that its memory stays bounded.
 CACHED_PIECES = 900_000
 # Pieces encoded as one text: the library's cost per call is shared by them.
-_JOINED_PIECES = 2000
+_JOINED_PIECES = 50_000
 _BLOCK_BITS = 4096  # bits between two stored counts
 _ONES = np.array([bin(b).count("1") for b in range(256)], dtype=np.uint8)
 
@@ -196,29 +196,39 @@ class _Encoder:
         self.sizes = np.zeros(max(vocabulary_ids.values()) + 1, dtype=np.int64)
         for token, i in vocabulary_ids.items():
             self.sizes[i] = len(token.encode()) if token in special else len(token)
-        self.cache = PieceCache(self._encode, CACHED_PIECES)
+        # Only new pieces reach the library, so its own cache of words would never be hit.
+        self.tokenizer.model._resize_cache(0)
+        self.table = PieceTable(self._encode, CACHED_PIECES)
 
-    def _encode(self, pieces: list[str]) -> list[bytes]:
-        """Pieces that begin with white space and end without it are encoded as one text, and cut again by bytes."""
+    def _encode(self, pieces: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Pieces that begin with white space and end without it are encoded as one text, and cut again by bytes.
+
+        Returns all ids, and per piece where its ids begin and how many they are.
+        """
         joined = [i for i, p in enumerate(pieces) if p[:1] in (" ", "\n") and not p[-1].isspace()]
-        found: list[bytes] = [b""] * len(pieces)
+        starts, lengths = np.zeros(len(pieces), np.int64), np.zeros(len(pieces), np.int64)
+        parts, size = [np.zeros(0, self.kind)], 0
         for at in range(0, len(joined), _JOINED_PIECES):
             own = joined[at : at + _JOINED_PIECES]
-            ends = np.cumsum([len(pieces[i].encode()) for i in own])
-            text = "".join([pieces[i] for i in own])
-            ids = np.array(self.tokenizer.encode_batch_fast([text], add_special_tokens=False)[0].ids, dtype=self.kind)
-            cuts = np.searchsorted(np.cumsum(self.sizes[ids]), ends, side="right").tolist()
-            data, width = ids.tobytes(), ids.itemsize
-            for i, a, b in zip(own, [0, *cuts], cuts, strict=False):
-                found[i] = data[a * width : b * width]
+            texts = [pieces[i] for i in own]
+            ends = np.cumsum([len(t) if t.isascii() else len(t.encode()) for t in texts])
+            ids = np.array(self.tokenizer.encode_batch_fast(["".join(texts)], add_special_tokens=False)[0].ids, dtype=self.kind)
+            cuts = np.concatenate([[0], np.searchsorted(np.cumsum(self.sizes[ids]), ends, side="right")])
+            starts[own], lengths[own] = cuts[:-1] + size, np.diff(cuts)
+            parts.append(ids)
+            size += len(ids)
         alone = sorted(set(range(len(pieces))).difference(joined))
         encoded = self.tokenizer.encode_batch_fast([pieces[i] for i in alone], add_special_tokens=False)
         for i, one in zip(alone, encoded, strict=True):
-            found[i] = np.array(one.ids, dtype=self.kind).tobytes()
-        return found
+            ids = np.array(one.ids, dtype=self.kind)
+            starts[i], lengths[i] = size, len(ids)
+            parts.append(ids)
+            size += len(ids)
+        return np.concatenate(parts), starts, lengths
 
-    def of_texts(self, texts: list[str]) -> list[bytes]:
-        return self.cache.of_texts(texts, b"".join)
+    def of_texts(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """All ids in a row and how many each text has; a text's pieces have as many ids as the text."""
+        return self.table.of_texts(texts)
 
 
 _ENCODERS: dict[str, _Encoder] = {}
@@ -250,21 +260,20 @@ def write_shards(
 
         made = _encoder(vocabulary)
         levels = max(made.levels, end_id.bit_length())
-        end = np.array([end_id], dtype=made.kind).tobytes()
-        width = len(end)
         names: list[int | None] = []
-        held: list[bytes] = []
+        held: list[np.ndarray] = []
+        held_sizes: list[np.ndarray] = []
         size, start, shard = 0, 0, 0
 
         def closed() -> pa.RecordBatch:
             nonlocal size, start, shard
-            ids = np.frombuffer(b"".join(held), dtype=made.kind)
-            ends = np.cumsum([len(h) // width for h in held])
+            ids = np.concatenate(held)
+            ends = np.cumsum(np.concatenate(held_sizes))
             row = [[TaskContext.get().partitionId()], [shard], [len(ids)], [list(names)], [build(ids, ends, start, levels)]]
             kinds = [pa.int32(), pa.int32(), pa.int64(), pa.list_(pa.int64()), pa.binary()]
             shard, start, size = shard + 1, start + len(ids), 0
-            names.clear()
-            held.clear()
+            for part in (names, held, held_sizes):
+                part.clear()
             return pa.RecordBatch.from_arrays(
                 [pa.array(v, k) for v, k in zip(row, kinds, strict=True)],
                 names=["partition", "shard", "n_ids", "doc_ids", "file"],
@@ -272,13 +281,22 @@ def write_shards(
 
         for batch in batches:
             names_here = batch.column(0).to_pylist()
-            for name, ids in zip(names_here, made.of_texts(batch.column(1).to_pylist()), strict=True):
-                names.append(name)
-                held.append(ids + end)
-                size += len(ids) // width + 1
+            ids, sizes = made.of_texts(batch.column(1).to_pylist())
+            ids = np.insert(ids, np.cumsum(sizes), end_id)
+            sizes = sizes + 1
+            ends = np.concatenate([[0], np.cumsum(sizes)])
+            at = 0
+            while at < len(sizes):
+                # Up to and with the document that fills the shard.
+                stop = min(len(sizes), int(np.searchsorted(ends, ends[at] + shard_ids - size, side="left")))
+                names += names_here[at:stop]
+                held.append(ids[ends[at] : ends[stop]])
+                held_sizes.append(sizes[at:stop])
+                size += int(ends[stop] - ends[at])
+                at = stop
                 if size >= shard_ids:
                     yield closed()
-        if held:
+        if names:
             yield closed()
 
     arrow_map(ordered, run, _FILES).write.parquet(folder)
