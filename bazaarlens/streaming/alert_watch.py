@@ -1,27 +1,27 @@
 """Alert states over a stream of samples: inactive, pending, firing, resolved.
 
-Every micro-batch is evaluated with the batch transforms. What must outlive it is a small table:
-the runs that are still open, the samples later instants look back to, and the last instant
-evaluated. A batch reads the table its predecessor wrote and writes its own, in two slots that
-alternate, so a batch that is replayed finds the same start again.
+Samples are grouped by their labels; the engine keeps each label set's state and brings it forward by timers in
+event time (``alert_states``). Replays and restarts are the engine's: a batch that is repeated starts from the
+state it started from before.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from dataclasses import asdict
+
+from pyspark.cloudpickle import register_pickle_by_value
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from ..operators import alerts, metrics
 from ..sinks.files import write_batch
-from .jobs import start
-
-CLOCK = "batch_id bigint, horizon bigint"
-
+from . import alert_states
+from .jobs import TRIGGER, start
 
-def _slot(state: str, batch_id: int, part: str) -> str:
-    return f"{state.rstrip('/')}/slot={batch_id % 2}/{part}"
+_PROVIDER = "spark.sql.streaming.stateStore.providerClass"
+_ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 
 
 def run_events(runs: DataFrame, keys: list[str], after: int, until: int) -> DataFrame:
@@ -50,70 +50,38 @@ def watch(
     stream: DataFrame,
     rules: list[alerts.Rule],
     out: str,
-    state: str,
     checkpoint: str,
     labels: list[str] = alerts.LABELS,
     step: int = metrics.EVALUATION_STEP,
     lookback: int = metrics.LOOKBACK,
     once: bool = False,
     lateness: int = 0,
+    every: str = TRIGGER,
 ) -> StreamingQuery:
     """Write the state changes of every alert below ``out``: alert columns, labels, state, at.
 
-    ``stream`` has metric, the labels, ts_us and value. A batch is evaluated up to ``lateness`` seconds
-    before the newest sample so far: samples that come out of order by no more than that count as if they
-    had come in order, and one that comes later still counts from the last evaluated instant on.
+    ``stream`` has metric, the labels, ts_us and value. Instants are evaluated once the watermark, ``lateness``
+    seconds behind the newest sample, has passed them: samples that come out of order by no more than that
+    count as if they had come in order, later ones are dropped.
     """
-    keys = [*alerts.ALERT, *labels]
-    keep_us = max([lookback, *[r.window for r in rules if r.window]]) * metrics.SECOND
-    columns = ["metric", *labels, "ts_us", "value"]
-
-    def handle(batch: DataFrame, batch_id: int) -> None:
-        spark: SparkSession = batch.sparkSession
-        batch = batch.select(*columns).persist()
-        horizon, known = -1, batch
-        if batch_id > 0:
-            clock = spark.read.schema(CLOCK).parquet(_slot(state, batch_id - 1, "clock")).first()
-            if clock is None or clock["batch_id"] != batch_id - 1:
-                raise ValueError(f"no alert state of batch {batch_id - 1} in {state}")
-            horizon = clock["horizon"]
-            recent = spark.read.schema(batch.schema).parquet(_slot(state, batch_id - 1, "recent"))
-            known = batch.unionByName(recent)
-        newest = batch.agg(F.max("ts_us")).first()[0]
-        until = horizon if newest is None else max(horizon, (newest - lateness * metrics.SECOND) // (step * metrics.SECOND))
-
-        spans = alerts.evaluate(known, rules, labels, step, lookback)
-        spans = spans.withColumn("from_at", F.greatest("from_at", F.lit(horizon + 1)))
-        spans = spans.withColumn("to_at", F.least("to_at", F.lit(until))).filter("from_at <= to_at")
-        found = alerts.runs(spans, keys).drop("continues")
-        if batch_id > 0:
-            still_open = spark.read.schema(found.schema).parquet(_slot(state, batch_id - 1, "open"))
-            # A run that starts right after the last horizon goes on where the open one stopped.
-            first = F.when(F.col("start_at") > horizon + 1, F.col("start_at")).otherwise(F.lit(-1))
-            found = (
-                found.unionByName(still_open)
-                .groupBy(*keys, first.alias("first"))
-                .agg(
-                    F.min("start_at").alias("start_at"),
-                    F.max_by("value", "end_at").alias("value"),
-                    F.max("end_at").alias("end_at"),
-                )
-                .select(*found.columns)
-            )
-        found = found.persist()
-        try:
-            timed = alerts.with_state(found, step)
-            write_batch(run_events(timed, keys, horizon, until), out, batch_id)
-            found.filter(F.col("end_at") == until).write.mode("overwrite").parquet(_slot(state, batch_id, "open"))
-            oldest = until * step * metrics.SECOND - keep_us
-            known.filter(F.col("ts_us") >= oldest).write.mode("overwrite").parquet(_slot(state, batch_id, "recent"))
-            clock = spark.createDataFrame([(batch_id, until)], CLOCK)
-            clock.write.mode("overwrite").parquet(_slot(state, batch_id, "clock"))
-        finally:
-            found.unpersist()
-            batch.unpersist()
-
-    return start(stream, handle, checkpoint, once)
+    register_pickle_by_value(alert_states)
+    schema = event_schema(labels)
+    # A millisecond more: a sample of the newest sample's time is not late.
+    samples = stream.select(
+        "metric", *labels, "ts_us", "value", F.col("value").isNotNull().alias("present"), F.timestamp_micros("ts_us").alias("event_time")
+    ).withWatermark("event_time", f"{lateness * 1000 + 1} milliseconds")
+    processor = alert_states.AlertStates([asdict(r) for r in rules], labels, step, lookback, schema.names)
+    changed = samples.groupBy(*labels).transformWithStateInPandas(processor, schema, "update", "eventTime")
+    session = stream.sparkSession
+    before = session.conf.get(_PROVIDER, None)
+    session.conf.set(_PROVIDER, _ROCKSDB)  # keyed state with timers needs it; a query keeps what it starts with
+    try:
+        return start(changed, lambda batch, batch_id: write_batch(batch, out, batch_id), checkpoint, once, every)
+    finally:
+        if before is None:
+            session.conf.unset(_PROVIDER)
+        else:
+            session.conf.set(_PROVIDER, before)
 
 
 def event_schema(labels: list[str] = alerts.LABELS) -> T.StructType:

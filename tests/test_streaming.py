@@ -152,10 +152,10 @@ def test_alert_events_equal_the_batch_ones(spark, tmp_path, seed, files_count):
                 rows.append(("n", instance, at, float(count if instance == "a" else count % 40)))
     rows.sort(key=lambda r: r[2])
     cuts = sorted(rng.sample(range(1, len(rows)), files_count - 1))
-    topic, out, state, check = (str(tmp_path / n) for n in ("topic", "out", "state", "check"))
+    topic, out, check = (str(tmp_path / n) for n in ("topic", "out", "check"))
 
     def step():
-        alert_watch.watch(source(spark, topic, SCHEMA), RULES, out, state, check, LABELS, once=True).awaitTermination()
+        alert_watch.watch(source(spark, topic, SCHEMA), RULES, out, check, LABELS, once=True).awaitTermination()
 
     for i, (low, high) in enumerate(zip([0, *cuts], [*cuts, len(rows)])):
         feed(spark, topic, rows[low:high], SCHEMA)
@@ -201,7 +201,7 @@ def test_late_samples_count_as_if_in_order(spark, tmp_path):
         spark.createDataFrame(part, schema).coalesce(1).write.mode("append").parquet(folder)
     stream = stream_files(spark, folder, spark.createDataFrame(rows, schema).schema, per_trigger=1)
     work = str(tmp_path)
-    alert_watch.watch(stream, [rule], f"{work}/out", f"{work}/state", f"{work}/c", once=True, lateness=late).awaitTermination()
+    alert_watch.watch(stream, [rule], f"{work}/out", f"{work}/c", once=True, lateness=late).awaitTermination()
     found = jobs.read_batches(spark, f"{work}/out", alert_watch.event_schema())
     until = (max(r[5] for r in rows) - late * 1_000_000) // 30_000_000
     runs = alerts.alert_runs(alerts.evaluate(spark.createDataFrame(rows, schema), [rule]))
