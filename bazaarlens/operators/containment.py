@@ -14,25 +14,80 @@ MAX_INLINE_BYTES = 1024 * 1024
 
 def inline(needles: DataFrame) -> bool:
     return is_small(needles, MAX_INLINE_NEEDLES, MAX_INLINE_BYTES)
+# Needles of so few lengths are found by cutting the texts at each length; those of more by an index.
+FEW_LENGTHS = 16
+# Lengths of the index' pieces: a needle is looked up by its rarest piece of the greatest length it has.
+# Needles shorter than the least have no piece and are looked up whole.
+GRAMS = (8, 3)
 
 
-def pieces(texts: DataFrame, lengths: Column) -> DataFrame:
+def pieces(texts: DataFrame, lengths: list[int]) -> DataFrame:
     """(folded_text, folded_needle): the substrings of each text that have one of the given lengths.
 
     A row holds at most the start positions of one length, never the substrings themselves.
     """
-    sized = texts.select("folded_text", F.explode(lengths).alias("_n")).filter(F.col("_n") <= F.length("folded_text"))
+    listed = F.array(*[F.lit(n) for n in lengths]).cast("array<int>")
+    sized = texts.select("folded_text", F.explode(listed).alias("_n")).filter(F.col("_n") <= F.length("folded_text"))
     last = F.when(F.col("_n") == 0, F.lit(1)).otherwise(F.length("folded_text") - F.col("_n") + 1)
     placed = sized.select("folded_text", "_n", F.explode(F.sequence(F.lit(1), last)).alias("_i"))
     return placed.select("folded_text", F.substring("folded_text", F.col("_i"), F.col("_n")).alias("folded_needle"))
 
 
-def containing_pairs(texts: DataFrame, needles: DataFrame) -> DataFrame:
+def _grams(text: str, size: int) -> Column:
+    """The distinct pieces of ``size`` characters of a column."""
+    starts = F.sequence(F.lit(1), F.length(text) - (size - 1))
+    cut = F.array_distinct(F.transform(starts, lambda i: F.substring(F.col(text), i, F.lit(size))))
+    return F.when(F.length(text) >= size, cut).otherwise(F.array().cast("array<string>"))
+
+
+def posted(texts: DataFrame, size: int) -> DataFrame:
+    """The index: (folded_text, gram) for every distinct piece of every text."""
+    return texts.select("folded_text", F.explode(_grams("folded_text", size)).alias("gram"))
+
+
+def rarest_grams(needles: DataFrame, index: DataFrame, size: int) -> DataFrame:
+    """(folded_needle, gram): of each needle's pieces the one that fewest texts have.
+
+    A needle with a piece that no text has is in no text, and is left out.
+    """
+    frequency = index.groupBy("gram").agg(F.count("*").alias("texts"))
+    asked = needles.select("folded_needle", F.explode(_grams("folded_needle", size)).alias("gram"))
+    texts = F.coalesce("texts", F.lit(0).cast("long"))
+    least = F.min(F.struct(texts.alias("texts"), "gram")).alias("least")
+    return asked.join(frequency, "gram", "left").groupBy("folded_needle").agg(least).filter("least.texts > 0").select(
+        "folded_needle", "least.gram"
+    )
+
+
+def _short_pieces(texts: DataFrame) -> DataFrame:
+    """(folded_text, folded_needle): the distinct substrings of each text that are shorter than a piece of the index."""
+    parts = [F.array(F.lit("")), *[_grams("folded_text", size) for size in range(1, GRAMS[-1])]]
+    return texts.select("folded_text", F.explode(F.array_distinct(F.concat(*parts))).alias("folded_needle"))
+
+
+def _indexed(texts: DataFrame, needles: DataFrame) -> DataFrame:
+    """The pairs by the index: texts and needles meet in the needle's rarest piece and are then compared."""
+    size = F.length("folded_needle")
+    short = needles.filter(size < GRAMS[-1])
+    found = _short_pieces(texts).join(short, "folded_needle").select("folded_text", "folded_needle")
+    for gram, above in zip(GRAMS, (None, *GRAMS), strict=False):
+        own = needles.filter((size >= gram) & (size < above if above else F.lit(True)))
+        index = posted(texts, gram)
+        met = index.join(rarest_grams(own, index, gram), "gram").filter(F.contains("folded_text", "folded_needle"))
+        found = found.unionByName(met.select("folded_text", "folded_needle"))
+    return found
+
+
+def containing_pairs(texts: DataFrame, needles: DataFrame, few_lengths: int = FEW_LENGTHS) -> DataFrame:
     """Pairs (folded_text, folded_needle) from one-column frames of those names, both distinct.
 
-    Every substring of a text whose length occurs among the needles is looked up by equality, so
-    each pair that leaves the join is a result and nothing is compared all-against-all.
+    With needles of few lengths every substring of a text of such a length is looked up by equality, so each pair
+    that leaves the join is a result. With more lengths that would cut each text too often: an index of short
+    pieces then takes as many rows as the texts have characters, and the join as many as texts have a needle's
+    rarest piece. Nothing is compared all-against-all.
     """
-    lengths = needles.agg(F.sort_array(F.collect_set(F.length("folded_needle")))).scalar()
-    found = pieces(texts, lengths).join(needles, "folded_needle")
+    lengths = needles.select(F.length("folded_needle").alias("n")).distinct().limit(few_lengths + 1).collect()
+    if len(lengths) > few_lengths:
+        return _indexed(texts, needles)
+    found = pieces(texts, sorted(r["n"] for r in lengths)).join(needles, "folded_needle")
     return found.select("folded_text", "folded_needle").distinct()

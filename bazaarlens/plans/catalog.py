@@ -214,6 +214,16 @@ def product_search_long_list(spark: SparkSession, sf_dir: str) -> DataFrame:
     return search.search_many(rows, _name_terms(spark, sf_dir), inline=False)
 
 
+def product_search_any_length(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Terms of many lengths, cut from the products' names and types: found by the index of pieces."""
+    part = views.table(spark, sf_dir, "part")
+    name = F.concat("p_name", F.lit(" "), F.lower("p_type"))
+    cut = F.substring(name, (F.col("p_partkey") % 7 + 1).cast("int"), (F.col("p_partkey") % 23).cast("int"))
+    terms = part.select(F.upper(cut).alias("term")).distinct()
+    rows = part.select(F.col("p_partkey").cast("string").alias("product_id"), name.alias("name"))
+    return search.search_many(rows, terms, inline=False)
+
+
 def search_result_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = views.products(spark, sf_dir).select("product_id", "name")
     return search.result_counts(rows, _name_terms(spark, sf_dir))
@@ -351,6 +361,15 @@ from part where contains(lower(p_name), 'ring')
     ),
     "product_search_many": (product_search_many, with_cte(WORDS, body=SEARCH_MANY)),
     "product_search_long_list": (product_search_long_list, with_cte(NAME_TERMS, body=SEARCH_MANY)),
+    "product_search_any_length": (
+        product_search_any_length,
+        """
+with named as (select p_partkey, p_name || ' ' || lower(p_type) as name from part),
+terms as (select distinct upper(substring(name, 1 + p_partkey % 7, p_partkey % 23)) as term from named)
+select cast(p_partkey as varchar) as product_id, name, t.term
+from named join terms t on contains(lower(name), lower(t.term))
+""",
+    ),
     "search_result_counts": (
         search_result_counts,
         with_cte(

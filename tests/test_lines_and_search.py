@@ -165,3 +165,24 @@ def test_long_lists_are_joined_by_equality(spark, plan_of):
     plan = plan_of(search.search_many(products, terms, inline=False))
     assert "NestedLoop" not in plan and "Cartesian" not in plan
     assert containment.inline(terms.withColumnRenamed("term", "folded_needle"))
+
+
+@pytest.mark.parametrize("few", [0, 3, 100])
+def test_index_finds_what_cutting_finds(spark, few):
+    rng = random.Random(few)
+    words = ["ring", "Lampe", "стол", "a", "", "x y", "aaaaaaaaaaaaaaa", "ringring lampe"]
+    texts = sorted({" ".join(rng.choice(words) for _ in range(rng.randrange(6))) for _ in range(80)})
+    needles = sorted({t[rng.randrange(5) :][: rng.randrange(14)] for t in texts} | {"", "ringx", "no such text at all", "aaaaaaaa"})
+    left = spark.createDataFrame([(t,) for t in texts], "folded_text string")
+    right = spark.createDataFrame([(n,) for n in needles], "folded_needle string")
+    found = containment.containing_pairs(left, right, few).collect()
+    assert sorted(map(tuple, found)) == sorted((t, n) for t in texts for n in needles if n in t)
+
+
+def test_the_index_joins_no_more_than_rare_pieces(spark):
+    """Many needles share common pieces; each is met in its rarest one only."""
+    texts = spark.range(300).select(F.concat(F.lit("common words here "), F.col("id").cast("string"), F.lit("#")).alias("folded_text"))
+    needles = texts.select(F.substring("folded_text", 8, 40).alias("folded_needle"))
+    index = containment.posted(texts, 8)
+    met = index.join(containment.rarest_grams(needles, index, 8), "gram").count()
+    assert met < 300 * 12
