@@ -12,6 +12,7 @@ from ..functions import jsontext
 from ..functions.filtered_line import parse_line
 from ..functions.text import trim_space
 from ..sinks import versions
+from .json_array import read_array
 
 
 def _or_empty(spark: SparkSession, read, schema: T.StructType) -> DataFrame:
@@ -34,11 +35,12 @@ def read_catalog(spark: SparkSession, path: str, lines: bool = False) -> DataFra
 
     A missing id or name reads as empty text.
 
-    An array file is read by one task. Large catalogs should come as JSON lines (``lines``),
-    which split, or as many array files.
+    An array file is read in as many tasks as its size asks for (``json_array``); ``lines`` reads JSON lines.
     """
-    reader = spark.read.schema(schemas.PRODUCT).option("mode", "FAILFAST")
-    rows = reader.option("multiLine", not lines).json(path)
+    if lines:
+        rows = spark.read.schema(schemas.PRODUCT).option("mode", "FAILFAST").json(path)
+    else:
+        rows = read_array(spark, path, schemas.PRODUCT)
     required = {name: F.coalesce(name, F.lit("")) for name in ("product_id", "name")}
     return rows.withColumns(required)
 
