@@ -218,8 +218,8 @@ def _sketches(docs: DataFrame) -> DataFrame:
                 if base_failed(len(words), repeated_words(words)):
                     continue
                 counter = Counter(words_of(text.translate(LOWER)))
-                weights = np.array(list(counter.values())) * (_WEIGHT / len(words))
-                packed = zlib.compress(b" ".join(counter), 1), np.rint(weights).astype(np.int32).tobytes()
+                counts = np.array(list(counter.values()), np.uint32).tobytes()
+                packed = zlib.compress(b" ".join(counter), 1), zlib.compress(counts, 1)
                 classes = class_counts(text)[0]
                 shares = np.rint(classes * (_WEIGHT / classes.sum())).astype(np.int64).tolist()
                 rows.append((lang, near_key(text), xxhash.xxh3_64_intdigest(text) - (1 << 63), *packed, shares))
@@ -258,7 +258,9 @@ def _counts(sketches: DataFrame) -> DataFrame:
             for row in batch.to_pylist():
                 lang, words = row["lang"], zlib.decompress(row["words"]).split(b" ")
                 counter = held.setdefault(lang, Counter())
-                for word, weight in zip(words, np.frombuffer(row["counts"], np.int32).tolist(), strict=True):
+                counts = np.frombuffer(zlib.decompress(row["counts"]), np.uint32)
+                weights = np.rint(counts * (_WEIGHT / counts.sum())).astype(np.int64)
+                for word, weight in zip(words, weights.tolist(), strict=True):
                     counter[word] += weight
                 classes[lang] = classes.get(lang, 0) + np.array(row["classes"], np.int64)
             if sum(map(len, held.values())) > _HELD_WORDS:
