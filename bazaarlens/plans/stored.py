@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from ..functions.text import rfc3339
 from ..operators import catalog, popularity
-from ..session import shared_dir
+from ..session import shared_dir, written
 from ..sinks.files import write_allow_list
 from ..sources import files
 from . import views
@@ -26,12 +26,30 @@ def catalog_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Products stored as JSON lines and read under the explicit schema, all fields."""
     path = shared_dir(spark, "catalog")
     views.products(spark, sf_dir).write.option("ignoreNullFields", "false").json(path)
-    read = files.read_catalog(spark, path, lines=True)
+    return _all_fields(files.read_catalog(spark, path, lines=True))
+
+
+def _all_fields(read: DataFrame) -> DataFrame:
     flat = catalog.flat_products(read)
     more = ["description", "sku", "created_at", "updated_at", F.col("index").alias("search_index"), "store_id"]
     return flat.join(read.select("product_id", *more), "product_id")
 
 
+# Products of a stored array.
+ARRAY_PRODUCTS = 5000
+
+
+def catalog_arrays(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Products stored as JSON arrays, a file each, and read in splits."""
+    path = shared_dir(spark, "arrays")
+    products = views.products(spark, sf_dir)
+    text = F.to_json(F.struct(*products.columns), {"ignoreNullFields": "false"})
+    file = F.expr(f"cast(product_id as bigint) div {ARRAY_PRODUCTS}").alias("file")
+    listed = products.groupBy(file).agg(F.concat_ws(",\n", F.collect_list(text)).alias("listed"))
+    listed.select("file", F.concat(F.lit("["), "listed", F.lit("]")).alias("value")).write.partitionBy("file").text(path)
+    return _all_fields(written(files.read_catalog(spark, path), "catalog"))
+
+
 def allow_list_document(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A list document with elements of every kind: a number, null, an object and a list after the ids."""
     path = shared_dir(spark, "document")
@@ -70,18 +88,7 @@ def file_listing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return listed.select("files", "bytes", ends.select("lines").scalar().alias("lines"))
 
 
-QUERIES = {
-    "archive_popular": (
-        archive_popular,
-        with_cte(
-            views.SEARCHES,
-            views.RANKED,
-            body="select cast(rank as integer) as rank, product_name, search_count from ranked",
-        ),
-    ),
-    "catalog_files": (
-        catalog_files,
-        """
+CATALOG = """
 select cast(p_partkey as varchar) as product_id, p_name as name, p_retailprice as amount, 'RUB' as currency,
        p_type as category, p_brand as brand, p_size as available, p_size % 5 as reserved,
        replace(p_name, ' ', ',') as tags, case when p_size % 4 <> 0 then 1 end as image_count,
@@ -91,8 +98,19 @@ select cast(p_partkey as varchar) as product_id, p_name as name, p_retailprice a
        '2024-01-01T00:00:00Z' as created_at, cast(null as varchar) as updated_at, 'products' as search_index,
        'store_' || p_partkey % 7 as store_id
 from part
-""",
+"""
+
+QUERIES = {
+    "archive_popular": (
+        archive_popular,
+        with_cte(
+            views.SEARCHES,
+            views.RANKED,
+            body="select cast(rank as integer) as rank, product_name, search_count from ranked",
+        ),
     ),
+    "catalog_files": (catalog_files, CATALOG),
+    "catalog_arrays": (catalog_arrays, CATALOG),
     "allow_list_document": (
         allow_list_document,
         with_cte(
