@@ -17,7 +17,7 @@ SCHEMAS = {
     "lineitem": "l_orderkey bigint, l_partkey bigint, l_suppkey bigint, l_linenumber int, l_quantity double,"
     " l_extendedprice double, l_discount double, l_tax double, l_returnflag string, l_linestatus string,"
     " l_shipdate timestamp_ntz",
-    "supplier": "s_suppkey bigint, s_name string",
+    "supplier": "s_suppkey bigint, s_name string, s_nationkey int, s_acctbal double",
 }
 
 
