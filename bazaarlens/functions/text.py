@@ -66,5 +66,10 @@ def rfc3339(ts: Column) -> Column:
     return F.date_format(ts, "yyyy-MM-dd'T'HH:mm:ssXXX")
 
 
+def day_of(text: str) -> Column:
+    """The date that a column of texts begins with; null if that is none."""
+    return F.try_to_timestamp(F.substring(text, 1, 10), F.lit("yyyy-MM-dd")).cast("date")
+
+
 def archive_name(record_id: Column, ts: Column) -> Column:
     return F.concat(record_id, F.lit("_"), F.date_format(ts, "yyyyMMdd_HHmmss"), F.lit("_000.json"))

@@ -184,8 +184,8 @@ def evaluate(
     """Spans of instants at which a rule's condition is true: alert columns, labels, from_at,
     to_at, value.
 
-    ``samples`` has metric, the label columns, ts_us and value. A threshold on a sample holds as
-    long as the sample counts, so its instants are never written out one by one.
+    ``samples`` has metric, the label columns, ts_us and value. A threshold on a sample, or on a ratio of two,
+    holds as long as the samples count, so its instants are never written out one by one.
     """
     series = ["metric", *labels]
     single = [F.col("at").alias("from_at"), F.col("at").alias("to_at")]
@@ -197,9 +197,8 @@ def evaluate(
         parts.append(_matched(spans, [(r, (F.col("metric") == r.metric) & selects(r)) for r in plain], labels))
     for rule in (r for r in rules if r.per):
         both = samples.filter(F.col("metric").isin(rule.metric, rule.per) & selects(rule))
-        on_grid = metrics.sample_on_grid(both, series, step, lookback)
-        ratios = metrics.ratio(on_grid, rule.metric, rule.per, [*labels, "at"])
-        parts.append(_matched(ratios.select("*", *single), [(rule, F.lit(True))], labels))
+        ratios = metrics.ratio_spans(metrics.sample_spans(both, series, step, lookback), rule.metric, rule.per, labels)
+        parts.append(_matched(ratios, [(rule, F.lit(True))], labels))
     for rule in (r for r in rules if r.window):
         chosen = samples.filter((F.col("metric") == rule.metric) & selects(rule))
         rates = metrics.rate_on_grid(chosen, series, rule.window, step)

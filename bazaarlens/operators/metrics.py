@@ -233,6 +233,40 @@ def ratio(
     return pairs.select(*keys, (divide(F.col("num"), F.col("den")) * scale).alias("value"))
 
 
+def ratio_spans(
+    spans: DataFrame, numerator: str, denominator: str, keys: list[str], slice_steps: int = SLICE_STEPS
+) -> DataFrame:
+    """numerator / denominator while both have a value: rows (keys, value, from_at, to_at).
+
+    ``spans`` are those of ``sample_spans``, with ``metric``; spans of a metric do not overlap under the same
+    keys. A sweep over the starts of both metrics' spans in each time slice: the newest span of each is the
+    one that may hold at a start, so no pairs are formed and no instants written out.
+    """
+
+    def of(metric: str) -> Column:
+        return F.max(F.when(F.col("metric") == metric, F.struct("to_at", "value")))
+
+    sliced = spans.filter(F.col("metric").isin(numerator, denominator))
+    sliced = sliced.withColumn("slice", F.expr(f"from_at div {slice_steps}")).repartition(*keys, "slice")
+    starts = sliced.groupBy(*keys, "slice", "from_at").agg(of(numerator).alias("num"), of(denominator).alias("den"))
+    in_order = Window.partitionBy(*keys, "slice").orderBy("from_at")
+    upto = in_order.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    swept = starts.select(
+        *keys,
+        "from_at",
+        F.last("num", ignorenulls=True).over(upto).alias("num"),
+        F.last("den", ignorenulls=True).over(upto).alias("den"),
+        (F.lead("from_at").over(in_order) - 1).alias("before_next"),
+    )
+    held = swept.filter("num.to_at >= from_at and den.to_at >= from_at")
+    return held.select(
+        *keys,
+        divide(F.col("num.value"), F.col("den.value")).alias("value"),
+        "from_at",
+        F.least("num.to_at", "den.to_at", "before_next").alias("to_at"),
+    )
+
+
 def status_latest(samples: DataFrame, metric: str = "up") -> DataFrame:
     """The newest value of a metric per instance; below 1 is red."""
     newest = (

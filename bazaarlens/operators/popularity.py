@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from .numbering import numbered
 
@@ -12,16 +13,30 @@ TOP_N = 10
 FOLDED_N = 1000
 
 
-def term_counts(requests: DataFrame) -> DataFrame:
-    """Requests per term, letter case kept; null terms are left out, empty ones are counted."""
+def term_schema(period: str) -> T.StructType:
+    """Counts per period (a date) and term."""
+    columns = [(period, T.DateType()), ("search_term", T.StringType()), ("search_count", T.LongType())]
+    return T.StructType([T.StructField(*column) for column in columns])
+
+
+def term_counts(requests: DataFrame, *periods: str) -> DataFrame:
+    """Requests per term, letter case kept; null terms are left out, empty ones are counted.
+
+    With ``periods``, columns of ``requests``, counts are per period.
+    """
     return (
-        requests.select(F.col("product_name").alias("search_term"))
+        requests.select(*periods, F.col("product_name").alias("search_term"))
         .filter(F.col("search_term").isNotNull())
-        .groupBy("search_term")
+        .groupBy(*periods, "search_term")
         .agg(F.count("*").alias("search_count"))
     )
 
 
+def merged(counts: DataFrame, *periods: str) -> DataFrame:
+    """Partial counts of ``term_counts`` added up; counts of any batches in any order give the whole's."""
+    return counts.groupBy(*periods, "search_term").agg(F.sum("search_count").alias("search_count"))
+
+
 def ranked(counts: DataFrame, n: int | None = TOP_N) -> DataFrame:
     """The n most frequent terms with their rank, all without n; equal counts are ordered by term."""
     if n is not None and n < 1:

@@ -5,9 +5,10 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..functions.text import rfc3339
+from ..functions.text import archive_name, rfc3339
 from ..operators import popularity, recommend, requests
-from ..session import written
+from ..session import shared_dir, written
+from ..sinks import compacted
 from ..sinks.topics import as_messages
 from . import views
 from .views import with_cte
@@ -166,6 +167,17 @@ def archive_last_write(spark: SparkSession, sf_dir: str) -> DataFrame:
     return kept.select("file_name", "user_id", "writes", "props")
 
 
+def archive_compacted(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same from an archive that takes the records in four parts, each compacted into it."""
+    path, keys = shared_dir(spark, "archive"), ["user_id", "second"]
+    records = _archive_records(spark, sf_dir).withColumn("second", F.date_trunc("second", "ts"))
+    for number in range(4):
+        part = records.filter(F.pmod(F.xxhash64("event_id"), F.lit(4)) == number)
+        compacted.add(part, path, keys, ["ts", "event_id"])
+    name = archive_name(F.col("user_id").cast("string"), F.col("second")).alias("file_name")
+    return compacted.read(spark, path, keys).select(name, "user_id", "writes", "props")
+
+
 QUERIES = {
     "term_counts": (
         term_counts,
@@ -248,3 +260,4 @@ from numbered where rn = 1
         ),
     ),
 }
+QUERIES["archive_compacted"] = (archive_compacted, QUERIES["archive_last_write"][1])

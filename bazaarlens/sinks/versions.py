@@ -1,18 +1,19 @@
 """Stored lists as versions: a folder per version, which counts once its success marker is there.
 
-Spark's committer writes the marker last. The newest marked version is the current one, so replacing a
-list never leaves a moment without one.
+Spark's committer writes the marker last. Versions are numbered; the highest marked one is the current one, so
+replacing a list never leaves a moment without one.
 """
 
 from __future__ import annotations
 
-import time
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
-_PREFIX, _MARKER = "v", "_SUCCESS"
+_PREFIX, _MARKER = "v=", "_SUCCESS"
+# A version goes when so many newer ones are there and the newest is so much younger.
 KEPT = 2
+KEPT_HOURS = 24
 
 
 def _folder(spark: SparkSession, path: str):
@@ -21,19 +22,29 @@ def _folder(spark: SparkSession, path: str):
     return place.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), place
 
 
-def complete(spark: SparkSession, path: str) -> list[str]:
-    """Paths of the complete versions, oldest first."""
+def folders(spark: SparkSession, path: str, prefix: str) -> dict[str, tuple[str, int]]:
+    """Complete folders whose name begins with ``prefix``: the rest of the name, path and time of change."""
     files, place = _folder(spark, path)
     if not files.exists(place):
-        return []
-    found = []
+        return {}
+    found = {}
     for status in files.listStatus(place):
         folder = status.getPath()
         name = folder.getName()
         marker = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(folder, _MARKER)
-        if status.isDirectory() and name.startswith(f"{_PREFIX}=") and files.exists(marker):
-            found.append((name, folder.toString()))
-    return [folder for _, folder in sorted(found)]
+        if status.isDirectory() and name.startswith(prefix) and files.exists(marker):
+            found[name[len(prefix) :]] = (folder.toString(), status.getModificationTime())
+    return found
+
+
+def delete(spark: SparkSession, path: str) -> None:
+    files, place = _folder(spark, path)
+    files.delete(place, True)
+
+
+def complete(spark: SparkSession, path: str) -> list[str]:
+    """Paths of the complete versions, oldest first."""
+    return [folder for _, (folder, _) in sorted(folders(spark, path, _PREFIX).items())]
 
 
 def current(spark: SparkSession, path: str) -> str | None:
@@ -42,10 +53,22 @@ def current(spark: SparkSession, path: str) -> str | None:
     return found[-1] if found else None
 
 
+def next_path(spark: SparkSession, path: str, note: str = "") -> str:
+    """A folder for the next version; ``note`` ends its name."""
+    names = sorted(folders(spark, path, _PREFIX))
+    number = int(names[-1].split("-")[0]) + 1 if names else 0
+    return f"{path.rstrip('/')}/{_PREFIX}{number:020d}-{uuid.uuid4().hex[:8]}{note}"
+
+
+def tidy(spark: SparkSession, path: str, kept: int = KEPT, hours: float = KEPT_HOURS) -> None:
+    """Delete versions that nobody should be reading any more, by the storage's own clock."""
+    found = [status for _, status in sorted(folders(spark, path, _PREFIX).items())]
+    for folder, changed in found[:-kept]:
+        if found[-1][1] - changed >= hours * 3_600_000:
+            delete(spark, folder)
+
+
 def write(rows: DataFrame, path: str, fmt: str) -> None:
     spark = rows.sparkSession
-    version = f"{_PREFIX}={time.time_ns():020d}-{uuid.uuid4().hex[:8]}"
-    rows.write.format(fmt).save(f"{path.rstrip('/')}/{version}")
-    files, _ = _folder(spark, path)
-    for old in complete(spark, path)[:-KEPT]:
-        files.delete(spark.sparkContext._jvm.org.apache.hadoop.fs.Path(old), True)
+    rows.write.format(fmt).save(next_path(spark, path))
+    tidy(spark, path)

@@ -16,7 +16,7 @@ from pyspark.sql import types as T
 from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
 
 from .. import schemas
-from ..functions.text import rfc3339
+from ..functions.text import day_of, rfc3339
 from ..operators import catalog, popularity, recommend, requests, topics
 from ..sinks.files import json_as_line, write_batch, write_popular
 from ..sinks.topics import as_messages, log_writer, write_log
@@ -154,7 +154,7 @@ def archive_requests(
     """Request messages decoded and stored as JSON lines, one folder per day of ``timestamp``."""
     good, _ = requests.split_decoded(stream)
     # A text that is no date names no folder of its own.
-    day = F.coalesce(F.try_to_timestamp(F.substring("timestamp", 1, 10), F.lit("yyyy-MM-dd")).cast("date").cast("string"), F.lit(UNKNOWN_DAY))
+    day = F.coalesce(day_of("timestamp").cast("string"), F.lit(UNKNOWN_DAY))
     rows = good.select("product_name", "timestamp", day.alias("dt"))
     writer = rows.writeStream.format("json").partitionBy("dt").option("path", out)
     return run(writer, checkpoint, once, every)
