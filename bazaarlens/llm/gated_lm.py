@@ -29,14 +29,19 @@ def class_starts(counts: np.ndarray, classes: int = CLASSES) -> np.ndarray:
     return np.unique(np.concatenate([[0], cuts[cuts < len(counts)]])).astype(np.int64)
 
 
-def _log_softmax(x: np.ndarray) -> np.ndarray:
-    x -= x.max(axis=1, keepdims=True)
-    x -= np.log(np.exp(x).sum(axis=1, keepdims=True))
-    return x
-
-
-def _sigmoid(x: np.ndarray) -> np.ndarray:
-    return 0.5 * (np.tanh(0.5 * x) + 1)
+def _softmax_at(x: np.ndarray, at: np.ndarray, slopes: bool) -> tuple[np.ndarray, np.ndarray | None]:
+    """Outputs x columns: the log-probability at ``at`` of each column and, with ``slopes``, its gradient by ``x``."""
+    columns = np.arange(len(at))
+    x -= x.max(axis=0)
+    found = x[at, columns]
+    np.exp(x, out=x)
+    total = x.sum(axis=0)
+    found = found - np.log(total)
+    if not slopes:
+        return found, None
+    x *= -1 / total
+    x[at, columns] += 1
+    return found, x
 
 
 @dataclass
@@ -122,50 +127,58 @@ class GatedModel:
         )
 
     def _run(self, inputs: np.ndarray, first: np.ndarray, state: np.ndarray, keep: list | None) -> np.ndarray:
-        """States after each step; what backpropagation needs goes to ``keep``."""
-        carry, width = self.weights["carry"], state.shape[1]
-        given = self.weights["gates"][inputs]
-        states = np.empty((len(inputs), *state.shape), dtype=np.float32)
-        for t in range(len(inputs)):
-            before = state * first[t][:, None]
-            x, carried = given[t], before @ carry
-            gates = _sigmoid(x[:, : 2 * width] + carried[:, : 2 * width])
-            update, reset = gates[:, :width], gates[:, width:]
-            fresh = np.tanh(x[:, 2 * width :] + reset * carried[:, 2 * width :])
-            state = fresh + update * (before - fresh)
-            states[t] = state
-            if keep is not None:
-                keep.append((before, update, reset, fresh, carried[:, 2 * width :]))
+        """States after each step; what backpropagation needs goes to ``keep``, steps first."""
+        width, steps = state.shape[1], len(inputs)
+        # A sigmoid is a tanh of half its input, so the halves are taken once for all steps.
+        half = np.ones(3 * width, dtype=np.float32)
+        half[: 2 * width] = 0.5
+        carry, given = self.weights["carry"] * half, (self.weights["gates"] * half)[inputs]
+        states = np.empty((steps, *state.shape), dtype=np.float32)
+        befores, carries = np.empty_like(states), np.empty_like(given)
+        gates, freshes = np.empty((steps, len(state), 2 * width), dtype=np.float32), np.empty_like(states)
+        first = first[:, :, None]
+        for t in range(steps):
+            before, carried, gate, fresh = befores[t], carries[t], gates[t], freshes[t]
+            np.multiply(state, first[t], out=before)
+            np.matmul(before, carry, out=carried)
+            np.add(given[t, :, : 2 * width], carried[:, : 2 * width], out=gate)
+            np.tanh(gate, out=gate)
+            gate *= 0.5
+            gate += 0.5
+            np.multiply(gate[:, width:], carried[:, 2 * width :], out=fresh)
+            fresh += given[t, :, 2 * width :]
+            np.tanh(fresh, out=fresh)
+            state = states[t]
+            np.subtract(before, fresh, out=state)
+            state *= gate[:, :width]
+            state += fresh
+        if keep is not None:
+            keep += [befores, gates[:, :, :width], gates[:, :, width:], freshes, carries[:, :, 2 * width :]]
         return states
 
     def _outputs(self, states: np.ndarray, targets: np.ndarray, slopes: dict | None) -> tuple[np.ndarray, np.ndarray | None]:
         """Natural log-probability of each target and, with ``slopes``, the gradient of the states."""
         w, ends = self.weights, np.append(self.starts[1:], self.weights["word_bias"].shape[0])
         cls = np.searchsorted(self.starts, targets, side="right") - 1
-        logs = _log_softmax(states @ w["to_class"] + w["class_bias"])
-        rows = np.arange(len(targets))
-        found = logs[rows, cls].astype(np.float64)
-        back = None
+        logits = w["to_class"].T @ states.T + w["class_bias"][:, None]
+        logs, wrong = _softmax_at(logits, cls, slopes is not None)
+        found, back = logs.astype(np.float64), None
         if slopes is not None:
-            wrong = -np.exp(logs)
-            wrong[rows, cls] += 1
-            slopes["to_class"], slopes["class_bias"] = states.T @ wrong, wrong.sum(axis=0)
-            back = wrong @ w["to_class"].T
+            slopes["to_class"], slopes["class_bias"] = (wrong @ states).T, wrong.sum(axis=1)
+            back = wrong.T @ w["to_class"].T
             slopes["to_word"], slopes["word_bias"] = np.zeros_like(w["to_word"]), np.zeros_like(w["word_bias"])
-        order = np.argsort(cls, kind="stable")
+        order = np.argsort(cls.astype(np.int16), kind="stable")
         edges = np.searchsorted(cls[order], np.arange(len(self.starts) + 1))
         for c, (a, b) in enumerate(zip(self.starts, ends, strict=True)):
             own = order[edges[c] : edges[c + 1]]
             if b - a == 1 or not len(own):
                 continue  # a class of one token: its probability within the class is 1
-            inside, here = targets[own] - a, states[own]
-            logs = _log_softmax(here @ w["to_word"][:, a:b] + w["word_bias"][a:b])
-            found[own] += logs[np.arange(len(own)), inside]
+            here, part = states[own], w["to_word"][:, a:b]
+            logs, wrong = _softmax_at(part.T @ here.T + w["word_bias"][a:b, None], targets[own] - a, slopes is not None)
+            found[own] += logs
             if slopes is not None:
-                wrong = -np.exp(logs)
-                wrong[np.arange(len(own)), inside] += 1
-                slopes["to_word"][:, a:b], slopes["word_bias"][a:b] = here.T @ wrong, wrong.sum(axis=0)
-                back[own] += wrong @ w["to_word"][:, a:b].T
+                slopes["to_word"][:, a:b], slopes["word_bias"][a:b] = (wrong @ here).T, wrong.sum(axis=1)
+                back[own] += wrong.T @ part.T
         return found, back
 
     def log_probabilities(self, lanes: Lanes, count: int, window: int = WINDOW) -> np.ndarray:
@@ -185,7 +198,7 @@ class GatedModel:
         state = np.zeros((lanes.inputs.shape[1], self.weights["carry"].shape[0]), dtype=np.float32)
         for steps, count in lanes.windows(window):
             part = (steps, slice(count))
-            keep: list = []
+            keep: list[np.ndarray] = []
             states = self._run(lanes.inputs[part], lanes.first[part], state[:count], keep)
             state = states[-1]
             real = lanes.place[part] >= 0
@@ -197,24 +210,28 @@ class GatedModel:
             self._update(slopes, int(real.sum()), rate)
 
     def _back(self, inputs: np.ndarray, first: np.ndarray, keep: list, error: np.ndarray, slopes: dict) -> None:
-        carry, width = self.weights["carry"], error.shape[2]
-        given = np.empty((*inputs.shape, 3 * width), dtype=np.float32)
-        carried = np.empty_like(given)
+        steps, lanes, width = error.shape
+        before, update, reset, fresh, inner = keep
+        # What a state's slope is multiplied with on its way to each gate: no step needs another one for it.
+        to_fresh = (1 - update) * (1 - fresh * fresh)
+        ways = np.empty((steps, lanes, 3, width), dtype=np.float32)
+        ways[:, :, 0] = (before - fresh) * update * (1 - update)
+        ways[:, :, 1] = to_fresh * inner * reset * (1 - reset)
+        ways[:, :, 2] = to_fresh * reset
+        back, first = np.ascontiguousarray(self.weights["carry"].T), first[:, :, None]
+        carried, laters = np.empty_like(ways), np.empty_like(error)
         later = np.zeros_like(error[0])
-        for t in range(len(inputs) - 1, -1, -1):
-            before, update, reset, fresh, inner = keep[t]
-            later = later + error[t]
-            d_fresh = later * (1 - update) * (1 - fresh * fresh)
-            given[t, :, :width] = later * (before - fresh) * update * (1 - update)
-            given[t, :, width : 2 * width] = d_fresh * inner * reset * (1 - reset)
-            given[t, :, 2 * width :] = d_fresh
-            carried[t, :, : 2 * width] = given[t, :, : 2 * width]
-            carried[t, :, 2 * width :] = d_fresh * reset
-            later = (later * update + carried[t] @ carry.T) * first[t][:, None]
-        flat = carried.reshape(-1, 3 * width)
-        slopes["carry"] = np.concatenate([k[0] for k in keep]).T @ flat
-        ids, given = inputs.reshape(-1), given.reshape(-1, 3 * width)
-        order = np.argsort(ids, kind="stable")
+        for t in range(steps - 1, -1, -1):
+            here = laters[t]
+            np.add(later, error[t], out=here)
+            np.multiply(here[:, None, :], ways[t], out=carried[t])
+            np.matmul(carried[t].reshape(lanes, 3 * width), back, out=later)
+            later += here * update[t]
+            later *= first[t]
+        slopes["carry"] = before.reshape(-1, width).T @ carried.reshape(-1, 3 * width)
+        carried[:, :, 2] = laters * to_fresh
+        ids, given = inputs.reshape(-1), carried.reshape(-1, 3 * width)
+        order = np.argsort(ids.astype(np.uint16) if len(self.weights["gates"]) <= 1 << 16 else ids, kind="stable")
         known, edges = np.unique(ids[order], return_index=True)
         slopes["gates"] = np.zeros_like(self.weights["gates"])
         slopes["gates"][known] = np.add.reduceat(given[order], edges, axis=0)
@@ -226,9 +243,16 @@ class GatedModel:
         size = np.sqrt(sum(float((s * s).sum()) for s in slopes.values())) / count
         scale = min(1.0, _CLIP / max(size, 1e-9)) / count
         for name, slope in slopes.items():
-            slope = slope * scale
-            mean, square = self.moments.get(name, (np.zeros_like(slope), np.zeros_like(slope)))
-            mean, square = 0.9 * mean + 0.1 * slope, 0.99 * square + 0.01 * slope * slope
-            self.moments[name] = (mean, square)
-            step = mean / (1 - 0.9**self.updates) / (np.sqrt(square / (1 - 0.99**self.updates)) + 1e-8)
-            self.weights[name] = self.weights[name] + np.float32(rate) * step.astype(np.float32)
+            slope = slope * np.float32(scale)
+            if name not in self.moments:
+                self.moments[name] = (np.zeros_like(slope), np.zeros_like(slope))
+            mean, square = self.moments[name]
+            mean *= 0.9
+            mean += 0.1 * slope
+            square *= 0.99
+            slope *= slope
+            square += 0.01 * slope
+            size = np.sqrt(square / (1 - 0.99**self.updates))
+            size += 1e-8
+            # A copy: the weights a model starts from are shared.
+            self.weights[name] = self.weights[name] - mean / size * np.float32(-rate / (1 - 0.9**self.updates))

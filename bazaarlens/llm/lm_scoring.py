@@ -1,10 +1,11 @@
 """Scoring documents with a unigram base and the gated recurrent model.
 
-Documents are packed into blocks of bounded size: the tokens as numbers of the block's own word list.
-Only word lists are shuffled by word, with one row per word and block, to count every training token and to
-bring the counts back to the blocks that ask for them; texts are not shuffled again. The model starts
-from a short run on the first block; then every block trains a copy on all its training documents, and
-the copies' weights are averaged.
+Documents are packed into blocks of bounded size: the tokens as numbers of the block's own word list. A document's
+id and text decide its block, so scores do not depend on how the table is laid out.
+After that only word lists are shuffled by word, with one row per word and block, to count every training token
+and to bring the counts back to the blocks that ask for them. The model starts from a short run on the first
+block; then every block trains a copy on all its training documents, and the copies' weights are averaged in
+the order of the blocks.
 """
 
 from __future__ import annotations
@@ -65,7 +66,15 @@ def _unpacked(data: bytes, kind: str) -> np.ndarray:
 
 
 def pack(docs: DataFrame, block_bytes: int = BLOCK_BYTES) -> DataFrame:
-    """Blocks of whole documents: word lists with training counts, and tokens as numbers of words; 0 is the end."""
+    """Blocks of whole documents: word lists with training counts, and tokens as numbers of words; 0 is the end.
+
+    Documents are spread by a hash of id and text over as many parts as the bytes of all texts ask for; a part is cut
+    into blocks in the order of ids. Copies have ids of their own, so a hot text is spread too.
+    """
+    size = F.coalesce(F.octet_length("text"), F.lit(0)) + 1
+    total = docs.agg(F.sum(size.cast("long"))).first()[0] or 0
+    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
+    rows = rows.repartition(max(1, -(-total // block_bytes)), F.xxhash64("doc_id", "text")).sortWithinPartitions("doc_id", "text")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
@@ -101,7 +110,7 @@ def pack(docs: DataFrame, block_bytes: int = BLOCK_BYTES) -> DataFrame:
         if ids:
             yield closed()
 
-    return arrow_map(docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text"), run, _BLOCKS)
+    return arrow_map(rows, run, _BLOCKS)
 
 
 def _word_list(data: bytes, count: int) -> list[bytes]:
@@ -177,7 +186,7 @@ def _train_block(row: dict, vocabulary: Vocabulary, model: GatedModel, rate: flo
     return copy, len(tokens)
 
 
-_COPIES = "weights binary, tokens long"
+_COPIES = "block long, weights binary, tokens long"
 
 
 def _flat(weights: dict[str, np.ndarray]) -> np.ndarray:
@@ -195,16 +204,18 @@ def _shaped(flat: np.ndarray, like: dict[str, np.ndarray]) -> dict[str, np.ndarr
 
 def _averaged(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """One row: the mean weights by trained tokens. One copy is held at a time."""
-    total, count = None, 0
+    total, count, first = None, 0, None
     for batch in batches:
         for row in batch.to_pylist():
+            first = row["block"] if first is None else first
             if row["tokens"]:
                 part = np.frombuffer(row["weights"], "f8") * row["tokens"]
                 total = part if total is None else total + part
                 count += row["tokens"]
     if total is not None:
         yield pa.RecordBatch.from_arrays(
-            [pa.array([(total / count).tobytes()], pa.binary()), pa.array([count], pa.int64())], names=["weights", "tokens"]
+            [pa.array([first], pa.int64()), pa.array([(total / count).tobytes()], pa.binary()), pa.array([count], pa.int64())],
+            names=["block", "weights", "tokens"],
         )
 
 
@@ -220,12 +231,18 @@ def _trained(
             for row in batch.to_pylist():
                 copy, count = _train_block(row, known, GatedModel(starts, weights), rate, max_tokens)
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array([_flat(copy.weights).tobytes()], pa.binary()), pa.array([count], pa.int64())],
-                    names=["weights", "tokens"],
+                    [
+                        pa.array([row["block"]], pa.int64()),
+                        pa.array([_flat(copy.weights).tobytes()], pa.binary()),
+                        pa.array([count], pa.int64()),
+                    ],
+                    names=["block", "weights", "tokens"],
                 )
 
-    copies = arrow_map(blocks.select("doc_ids", "sizes", "tokens", "words", "n_words"), run, _COPIES)
-    means = arrow_map(copies.repartition(_AVERAGERS), _averaged, _COPIES).collect()  # 16 rows at most
+    copies = arrow_map(blocks.select("block", "doc_ids", "sizes", "tokens", "words", "n_words"), run, _COPIES)
+    # Sums depend on their order, which is that of the blocks.
+    parted = copies.repartition(_AVERAGERS, "block").sortWithinPartitions("block")
+    means = sorted(arrow_map(parted, _averaged, _COPIES).collect())  # 16 rows at most
     total = sum(m["tokens"] for m in means)
     if not total:
         return model
@@ -281,6 +298,8 @@ def score(docs: DataFrame, block_bytes: int = BLOCK_BYTES, vocabulary_size: int
         return pa.Table.from_arrays([pa.array(v, k) for v, k in zip(columns, _SCORE_TYPES, strict=True)], names=names)
 
     ship_code(spark)
-    asked = words.join(counts, "word").select("block", "at", "c")
-    packed = blocks.select("block", "doc_ids", "sizes", "tokens", "words", "n_words")
+    # Few blocks to a task, whatever they weigh.
+    tasks = 2 * max(1, blocks.count())
+    asked = words.join(counts, "word").select("block", "at", "c").repartition(tasks, "block")
+    packed = blocks.select("block", "doc_ids", "sizes", "tokens", "words", "n_words").repartition(tasks, "block")
     return packed.groupBy("block").cogroup(asked.groupBy("block")).applyInArrow(run, _SCORES)

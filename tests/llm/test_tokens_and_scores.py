@@ -287,3 +287,14 @@ def test_held_out_documents_score_better_than_the_base(spark):
     got = lm_scoring.score(spark.read.parquet("/root/testdata/sf0.01/documents.parquet")).filter("held_out")
     row = got.selectExpr("sum(score) / sum(n_tokens) as model", "sum(base_score) / sum(n_tokens) as base").first()
     assert row["model"] > row["base"] + 0.1
+
+
+def test_scores_do_not_depend_on_the_layout(spark):
+    rows = [(i, corpus.sentence(i, 30 + i % 7)) for i in range(300)] + [(7, corpus.sentence(7, 30)), (8, None), (None, "alone")]
+    rows += [(400, corpus.sentence(5, 40))] * 3  # repeated rows
+    found = []
+    for parts, order in ((1, rows), (4, rows[::-1]), (16, rows[100:] + rows[:100])):
+        docs = corpus.documents(spark, [(i, t, "en") for i, t in order]).repartition(parts)
+        got = lm_scoring.score(docs, block_bytes=8000, vocabulary_size=60).collect()
+        found.append(sorted((tuple(r) for r in got), key=repr))
+    assert found[0] == found[1] == found[2]
