@@ -232,9 +232,10 @@ class GatedModel:
         carried[:, :, 2] = laters * to_fresh
         ids, given = inputs.reshape(-1), carried.reshape(-1, 3 * width)
         order = np.argsort(ids.astype(np.uint16) if len(self.weights["gates"]) <= 1 << 16 else ids, kind="stable")
-        known, edges = np.unique(ids[order], return_index=True)
+        ids = ids[order]
+        edges = np.flatnonzero(np.append(True, ids[1:] != ids[:-1]))
         slopes["gates"] = np.zeros_like(self.weights["gates"])
-        slopes["gates"][known] = np.add.reduceat(given[order], edges, axis=0)
+        slopes["gates"][ids[edges]] = np.add.reduceat(given[order], edges, axis=0)
 
     def _update(self, slopes: dict[str, np.ndarray], count: int, rate: float) -> None:
         if not count:

@@ -68,8 +68,9 @@ def _unpacked(data: bytes, kind: str) -> np.ndarray:
 def pack(docs: DataFrame, block_bytes: int = BLOCK_BYTES) -> DataFrame:
     """Blocks of whole documents: word lists with training counts, and tokens as numbers of words; 0 is the end.
 
-    Documents are spread by a hash of id and text over as many parts as the bytes of all texts ask for; a part is cut
-    into blocks in the order of ids. Copies have ids of their own, so a hot text is spread too.
+    Documents are spread by a hash of id and text over as many parts as the bytes of all texts ask for. A part is a
+    block; one that repeated rows make twice as large is cut in the order of ids. Copies have ids of their own, so a
+    hot text is spread too.
     """
     size = F.coalesce(F.octet_length("text"), F.lit(0)) + 1
     total = docs.agg(F.sum(size.cast("long"))).first()[0] or 0
@@ -105,7 +106,7 @@ def pack(docs: DataFrame, block_bytes: int = BLOCK_BYTES) -> DataFrame:
                 sizes.append(len(found) + 1)
                 ids.append(doc)
                 size += len(text) + 1
-                if size >= block_bytes:
+                if size >= 2 * block_bytes:
                     yield closed()
         if ids:
             yield closed()
