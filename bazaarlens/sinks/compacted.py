@@ -19,6 +19,8 @@ from . import versions
 # Rows of a bucket that a version is laid out for; a bucket with four times as many splits.
 BUCKET_ROWS = 2_000_000
 _GROWTH = 4
+# Readers of a whole archive may take this long; the version they read stays as long.
+KEPT_HOURS = 24
 _NOTE = re.compile(r"-b(\d+)$")
 
 
@@ -91,4 +93,4 @@ def add(records: DataFrame, path: str, keys: list[str], order: list[str], bucket
         buckets = max(1, -(-count // bucket_rows))
         rows = rows.repartition(buckets, *keys)
     _write(rows, path, keys, buckets)
-    versions.tidy(spark, path)
+    versions.tidy(spark, path, hours=KEPT_HOURS)

@@ -11,9 +11,8 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 
 _PREFIX, _MARKER = "v=", "_SUCCESS"
-# A version goes when so many newer ones are there and the newest is so much younger.
+# Versions that stay when a new one is there.
 KEPT = 2
-KEPT_HOURS = 24
 
 
 def _folder(spark: SparkSession, path: str):
@@ -60,8 +59,11 @@ def next_path(spark: SparkSession, path: str, note: str = "") -> str:
     return f"{path.rstrip('/')}/{_PREFIX}{number:020d}-{uuid.uuid4().hex[:8]}{note}"
 
 
-def tidy(spark: SparkSession, path: str, kept: int = KEPT, hours: float = KEPT_HOURS) -> None:
-    """Delete versions that nobody should be reading any more, by the storage's own clock."""
+def tidy(spark: SparkSession, path: str, kept: int = KEPT, hours: float = 0) -> None:
+    """Delete all but the last ``kept`` versions, of those the ones the newest is ``hours`` younger than.
+
+    The times are the storage's own.
+    """
     found = [status for _, status in sorted(folders(spark, path, _PREFIX).items())]
     for folder, changed in found[:-kept]:
         if found[-1][1] - changed >= hours * 3_600_000:

@@ -90,14 +90,16 @@ def test_an_empty_store(spark, tmp_path):
     assert search_counts.daily(spark, base).count() == 0
 
 
-def test_versions_are_numbered_and_old_ones_go_by_age(spark, tmp_path):
+def test_versions_are_numbered_and_old_ones_go_by_count_or_age(spark, tmp_path):
     path = str(tmp_path / "list")
     for number in range(4):
         versions.write(spark.range(number, number + 1), path, "parquet")
         assert spark.read.parquet(versions.current(spark, path)).first()[0] == number
-    assert len(versions.complete(spark, path)) == 4  # nobody loses a version it has begun to read
-    versions.tidy(spark, path, hours=0)
     assert [spark.read.parquet(p).first()[0] for p in versions.complete(spark, path)] == [2, 3]
+    versions.tidy(spark, path, kept=1, hours=1)
+    assert len(versions.complete(spark, path)) == 2  # nobody loses a version it has begun to read
+    versions.tidy(spark, path, kept=1)
+    assert [spark.read.parquet(p).first()[0] for p in versions.complete(spark, path)] == [3]
 
 
 def records(spark, rows):
