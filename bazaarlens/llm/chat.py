@@ -3,11 +3,15 @@
 A template is a function from turns to text. Successive prefixes of a conversation are rendered and
 each output is compared with the one before: what is new is the turn's span, and an output that does not
 begin with the one before shows that the template rewrites history. Two probe texts in place of the turn's
-own show where its content begins and ends. Prefixes are rendered from a restart a few turns back, and
-the pieces are compared with the rendering of all turns so far after 16, 32, 64, .. turns and at
-the end; if they differ, every prefix is rendered from the start. Long conversations are thus linear.
+own show where its content begins and ends.
 
-Conversations stream through a task turn by turn and are written in parts of bounded size.
+Nothing depends on a conversation's length. Of a template that promises nothing every prefix is rendered from
+the first turn on, for which a task holds one conversation and takes time by the square of its turns. A template may
+promise with ``local(k)`` that what a turn adds depends on the k turns before it: every turn is then rendered after
+exactly those, conversations stream through a task turn by turn in linear time, and a turn that adds anything else after
+k + 1 turns, or rewrites them, ends the query with an error.
+
+Conversations are written in parts of bounded size.
 """
 
 from __future__ import annotations
@@ -33,9 +37,7 @@ _START, _END = "<|im_start|>", "<|im_end|>"
 _CONTROL = re.compile(r"<(?=\|)|<(?=/?s>)|\[(?=/?INST\])|<(?=</?SYS>>)|\|(?=>)")
 _TURN = re.compile(re.escape(_START) + r"([^\n]*)\n(.*?)" + re.escape(_END) + "\n", re.DOTALL)
 TRAINED_ROLE = "assistant"
-# Turns rendered before a restart, those known before it, and the size of a written part.
-WINDOW_TURNS = 16
-CONTEXT_TURNS = 2
+# The size of a written part.
 PART_TURNS = 4096
 PART_CHARS = 8_000_000
 
@@ -49,6 +51,21 @@ def unescape(text: str) -> str:
     return re.sub(r"\\(\\?)", r"\1", text)
 
 
+def local(context: int) -> Callable[[Template], Template]:
+    """Declares that what a turn adds to a template's text depends on the ``context`` turns before it only."""
+
+    def promised(template: Template) -> Template:
+        template.context = context
+        return template
+
+    return promised
+
+
+def _context(template: Template) -> int | None:
+    return getattr(template, "context", None)
+
+
+@local(0)
 def marked_turns(turns: list[Turn]) -> str:
     """The template of the query: each turn between a start mark with its role and an end mark."""
     return "".join(f"{_START}{quote(role, safe='')}\n{escape(text)}{_END}\n" for role, text in turns)
@@ -111,25 +128,30 @@ def _from(template: Template, before: list[Turn], turns: list[Turn]) -> tuple[li
     return added, places, rewrites
 
 
+def _added(template: Template, turns: list[Turn], first: int, context: int) -> tuple[list[str], list[tuple[int, int]]]:
+    """What each turn from ``first`` on adds after its context, and the places of contents in it."""
+    added, places = [], []
+    for i in range(first, len(turns)):
+        (new,), (place,), rewrites = _from(template, turns[max(0, i - context) : i], turns[i : i + 1])
+        if i > context:  # one turn more must change nothing
+            (more,), _, rewrites_more = _from(template, turns[i - context - 1 : i], turns[i : i + 1])
+            rewrites = rewrites_more if rewrites is None else rewrites
+        if rewrites is not None or (i > context and more != new):
+            raise ValueError(f"the template depends on more than the {context} turns before a turn")
+        added.append(new)
+        places.append(place)
+    return added, places
+
+
 def render(template: Template, turns: list[Turn], before: list[Turn] | None = None) -> Rendered:
     """Render ``turns`` after the turns ``before`` (whose own text is not returned)."""
-    before = before or []
-    base = len(template(before))
-    added, places, check = [], [], WINDOW_TURNS
-    for at in range(0, len(turns), WINDOW_TURNS):
-        known = turns[at - CONTEXT_TURNS : at] if at else before
-        new, where, rewrites = _from(template, known, turns[at : at + WINDOW_TURNS])
-        added += new
-        places += where
-        if rewrites is None and (len(added) == len(turns) or len(added) >= check):
-            check *= 2
-            if template(before + turns[: len(added)])[base:] != "".join(added):
-                rewrites = -1
-        if rewrites is not None:  # the window was no proof: render every prefix
-            added, places, rewrites = _from(template, before, turns)
-            if rewrites is not None:
-                return _rewritten(template, before, turns, rewrites)
-            break
+    before, context = before or [], _context(template)
+    if context is None:
+        added, places, rewrites = _from(template, before, turns)
+        if rewrites is not None:
+            return _rewritten(template, before, turns, rewrites)
+    else:
+        added, places = _added(template, before + turns, len(before), context)
     spans, contents, at = [], [], 0
     for text, (start, end) in zip(added, places, strict=True):
         spans.append((at, at + len(text)))
@@ -159,8 +181,9 @@ def format_conversations(turns: DataFrame, template: Template = marked_turns, tr
 
     ``turns`` has ``conv_id``, ``turn``, ``role`` and ``text``; other columns are ignored. Turns are
     ordered by ``turn`` (null first), ties by role and text; repeated rows are turns of their own. Null roles
-    and texts are empty, null ids are one conversation. A part after the first is rendered after the last turns
-    of the part before. An empty table has no parts.
+    and texts are empty, null ids are one conversation. Parts together are the whole conversation's rendering,
+    wherever they are cut. If a template rewrites history, the first part holds the whole text. An empty table
+    has no parts.
     """
     plain = turns.select(
         F.col("conv_id").cast("long").alias("conv_id"),
@@ -171,15 +194,34 @@ def format_conversations(turns: DataFrame, template: Template = marked_turns, tr
     ordered = plain.repartition("conv_id").sortWithinPartitions("conv_id", "turn", "role", "text")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        context = _context(template)
         current, part, chars, held, before = None, 0, 0, [], []
         out: list[tuple] = []
+        cuts: list[int] = []  # turns before each part, where a conversation is rendered at its end
+
+        def add(last: bool, text: str, rewrites: int | None, contents: list[tuple[int, int]], own: list[Turn]) -> None:
+            nonlocal part
+            mask = [{"start": s, "end": e} for (s, e), (role, _) in zip(contents, own, strict=False) if role == trained]
+            out.append((current[0], part, last, text, len(own), rewrites, mask))
+            part += 1
 
         def close(last: bool) -> None:
-            nonlocal part, chars, held, before
+            nonlocal chars, held, before
+            chars = 0
+            if context is None and not last:
+                cuts.append(len(held))
+                return
             done = render(template, held, before)
-            mask = [{"start": s, "end": e} for (s, e), (role, _) in zip(done.contents, held, strict=False) if role == trained]
-            out.append((current[0], part, last, done.text, len(held), done.rewrites, mask))
-            part, chars, before, held = part + 1, 0, held[-CONTEXT_TURNS:], []
+            if cuts and done.rewrites is None:
+                for low, high in zip([0, *cuts], [*cuts, len(held)], strict=True):
+                    start, end = done.spans[low][0], done.spans[high - 1][1]
+                    contents = [(a - start, b - start) for a, b in done.contents[low:high]]
+                    add(high == len(held), done.text[start:end], None, contents, held[low:high])
+            else:
+                add(last, done.text, done.rewrites, done.contents, held)
+            before = (before + held)[-(context + 1) :] if context is not None and not last else []
+            held = []
+            cuts.clear()
 
         def flushed() -> pa.RecordBatch:
             columns = [pa.array(v, k) for v, k in zip(zip(*out, strict=True), _PART_TYPES, strict=True)]
@@ -190,8 +232,8 @@ def format_conversations(turns: DataFrame, template: Template = marked_turns, tr
             for conv, role, text in zip(*(batch.column(i).to_pylist() for i in (0, 2, 3)), strict=True):
                 if current is not None and current[0] != conv:
                     close(True)
-                    current, part, before = None, 0, []
-                elif len(held) >= PART_TURNS or chars >= PART_CHARS:
+                    current, part = None, 0
+                elif len(held) - (cuts[-1] if cuts else 0) >= PART_TURNS or chars >= PART_CHARS:
                     close(False)
                 current = (conv,)
                 held.append((role, text))

@@ -195,6 +195,62 @@ def test_parts_of_a_long_conversation_join(spark):
     assert row["n_turns"] == len(rows) and row["loss_sha256"] == hashlib.sha256(loss.encode()).hexdigest()
 
 
+def plain_numbers(turns):  # depends on all turns before
+    return "".join(f"{i}:{t};" for i, (_, t) in enumerate(turns))
+
+
+def quotes_first(turns):
+    return "".join(f"{role}({turns[0][1]}):{t};" for role, t in turns)
+
+
+@pytest.mark.parametrize("template", [plain_numbers, quotes_first])
+def test_parts_do_not_change_what_a_template_gives(spark, monkeypatch, template):
+    rows = [(c, k, ["user", "assistant"][k % 2], f"t{c}.{k}") for c in (1, 2) for k in range(40)]
+    frame = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string")
+    local_parts = []
+    for size in (7, 1000):
+        # Called here, as the parts' size in executors is the module's.
+        monkeypatch.setattr(chat, "PART_TURNS", size)
+        monkeypatch.setattr(chat, "arrow_map", lambda df, run, schema: list(run(df.toArrow().to_batches())))
+        found = [r for batch in chat.format_conversations(frame.coalesce(1), template) for r in batch.to_pylist()]
+        local_parts.append(found)
+    cut, whole = local_parts
+    assert len(whole) == 2 and len(cut) == 12
+    for conv in (1, 2):
+        own = [(r[2], r[3]) for r in rows if r[0] == conv]
+        parts = [p for p in cut if p["conv_id"] == conv]
+        assert "".join(p["formatted"] for p in parts) == template(own)
+        assert [p["last"] for p in parts] == [False] * 5 + [True] and sum(p["n_turns"] for p in parts) == 40
+        loss = [p["formatted"][m["start"] : m["end"]] for p in parts for m in p["mask"]]
+        assert loss == [t for role, t in own if role == "assistant"]
+    assert {p["formatted"] for p in whole} == {template([(r[2], r[3]) for r in rows if r[0] == c]) for c in (1, 2)}
+
+
+def test_a_rewrite_between_lengths_is_found():
+    def at_eighteen(turns):
+        return ("x" if len(turns) == 18 else "") + chat.marked_turns(turns)
+
+    assert chat.render(at_eighteen, [("user", f"t{i}") for i in range(64)]).rewrites == 17
+
+
+def test_a_promise_that_does_not_hold_is_an_error():
+    @chat.local(1)
+    def numbered(turns):
+        return plain_numbers(turns)
+
+    turns = [("user", "a"), ("user", "b"), ("user", "c")]
+    with pytest.raises(ValueError, match="more than the 1 turns"):
+        chat.render(numbered, turns)
+
+    @chat.local(1)
+    def after_last(turns):
+        return "".join(f"{a}>{t};" for a, (_, t) in zip(["", *[t for _, t in turns]], turns, strict=False))
+
+    whole = chat.render(after_last, turns * 9)
+    rest = chat.render(after_last, (turns * 9)[5:], (turns * 9)[3:5])
+    assert whole.text == after_last(turns * 9) and whole.text.endswith(rest.text)
+
+
 def small_model():
     counts = np.array([40, 20, 10, 5, 5, 2, 1])
     return gated_lm.GatedModel.new(counts, hidden=4, classes=3), len(counts)
