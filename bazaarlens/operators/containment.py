@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..session import is_small
+from ..session import is_small, written
 
 # Up to this many needles travel inside the plan as one array; more are joined.
 MAX_INLINE_NEEDLES = 1000
@@ -33,6 +33,28 @@ def pieces(texts: DataFrame, lengths: list[int]) -> DataFrame:
     return placed.select("folded_text", F.substring("folded_text", F.col("_i"), F.col("_n")).alias("folded_needle"))
 
 
+def _starting(texts: DataFrame, needles: DataFrame, lengths: list[int]) -> DataFrame:
+    """``pieces`` of these lengths, none empty, but only where a needle's first characters stand in the text.
+
+    All needles have as many first characters as the shortest has characters. If there are too many different ones
+    to be a lookup, every piece is kept.
+    """
+    least = min(lengths)
+    heads = written(needles.select(F.substring("folded_needle", 1, least).alias("_head")).distinct(), "heads")
+    if not is_small(heads):
+        return pieces(texts, lengths)
+    long_enough = texts.select("folded_text").filter(F.length("folded_text") >= least)
+    starts = F.sequence(F.lit(1), F.length("folded_text") - (least - 1))
+    placed = long_enough.select("folded_text", F.explode(starts).alias("_i"))
+    placed = placed.withColumn("_head", F.substring("folded_text", F.col("_i"), F.lit(least)))
+    # Measured small just above.
+    placed = placed.join(F.broadcast(heads), "_head", "left_semi").select("folded_text", "_i")
+    listed = F.array(*[F.lit(n) for n in lengths]).cast("array<int>")
+    sized = placed.select("folded_text", "_i", F.explode(listed).alias("_n"))
+    sized = sized.filter(F.col("_i") + F.col("_n") - 1 <= F.length("folded_text"))
+    return sized.select("folded_text", F.substring("folded_text", F.col("_i"), F.col("_n")).alias("folded_needle"))
+
+
 def _grams(text: str, size: int) -> Column:
     """The distinct pieces of ``size`` characters of a column."""
     starts = F.sequence(F.lit(1), F.length(text) - (size - 1))
@@ -78,16 +100,30 @@ def _indexed(texts: DataFrame, needles: DataFrame) -> DataFrame:
     return found
 
 
-def containing_pairs(texts: DataFrame, needles: DataFrame, few_lengths: int = FEW_LENGTHS) -> DataFrame:
-    """Pairs (folded_text, folded_needle) from one-column frames of those names, both distinct.
+def occurrences(texts: DataFrame, needles: DataFrame, few_lengths: int = FEW_LENGTHS) -> DataFrame:
+    """Pairs (folded_text, folded_needle) with the needles' other columns, once or several times for each row of a needle.
+    ``needles`` is read several times.
 
     With needles of few lengths every substring of a text of such a length is looked up by equality, so each pair
-    that leaves the join is a result. With more lengths that would cut each text too often: an index of short
+    that leaves the join is a result; where the needles' beginnings are few, only substrings that begin so. With more lengths that would cut each text too often: an index of short
     pieces then takes as many rows as the texts have characters, and the join as many as texts have a needle's
     rarest piece. Nothing is compared all-against-all.
     """
     lengths = needles.select(F.length("folded_needle").alias("n")).distinct().limit(few_lengths + 1).collect()
     if len(lengths) > few_lengths:
-        return _indexed(texts, needles)
-    found = pieces(texts, sorted(r["n"] for r in lengths)).join(needles, "folded_needle")
-    return found.select("folded_text", "folded_needle").distinct()
+        found = _indexed(texts, needles.select("folded_needle").distinct())
+        return found.join(needles, "folded_needle").select("folded_text", *needles.columns)
+    sizes = sorted(r["n"] for r in lengths)
+    empty, rest = [n for n in sizes if n == 0], [n for n in sizes if n]
+    cut = pieces(texts, empty) if empty else None
+    if rest:
+        starting = _starting(texts, needles.filter(F.length("folded_needle") > 0), rest)
+        cut = cut.unionByName(starting) if cut is not None else starting
+    if cut is None:
+        cut = pieces(texts, [0]).limit(0)
+    return cut.join(needles, "folded_needle").select("folded_text", *needles.columns)
+
+
+def containing_pairs(texts: DataFrame, needles: DataFrame, few_lengths: int = FEW_LENGTHS) -> DataFrame:
+    """The distinct pairs (folded_text, folded_needle) of ``occurrences``."""
+    return occurrences(texts, needles, few_lengths).select("folded_text", "folded_needle").distinct()

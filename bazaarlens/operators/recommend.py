@@ -38,16 +38,10 @@ def alternatives(term: Column, leaders: Column) -> Column:
 
 def _first_contained(requests: DataFrame, names: DataFrame) -> DataFrame:
     """Adds ``matched``: the best-ranked name contained in the term, for lists too long to inline."""
-    needles = names.groupBy(fold(F.col("product_name")).alias("folded_needle")).agg(
-        F.min_by("product_name", "rank").alias("matched"), F.min("rank").alias("rank")
-    )
+    needles = names.select(fold(F.col("product_name")).alias("folded_needle"), F.col("product_name").alias("matched"), "rank")
     texts = requests.select(fold(F.col("_term")).alias("folded_text")).distinct()
-    best = (
-        containment.containing_pairs(texts, needles.select("folded_needle"))
-        .join(needles, "folded_needle")
-        .groupBy("folded_text")
-        .agg(F.min_by("matched", "rank").alias("matched"))
-    )
+    found = containment.occurrences(texts, needles)
+    best = found.groupBy("folded_text").agg(F.min_by("matched", "rank").alias("matched"))
     return requests.withColumn("folded_text", fold(F.col("_term"))).join(best, "folded_text", "left").drop("folded_text")
 
 

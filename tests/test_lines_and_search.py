@@ -186,3 +186,27 @@ def test_the_index_joins_no_more_than_rare_pieces(spark):
     index = containment.posted(texts, 8)
     met = index.join(containment.rarest_grams(needles, index, 8), "gram").count()
     assert met < 300 * 12
+
+
+def _held_against_brute_force(spark, texts, needles, lookup_rows, monkeypatch):
+    monkeypatch.setattr(containment, "is_small", lambda df: df.count() <= lookup_rows)
+    left = spark.createDataFrame([(t,) for t in texts], "folded_text string")
+    right = spark.createDataFrame([(n, k) for k, n in enumerate(needles)], "folded_needle string, place int")
+    found = containment.occurrences(left, right)
+    assert found.columns == ["folded_text", "folded_needle", "place"]
+    want = {(t, n, k) for t in texts for k, n in enumerate(needles) if n in t}
+    assert {tuple(r) for r in found.collect()} == want
+    return found
+
+
+@pytest.mark.parametrize("lookup_rows", [100, 1])
+@pytest.mark.parametrize("needles", [["", "ab", "abc", "ab", "zzz", "é b"], [""], [], ["abcabcabcabc"], [chr(97) * n for n in range(1, 22)]])
+def test_occurrences_by_the_beginnings_of_needles(spark, monkeypatch, needles, lookup_rows):
+    texts = ["", "a", "ab", "abcabc", "xxab", "é b", "b", "aaaaaaaaaaaaaaaaaaaaaaa"]
+    _held_against_brute_force(spark, texts, needles, lookup_rows, monkeypatch)
+
+
+def test_only_substrings_that_begin_like_a_needle_are_cut(spark):
+    texts = spark.createDataFrame([("x" * 200 + f"needle {k}",) for k in range(5)], "folded_text string")
+    needles = spark.createDataFrame([("needle 1",), ("needle 22",)], "folded_needle string")
+    assert containment._starting(texts, needles, [8, 9]).count() == 2  # "needle 1" and "needle 2"
