@@ -24,7 +24,7 @@ def request_envelope(requests: DataFrame, name: str = "product_name", ts: str =
     return requests.withColumn("value", envelope.encode(request_json(F.col(name), F.col(ts))))
 
 
-def _with_request(messages: DataFrame, value: str) -> DataFrame:
+def with_request(messages: DataFrame, value: str = "value") -> DataFrame:
     """Adds ``_request``, the fields of a decodable message, else null.
 
     A field must be text, null or absent; null and absent read as empty text.
@@ -63,16 +63,20 @@ def _with_request(messages: DataFrame, value: str) -> DataFrame:
 def decode_requests(messages: DataFrame, value: str = "value") -> DataFrame:
     """Adds product_name, timestamp and ``decoded``; undecodable messages stay, marked false."""
     columns = {key: F.col(f"_request.{key}") for key in FIELDS}
-    rows = _with_request(messages, value).withColumns({"decoded": F.col("_request").isNotNull(), **columns})
+    rows = with_request(messages, value).withColumns({"decoded": F.col("_request").isNotNull(), **columns})
     return rows.drop("_request")
 
 
 def split_decoded(messages: DataFrame, value: str = "value") -> tuple[DataFrame, DataFrame]:
-    """Decoded requests, and the quarantined messages that are no requests.
+    """Decoded requests, and the quarantined messages that are no requests."""
+    return split(with_request(messages, value))
+
+
+def split(rows: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """``split_decoded`` of messages that have their ``_request``.
 
     Rows are chosen by exploding: a filter would be moved below the decoding and repeat all of it.
     """
-    rows = _with_request(messages, value)
     good = rows.withColumn("_request", F.explode(F.array_compact(F.array("_request"))))
     good = good.withColumns({key: F.col(f"_request.{key}") for key in FIELDS}).drop("_request")
     bad = rows.withColumn("_request", F.explode(F.when(F.col("_request").isNull(), F.array(F.lit(1)))))

@@ -229,3 +229,15 @@ def test_a_list_is_read_whole_while_it_is_replaced(spark, tmp_path):
         write_popular(popular.selectExpr("rank", f"'{name}' as product_name", "search_count"), base)
     complete = [p.name for p in (tmp_path / "recommendations").glob("v=*") if (p / "_SUCCESS").exists()]
     assert len(complete) == 2
+
+
+def test_a_message_is_decoded_once_for_both_sinks(spark, tmp_path):
+    """The sinks read what was decoded: its fields are cached, not the messages."""
+    cached, write = [], lambda found, batch_id: cached.append(found._jdf.queryExecution().withCachedData().toString())
+    topic, bad, check = (str(tmp_path / n) for n in ("topic", "bad", "check"))
+    feed(spark, topic, payloads(spark, ["a"]) + ["garbage"])
+    jobs.recommend_requests(source(spark, topic), str(tmp_path), "", bad, check, once=True, write=write).awaitTermination()
+    (plan,) = cached
+    relation = plan[plan.index("InMemoryRelation") :]
+    assert "_request" in relation.split("]")[0]
+    assert [r["value"] for r in spark.read.parquet(bad).collect()] == ["garbage"]
