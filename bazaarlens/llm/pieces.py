@@ -86,32 +86,51 @@ class _Numbers(dict):
 _GATHERED = 1 << 20
 
 
+def _with_room(values: np.ndarray, used: int, more: int) -> np.ndarray:
+    """The array itself, or one of twice its size that begins with its used part, if ``more`` do not fit."""
+    if used + more <= len(values):
+        return values
+    grown = np.zeros(max(2 * len(values), used + more), values.dtype)
+    grown[:used] = values[:used]
+    return grown
+
+
 class PieceTable:
     """From pieces to ids in one flat array: a text is looked up once and its ids are gathered as arrays.
 
     ``encode`` gives the ids of new pieces, and where each piece's begin and how many they are. Beyond ``size``
-    pieces the table starts anew.
+    pieces only those stay that another call met since the last time, at most half of ``size``.
     """
 
     def __init__(self, encode: Callable[[list[str]], tuple[np.ndarray, np.ndarray, np.ndarray]], size: int):
         self.encode, self.size = encode, size
-        self._clear()
-
-    def _clear(self) -> None:
         self.numbers = _Numbers()
-        self.starts, self.lengths = np.zeros(0, np.int64), np.zeros(0, np.int32)
+        # Per piece where its ids begin, how many they are, and the calls that met it; then room for more.
+        self.starts, self.lengths, self.calls = np.zeros(0, np.int64), np.zeros(0, np.int32), np.zeros(0, np.int32)
         self.flat, self.used = np.zeros(0, np.uint16), 0
 
+    def _shrink(self) -> None:
+        calls, half = self.calls[: len(self.numbers)], self.size // 2
+        again = np.flatnonzero(calls > 1)
+        if len(again) > half:
+            again = np.sort(again[np.argsort(-calls[again], kind="stable")[:half]])
+        keys, self.numbers = list(self.numbers), _Numbers()
+        self.numbers.update((keys[old], new) for new, old in enumerate(again.tolist()))
+        self.flat = np.concatenate([self.flat[:0], *[ids for ids, _ in self._gathered(again)]])
+        self.lengths = self.lengths[again]
+        self.starts = np.cumsum(self.lengths, dtype=np.int64) - self.lengths
+        self.calls, self.used = np.ones(len(again), np.int32), len(self.flat)
+
     def _add(self) -> None:
         new, self.numbers.new = self.numbers.new, []
         ids, starts, lengths = self.encode([piece_of(k) for k in new])
-        if self.used + len(ids) > len(self.flat):
-            grown = np.zeros(max(2 * len(self.flat), self.used + len(ids)), ids.dtype)
-            grown[: self.used] = self.flat[: self.used]
-            self.flat = grown
+        total = len(self.numbers)
+        known = total - len(new)
+        self.flat = _with_room(self.flat.astype(ids.dtype, copy=False), self.used, len(ids))
+        self.starts, self.lengths, self.calls = (_with_room(v, known, len(new)) for v in (self.starts, self.lengths, self.calls))
         self.flat[self.used : self.used + len(ids)] = ids
-        self.starts = np.concatenate([self.starts, starts + self.used])
-        self.lengths = np.concatenate([self.lengths, lengths.astype(np.int32)])
+        self.starts[known:total] = starts + self.used
+        self.lengths[known:total] = lengths
         self.used += len(ids)
 
     def _gathered(self, numbers: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
@@ -125,7 +144,7 @@ class PieceTable:
     def of_texts(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """The ids of all texts in a row, and how many each text has."""
         if len(self.numbers) > self.size:
-            self._clear()
+            self._shrink()
         get, found, counts = self.numbers.__getitem__, array("i"), []
         for text in texts:
             before = len(found)
@@ -133,7 +152,9 @@ class PieceTable:
             counts.append(len(found) - before)
         if self.numbers.new:
             self._add()
-        parts = list(self._gathered(np.frombuffer(found, np.int32)))
+        numbers = np.frombuffer(found, np.int32)
+        self.calls[numbers] += 1  # a piece's number may repeat here and counts once
+        parts = list(self._gathered(numbers))
         if not parts:
             return self.flat[:0], np.zeros(len(texts), np.int64)
         ends = np.concatenate([[0], np.cumsum(np.concatenate([p[1] for p in parts]), dtype=np.int64)])

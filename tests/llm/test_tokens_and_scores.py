@@ -66,6 +66,36 @@ def test_cache_stays_small():
     assert asked.count(" always") == 1 and len(asked) == 52
 
 
+def test_piece_table_keeps_what_is_met_again():
+    asked = []
+
+    def encode(found):
+        asked.extend(found)
+        sizes = np.array([len(p) for p in found])
+        return np.array([ord(c) for p in found for c in p], np.uint16), np.cumsum(sizes) - sizes, sizes
+
+    table = pieces.PieceTable(encode, size=8)
+    for k in range(50):
+        texts = [f"x always {k}", "", f"y again {k} always"]
+        ids, sizes = table.of_texts(texts)
+        assert "".join(map(chr, ids)) == "".join(texts) and sizes.tolist() == [len(t) for t in texts]
+        assert len(table.numbers) <= 8 + 5
+    assert asked.count(" always") == asked.count(" again") == 1 and len(set(asked)) == len(asked)
+    # More pieces than half the table are met again: those that most calls met stay.
+    table, asked[:] = pieces.PieceTable(encode, size=4), []
+    for text in ("z a b", "z a b c", "z a b c d", "z e"):
+        table.of_texts([text])
+    assert list(table.numbers) == [("z",), "a", "e"] and asked == ["z", " a", " b", " c", " d", " e"]
+
+
+def test_wavelet_levels_parted_in_parts(monkeypatch):
+    ids = np.random.default_rng(5).integers(0, 1 << 10, 1003)
+    whole = wavelet.build(ids, np.array([500, 1003]), 7, 10)
+    monkeypatch.setattr(wavelet, "_PARTED", 64)
+    assert wavelet.build(ids, np.array([500, 1003]), 7, 10) == whole
+    assert wavelet.Shard(whole).ids().tolist() == ids.tolist()
+
+
 def test_bpe_query_columns(spark, library):
     rows = corpus.awkward_rows()
     got = bpe.encode(corpus.documents(spark)).collect()
