@@ -11,6 +11,7 @@ from collections import Counter
 import corpus
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 from bazaarlens.llm import bpe, chat, gated_lm, lm_scoring, pieces, wavelet
 from tokenizers import Tokenizer
@@ -88,6 +89,45 @@ def test_piece_table_keeps_what_is_met_again():
     assert list(table.numbers) == [("z",), "a", "e"] and asked == ["z", " a", " b", " c", " d", " e"]
 
 
+def test_piece_table_looks_up_distinct_pieces(monkeypatch):
+    asked = []
+
+    class Counted(pieces._Numbers):
+        def __getitem__(self, key):
+            asked.append(key)
+            return super().__getitem__(key)
+
+    def encode(found):
+        sizes = np.array([len(p) for p in found])
+        return np.array([ord(c) for p in found for c in p], np.uint16), np.cumsum(sizes) - sizes, sizes
+
+    monkeypatch.setattr(pieces, "_Numbers", Counted)
+    texts = ["z a b a", "", "z b\n a"] * 100
+    ids, sizes = pieces.PieceTable(encode, size=50).of_texts(texts)
+    assert "".join(map(chr, ids)) == "".join(texts) and sizes.tolist() == [len(t) for t in texts]
+    assert sorted(map(str, asked)) == sorted(map(str, [("z",), "a", "b", "\n a"]))
+
+
+def test_wavelet_texts_cut_at_any_white_space(library):
+    letters = [*" \n\t\r\v\f\x1c\x1f\x85\xa0\u1680\u180e\u2003\u200b\u2028\u202f\u205f\u3000abÉé漢1.,?'©\x00", "  ", " a", "'s", "<|endoftext|>"]
+    chosen = random.Random(11)
+    texts = ["".join(chosen.choices(letters, k=chosen.randrange(12))) for _ in range(3000)]
+    column = pa.array(["before", *texts, "after"]).slice(1, len(texts))
+    encoded = [library.encode(t, add_special_tokens=False).ids for t in texts]
+    made = wavelet._encoder(wavelet.VOCABULARY)
+    assert made.table.marks == b",.;:!?"
+    ids, sizes = made.of_texts(column)
+    assert sizes.tolist() == [len(e) for e in encoded] and ids.tolist() == [i for e in encoded for i in e]
+    parts, counts = pieces.cut(column.cast(pa.large_string()))
+    assert "".join(parts.to_pylist()) == "".join(texts) and counts.sum() == len(parts)
+    # Cut at white space of several bytes, too; not inside a run, nor at what only Python counts as white space.
+    found, counts = pieces.cut(pa.array(["a\u3000b \xa0 c", "a\x1c b", "", " \n", "é É"], pa.large_string()))
+    assert found.to_pylist() == ["a", "\u3000b", " \xa0 c", "a\x1c", " b", " \n", "é", " É"] and counts.tolist() == [3, 2, 0, 1, 2]
+    # A mark is cut off after a letter and before white space only.
+    found, counts = pieces.cut(pa.array(["a, b... c.d e1. é, f.", ", g?\nh"], pa.large_string()), b",.?")
+    assert found.to_pylist() == ["a", ",", " b...", " c.d", " e1.", " é,", " f", ".", ",", " g", "?", "\nh"] and counts.tolist() == [8, 4]
+
+
 def test_wavelet_levels_parted_in_parts(monkeypatch):
     ids = np.random.default_rng(5).integers(0, 1 << 10, 1003)
     whole = wavelet.build(ids, np.array([500, 1003]), 7, 10)
